@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore import params as P
-from linkscore.operators.ordered import SLICE, sliced, with_previous, with_running_sum
+from linkscore.operators.ordered import Step, running_steps, sum_steps
 
 DEVICE = ("sn",)
 BY_UPTIME = ("service_uptime", "event_id")
@@ -45,9 +45,18 @@ def attached() -> Column:
     return network.isNotNull() & ~network.isin(*P.INVALID_NETWORKS)
 
 
-def _previous(df: DataFrame, keys, order, cols, hot_rows) -> DataFrame:
-    used = list(dict.fromkeys([*keys, *order, *cols]))
-    return with_previous(sliced(df.select(*used), keys, order, hot_rows), keys, order, {"prev": (cols, None)})
+def increments_of(counters: Sequence[str], group: str) -> dict[str, tuple[str, Step]]:
+    """Steps that sum the increments of each counter."""
+    return {f"sum_{c}": (group, lambda now, was, c=c: increment(now(c), was(c))) for c in counters}
+
+
+def changes_of(column: str, group: str) -> tuple[str, Step]:
+    """A step that counts the changes of a column."""
+    return group, lambda now, was: changed(now(column), was(column))
+
+
+def _used(df: DataFrame, keys, order, cols) -> DataFrame:
+    return df.select(*dict.fromkeys([*keys, *order, *cols]))
 
 
 def counter_increments(
@@ -58,10 +67,8 @@ def counter_increments(
     hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """One row per key with the summed increments of each counter."""
-    rows = _previous(df, keys, order, counters, hot_rows)
-    return rows.groupBy(*keys).agg(
-        *[F.sum(increment(F.col(c), F.col(f"prev.{c}"))).alias(f"sum_{c}") for c in counters]
-    )
+    groups = {"rows": (counters, None)}
+    return sum_steps(_used(df, keys, order, counters), keys, order, groups, increments_of(counters, "rows"), None, hot_rows)
 
 
 def service_time(
@@ -73,16 +80,14 @@ def service_time(
 ) -> DataFrame:
     """Increments plus up/downtime change counts and the downtime share, sentinel rows left out."""
     cols = [*counters, "service_downtime", "service_uptime"]
-    rows = _previous(df.where(known_service_time()), keys, order, cols, hot_rows)
-    return (
-        rows.groupBy(*keys)
-        .agg(
-            *[F.sum(increment(F.col(c), F.col(f"prev.{c}"))).alias(f"sum_{c}") for c in counters],
-            F.sum(changed(F.col("service_downtime"), F.col("prev.service_downtime"))).alias("downtime_changes"),
-            F.sum(changed(F.col("service_uptime"), F.col("prev.service_uptime"))).alias("uptime_changes"),
-        )
-        .withColumn("downtime_share", downtime_share())
-    )
+    steps = {
+        **increments_of(counters, "rows"),
+        "downtime_changes": changes_of("service_downtime", "rows"),
+        "uptime_changes": changes_of("service_uptime", "rows"),
+    }
+    known = _used(df.where(known_service_time()), keys, order, cols)
+    sums = sum_steps(known, keys, order, {"rows": (cols, None)}, steps, None, hot_rows)
+    return sums.withColumn("downtime_share", downtime_share())
 
 
 def downtime_share() -> Column:
@@ -90,18 +95,23 @@ def downtime_share() -> Column:
     return F.try_divide(F.lit(100.0) * down, (down + up).cast("double"))
 
 
+def _count_steps(df: DataFrame, column: str, step: Step, name: str, keys, order, hot_rows) -> DataFrame:
+    rows = _used(df, keys, order, [column])
+    return sum_steps(rows, keys, order, {"rows": ([column], None)}, {name: ("rows", step)}, None, hot_rows)
+
+
 def uptime_stalls(df: DataFrame, keys=DEVICE, order=BY_UPTIME, hot_rows: int = P.HOT_GROUP_ROWS) -> DataFrame:
     """How often the uptime repeats the previous uptime of the device."""
-    rows = _previous(df.where(known_service_time()), keys, order, ["service_uptime"], hot_rows)
-    stalled = F.when(F.col("service_uptime") == F.col("prev.service_uptime"), 1).otherwise(0)
-    return rows.groupBy(*keys).agg(F.sum(stalled).alias("uptime_stalls"))
+    column = "service_uptime"
+    stalled = lambda now, was: F.when(now(column) == was(column), 1).otherwise(0)
+    return _count_steps(df.where(known_service_time()), column, stalled, "uptime_stalls", keys, order, hot_rows)
 
 
 def network_switches(df: DataFrame, keys=DEVICE, order=BY_TIME, hot_rows: int = P.HOT_GROUP_ROWS) -> DataFrame:
     """Changes of the serving network per key, over attached heartbeats only."""
-    rows = _previous(df.where(attached()), keys, order, ["current_network"], hot_rows)
-    switched = changed(F.col("current_network"), F.col("prev.current_network"))
-    return rows.groupBy(*keys).agg(F.sum(switched).alias("network_switches"))
+    column = "current_network"
+    _, switched = changes_of(column, "rows")
+    return _count_steps(df.where(attached()), column, switched, "network_switches", keys, order, hot_rows)
 
 
 def failure_ratios(df: DataFrame, keys=DEVICE, order=BY_TIME, hot_rows: int = P.HOT_GROUP_ROWS) -> DataFrame:
@@ -127,9 +137,8 @@ def counter_resets(
     hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """How often a counter fell below its previous non-zero value; the ``top`` devices first."""
-    rows = _previous(df.where(F.col(counter) != 0), keys, order, [counter], hot_rows)
-    fell = F.when(F.col(counter) < F.col(f"prev.{counter}"), 1).otherwise(0)
-    resets = rows.groupBy(*keys).agg(F.sum(fell).alias("resets"))
+    fell = lambda now, was: F.when(now(counter) < was(counter), 1).otherwise(0)
+    resets = _count_steps(df.where(F.col(counter) != 0), counter, fell, "resets", keys, order, hot_rows)
     return resets if top is None else resets.orderBy(F.desc("resets"), *keys).limit(top)
 
 
@@ -138,12 +147,11 @@ def running_changes(
     column: str = "service_downtime",
     keys: Sequence[str] = DEVICE,
     order: Sequence[str] = BY_TIME,
-    hot_rows: int = P.HOT_GROUP_ROWS,
+    period: Column | None = None,
 ) -> DataFrame:
     """Every heartbeat with its change flag and the running count of changes of its device."""
-    rows = _previous(df, keys, order, [column], hot_rows)
-    rows = rows.withColumn("change", changed(F.col(column), F.col(f"prev.{column}"))).drop("prev")
-    return with_running_sum(rows, keys, order, "change", "changes_so_far").drop(SLICE)
+    hour = F.date_trunc("hour", F.col(order[0])) if period is None else period
+    return running_steps(df, keys, order, column, changed, hour, "change", "changes_so_far")
 
 
 def device_timeline(df: DataFrame, columns: Sequence[str], sn: str | None = None, order=BY_TIME) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from linkscore import params as P
 from linkscore.functions.columns import between_any, capped_percent, db_mean
 from linkscore.operators import counters as C
-from linkscore.operators.ordered import sliced, with_previous
+from linkscore.operators.ordered import sum_steps
 
+SIGNAL_MEANS = ("db_nr_rsrp", "db_lte_rsrp", "db_nr_snr", "db_lte_snr", "avg_cqi", "avg_memory_free")
 SIGNAL_COLUMNS = ("lte_snr", "nr_snr", "lte_rsrp", "nr_rsrp", "cqi", "memory_percent_free", "nr_earfcn_dl")
 
 
@@ -33,27 +34,33 @@ def plausible_signal() -> Column:
     )
 
 
-def _of(flag: Column, value: Column) -> Column:
-    return F.when(flag, value)
-
-
-def signal_aggregates(ok: Column | None = None) -> list[Column]:
-    """Signal means per radio, plain means and record counts, over the records that are ``ok``."""
-    keep = F.lit(True) if ok is None else F.coalesce(ok, F.lit(False))
-    nr = keep & _nr_channel()
-    lte = keep & ~_nr_channel()
-    return [
-        db_mean(_of(nr, F.col("nr_rsrp"))).alias("db_nr_rsrp"),
-        db_mean(_of(lte, F.col("lte_rsrp"))).alias("db_lte_rsrp"),
-        db_mean(_of(nr, F.col("nr_snr"))).alias("db_nr_snr"),
-        db_mean(_of(lte, F.col("lte_snr"))).alias("db_lte_snr"),
-        F.avg(_of(keep, F.col("cqi").cast("double"))).alias("avg_cqi"),
-        F.avg(_of(keep, F.col("memory_percent_free"))).alias("avg_memory_free"),
-        F.count_if(keep & F.col("nr_earfcn_dl").isNotNull()).alias("channel_records"),
-        F.count_if(nr).alias("nr_records"),
-        F.count_if(lte).alias("lte_records"),
-        F.count_if(keep).alias("received"),
-    ]
+def signal_sums() -> dict[str, Column]:
+    """Summands of the signal means and record counts, over the plausible records."""
+    ok = F.coalesce(plausible_signal(), F.lit(False))
+    nr, lte = ok & _nr_channel(), ok & ~_nr_channel()
+    linear = lambda c: F.pow(F.lit(10.0), F.col(c) / F.lit(10.0))
+    means = {
+        "db_nr_rsrp": (nr, "nr_rsrp", linear),
+        "db_lte_rsrp": (lte, "lte_rsrp", linear),
+        "db_nr_snr": (nr, "nr_snr", linear),
+        "db_lte_snr": (lte, "lte_snr", linear),
+        "avg_cqi": (ok, "cqi", F.col),
+        "avg_memory_free": (ok, "memory_percent_free", F.col),
+    }
+    counts = {"received": ok, "channel_records": ok & F.col("nr_earfcn_dl").isNotNull(), "nr_records": nr, "lte_records": lte}
+    return {
+        **{f"{name}_sum": F.when(flag, value(c).cast("double")) for name, (flag, c, value) in means.items()},
+        **{f"{name}_n": F.when(flag & F.col(c).isNotNull(), 1).otherwise(0) for name, (flag, c, _) in means.items()},
+        **{name: F.when(flag, 1).otherwise(0) for name, flag in counts.items()},
+    }
+
+
+def with_signal_means(df: DataFrame) -> DataFrame:
+    """Means from :func:`signal_sums`; decibel values are averaged in the linear domain."""
+    mean = {m: F.try_divide(F.col(f"{m}_sum"), F.col(f"{m}_n").cast("double")) for m in SIGNAL_MEANS}
+    return df.withColumns(
+        {m: F.lit(10.0) * F.log10(e) if m.startswith("db_") else e for m, e in mean.items()}
+    ).drop(*[f"{m}_{part}" for m in SIGNAL_MEANS for part in ("sum", "n")])
 
 
 def with_shares(df: DataFrame) -> DataFrame:
@@ -72,7 +79,8 @@ def with_shares(df: DataFrame) -> DataFrame:
 def signal_average(heartbeats: DataFrame, keys: Sequence[str] = C.DEVICE) -> DataFrame:
     """Signal features per device; nothing needs the row order, so this is one partial aggregate."""
     used = heartbeats.select(*keys, *SIGNAL_COLUMNS).where(plausible_signal())
-    return with_shares(used.groupBy(*keys).agg(*signal_aggregates()))
+    sums = used.groupBy(*keys).agg(*[F.sum(e).alias(n) for n, e in signal_sums().items()])
+    return with_shares(with_signal_means(sums))
 
 
 def device_features(
@@ -87,8 +95,8 @@ def device_features(
     counters = [c for pair in C.FAILURE_PAIRS.values() for c in pair]
     service = ["service_downtime", "service_uptime"]
     used = list(dict.fromkeys(["sn", *C.BY_TIME, *service, "current_network", *counters, *SIGNAL_COLUMNS]))
-    rows = with_previous(
-        sliced(heartbeats.select(*used), C.DEVICE, C.BY_TIME, hot_rows),
+    per_device = sum_steps(
+        heartbeats.select(*used),
         C.DEVICE,
         C.BY_TIME,
         {
@@ -96,22 +104,18 @@ def device_features(
             "network": (["current_network"], C.attached()),
             "counter": (counters, None),
         },
-    )
-
-    def flagged(valid: Column, column: str, group: str) -> Column:
-        change = C.changed(F.col(column), F.col(f"{group}.{column}"))
-        return F.sum(F.when(valid, change))
-
-    per_device = rows.groupBy("sn").agg(
-        flagged(C.known_service_time(), "service_downtime", "service").alias("downtime_changes"),
-        flagged(C.known_service_time(), "service_uptime", "service").alias("uptime_changes"),
-        flagged(C.attached(), "current_network", "network").alias("network_switches"),
-        *[F.sum(C.increment(F.col(c), F.col(f"counter.{c}"))).alias(f"sum_{c}") for c in counters],
-        *signal_aggregates(plausible_signal()),
+        {
+            "downtime_changes": C.changes_of("service_downtime", "service"),
+            "uptime_changes": C.changes_of("service_uptime", "service"),
+            "network_switches": C.changes_of("current_network", "network"),
+            **C.increments_of(counters, "counter"),
+        },
+        signal_sums(),
+        hot_rows,
     )
     # A device without a plausible record has no signal row at all, so its shares are null.
     per_device = per_device.withColumn("received", F.when(F.col("received") > 0, F.col("received")))
-    features = with_shares(per_device).withColumns(
+    features = with_shares(with_signal_means(per_device)).withColumns(
         {"downtime_share": C.downtime_share(), **C.failure_ratio_columns()}
     )
     return heartbeats.select(*ids).distinct().join(features, "sn", "left")

@@ -1,15 +1,18 @@
-"""Row-to-row operations per key (previous value, running sum) that survive a hot key.
+"""Sums over consecutive rows of a key, safe for a key that holds a large share of all rows.
 
 A plain ``lag`` sorts every row of a key in one task. Here a key with more than ``hot_rows`` rows
-is first range-partitioned on its order columns; each range is a *slice* with its own window, and
-the value that crosses a slice border comes from a small per-slice table. Keys below the limit
-keep a single slice, so without a hot key the plan is one ordinary window: the hot branch is
-joined against an empty broadcast, which adaptive execution removes.
+is range-partitioned on its order columns first; each range is a *slice* with its own window. A
+slice is reduced to its sums and its first and last values, and the steps across slice borders are
+added on those few rows. All other keys have a single slice. Without a hot key the hot branch is
+joined to an empty broadcast and adaptive execution drops it, which leaves one ordinary window.
+
+The slices are read in one place only: range bounds come from a sample, so two evaluations of the
+same repartition may cut differently.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -18,7 +21,10 @@ from pyspark.sql import functions as F
 from linkscore.params import HOT_GROUP_ROWS
 
 SLICE = "_slice"
-NO_SLICE = -1
+SINGLE = -1
+
+Value = Callable[[str], Column]
+Step = Callable[[Value, Value], Column]
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
@@ -26,20 +32,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS)
     return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(Column.__and__, (left[k].eqNullSafe(right[f"_{k}"]) for k in keys))
-
-
-def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({k: f"_{k}" for k in keys})
-
-
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """``df`` with a slice number: rows of one slice are contiguous in ``order`` for each key."""
-    # Broadcast bound: the hot list has at most count(df) / hot_rows rows of key columns.
-    hot = F.broadcast(_renamed(hot_keys(df, keys, hot_rows), keys))
-    same = _same(df, hot, keys)
-    single = df.join(hot, same, "left_anti").withColumn(SLICE, F.lit(NO_SLICE))
+    """``df`` with a slice number; the rows of a slice are contiguous in ``order`` for each key."""
+    # Broadcast bound: the list has at most count(df) / hot_rows rows of key columns.
+    hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumnsRenamed({k: f"_{k}" for k in keys}))
+    same = reduce(Column.__and__, (df[k].eqNullSafe(hot[f"_{k}"]) for k in keys))
+    single = df.join(hot, same, "left_anti").withColumn(SLICE, F.lit(SINGLE))
     ranged = (
         df.join(hot, same, "left_semi")
         .repartitionByRange(*keys, *order)
@@ -48,76 +46,128 @@ def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: i
     return single.unionByName(ranged)
 
 
-def _window(keys: Sequence[str], order: Sequence[str]):
-    return Window.partitionBy(*keys, SLICE).orderBy(*order)
-
-
-def _with_border(df: DataFrame, border: DataFrame, keys: Sequence[str]) -> DataFrame:
-    # Broadcast bound: one row per hot key and slice, i.e. hot keys + range partitions.
-    border = F.broadcast(_renamed(border, keys).withColumnRenamed(SLICE, "_border_slice"))
-    on = _same(df, border, keys) & (df[SLICE] == border["_border_slice"])
-    return df.join(border, on, "left").drop("_border_slice", *[f"_{k}" for k in keys])
-
-
-def with_previous(
+def sum_steps(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    groups: dict[str, tuple[Sequence[str], Column | None]],
+    groups: Mapping[str, tuple[Sequence[str], Column | None]],
+    steps: Mapping[str, tuple[str, Step]],
+    sums: Mapping[str, Column] | None = None,
+    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """Add one struct per group: the named columns of the previous row of the key.
+    """One row per key with the sum of each step over its rows in order.
 
-    ``df`` comes from :func:`sliced`. A group is ``name: (columns, valid)``; with a condition the
-    previous row is the latest one before the current row that meets it, which equals filtering
-    first and then taking ``lag``, but lets several groups share one sort.
+    A group ``name: (columns, valid)`` is a sequence of rows: those that meet ``valid``, or all.
+    A step ``name: (group, f)`` sums ``f(current, previous)`` over it, where both arguments give a
+    column's value by name and the previous value of the first row is null. It is null for a key
+    without a valid row. ``sums`` adds plain sums over all rows. Groups share one sort, which
+    equals one filter and ``lag`` per group.
     """
-    here = _window(keys, order)
+    sums = sums or {}
+    valid = {g: F.lit(True) if v is None else F.coalesce(v, F.lit(False)) for g, (_, v) in groups.items()}
+    columns = {g: list(cols) for g, (cols, _) in groups.items()}
+    per_slice = Window.partitionBy(*keys, SLICE)
+    here = per_slice.orderBy(*order)
     before = here.rowsBetween(Window.unboundedPreceding, -1)
-    order_key = F.struct(*[F.col(c) for c in order])
+    whole = here.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
-    def payload(cols, valid):
-        row = F.struct(*[F.col(c) for c in cols])
-        return row if valid is None else F.when(valid, row)
+    def row(g: str) -> Column:
+        values = F.struct(*columns[g])
+        return values if groups[g][1] is None else F.when(valid[g], values)
+
+    windowed = sliced(df, keys, order, hot_rows).withColumns(
+        {
+            **{
+                f"_prev_{g}": F.lag(row(g)).over(here)
+                if groups[g][1] is None
+                else F.last(row(g), ignorenulls=True).over(before)
+                for g in groups
+            },
+            **{f"_last_{g}": F.last(row(g), ignorenulls=True).over(whole) for g in groups},
+        }
+    )
 
-    last_of_slice = [
-        F.max_by(payload(cols, valid), order_key if valid is None else F.when(valid, order_key)).alias(name)
-        for name, (cols, valid) in groups.items()
+    inside = [
+        F.sum(F.when(valid[g] & F.col(f"_prev_{g}").isNotNull(), f(F.col, lambda c, g=g: F.col(f"_prev_{g}")[c]))).alias(
+            f"_in_{name}"
+        )
+        for name, (g, f) in steps.items()
     ]
+    ends = []
+    for g in groups:
+        first = valid[g] & F.col(f"_prev_{g}").isNull()
+        ends.append(F.max(F.when(valid[g], 1)).alias(f"_has_{g}"))
+        # One row of the slice is first, and all rows carry the same last values: max picks them.
+        ends += [F.max(F.when(first, F.col(c))).alias(f"_first_{g}_{c}") for c in columns[g]]
+        ends += [F.max(F.col(f"_last_{g}")[c]).alias(f"_end_{g}_{c}") for c in columns[g]]
+    slices = windowed.groupBy(*keys, SLICE).agg(*inside, *ends, *[F.sum(e).alias(n) for n, e in sums.items()])
+
     earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    border = (
-        df.where(F.col(SLICE) != NO_SLICE)
-        .groupBy(*keys, SLICE)
-        .agg(*last_of_slice)
-        .select(
-            *keys, SLICE,
-            *[F.last(name, ignorenulls=True).over(earlier).alias(f"_border_{name}") for name in groups],
-        )
-    )
-    inside = df.withColumns(
+    bordered = slices.withColumns(
         {
-            name: F.lag(payload(cols, None)).over(here)
-            if valid is None
-            else F.last(payload(cols, valid), ignorenulls=True).over(before)
-            for name, (cols, valid) in groups.items()
+            f"_carry_{g}": F.last(
+                F.when(F.col(f"_has_{g}") == 1, F.struct(*[F.col(f"_end_{g}_{c}").alias(c) for c in columns[g]])),
+                ignorenulls=True,
+            ).over(earlier)
+            for g in groups
         }
     )
-    joined = _with_border(inside, border, keys)
-    return joined.withColumns({name: F.coalesce(name, f"_border_{name}") for name in groups}).drop(
-        *[f"_border_{name}" for name in groups]
+
+    def total(name: str, g: str, f: Step) -> Column:
+        at_border = f(lambda c: F.col(f"_first_{g}_{c}"), lambda c: F.col(f"_carry_{g}")[c])
+        return F.sum(F.when(F.col(f"_has_{g}") == 1, F.coalesce(f"_in_{name}", F.lit(0)) + at_border)).alias(name)
+
+    return bordered.groupBy(*keys).agg(
+        *[total(name, g, f) for name, (g, f) in steps.items()], *[F.sum(n).alias(n) for n in sums]
     )
 
 
-def with_running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str
+def running_steps(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    column: str,
+    step: Callable[[Column, Column], Column],
+    period: Column,
+    step_name: str,
+    running_name: str,
 ) -> DataFrame:
-    """Add the sum of ``value`` over all rows of the key up to the current one, peers included."""
-    upto = _window(keys, order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    border = (
-        df.where(F.col(SLICE) != NO_SLICE)
-        .groupBy(*keys, SLICE)
-        .agg(F.sum(value).alias("_sum"))
-        .select(*keys, SLICE, F.sum("_sum").over(earlier).alias("_before"))
+    """Every row with its step against the previous row and the running sum of the steps.
+
+    The output needs each row next to its key's history, so the slices are fixed ``period`` values
+    that grow with ``order`` (an hour, say): a hot key is spread over its periods, and the rows and
+    the per-period table meet on (key, period) without moving the rows again.
+    """
+    per_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
+    rows = df.select(*keys, *order, column).withColumn(SLICE, period)
+    rows = rows.withColumn("_prev", F.lag(F.struct(column)).over(per_slice))
+    rows = rows.withColumn(
+        "_inside", F.when(F.col("_prev").isNotNull(), step(F.col(column), F.col("_prev")[column])).otherwise(0)
+    )
+    rows = rows.withColumn("_so_far", F.sum("_inside").over(per_slice))
+
+    order_key = F.struct(*order)
+    earlier = Window.partitionBy(*keys).orderBy(SLICE)
+    slices = (
+        rows.groupBy(*keys, SLICE)
+        .agg(
+            F.sum("_inside").alias("_total"),
+            F.min_by(column, order_key).alias("_first"),
+            F.max_by(column, order_key).alias("_last"),
+        )
+        .withColumn("_carry", F.lag("_last").over(earlier))
+        .withColumn("_entry", step(F.col("_first"), F.col("_carry")))
+        .withColumn("_upto", F.sum(F.col("_total") + F.col("_entry")).over(earlier))
+        .select(
+            *[F.col(k).alias(f"_{k}") for k in keys],
+            F.col(SLICE).alias("_period"),
+            "_entry",
+            (F.col("_upto") - F.col("_total")).alias("_offset"),
+        )
+    )
+    same = reduce(Column.__and__, (rows[k].eqNullSafe(slices[f"_{k}"]) for k in keys))
+    joined = rows.join(slices, same & (rows[SLICE] == slices["_period"]))
+    own = F.when(F.col("_prev").isNull(), F.col("_entry")).otherwise(F.col("_inside"))
+    return joined.select(
+        *keys, *order, column, own.alias(step_name), (F.col("_so_far") + F.col("_offset")).alias(running_name)
     )
-    joined = _with_border(df.withColumn(name, F.sum(value).over(upto)), border, keys)
-    return joined.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before")

@@ -20,13 +20,14 @@ def column_summary(
         x = F.col(c).cast("double")
         cuts = F.percentile_approx(x, [p / 100 for p in percents], accuracy)
         plain = [F.count(x).cast("double"), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
-        return F.concat(F.array(*plain), cuts)
+        none = F.array_repeat(F.lit(None).cast("double"), len(percents))
+        return F.concat(F.array(*plain), F.coalesce(cuts, none))
 
     names = F.array(*[F.lit(n) for n in ("count", "mean", "stddev", "min", "max", *[f"{p}%" for p in percents])])
     per_column = df.agg(*[statistics(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "_values")
     pairs = F.explode(F.arrays_zip(names.alias("statistic"), F.col("_values").alias("value")))
     return per_column.select("column", pairs.alias("_p")).select(
-        "column", F.col("_p")["0"].alias("statistic"), F.col("_p")["_values"].alias("value")
+        "column", "_p.statistic", "_p.value"
     )
 
 

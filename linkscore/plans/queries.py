@@ -22,6 +22,7 @@ from linkscore.operators import throughput as T
 from linkscore.plans.inputs import Inputs
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
+from linkscore.sources.stored import stored
 
 AS_OF = dt.date(2024, 2, 1)
 PASSIVE_DATE = dt.date(2024, 1, 11)
@@ -321,7 +322,7 @@ def enrich_location(i: Inputs) -> DataFrame:
 
 # --- features -------------------------------------------------------------------------------
 
-SIGNAL_MEANS = ["db_nr_rsrp", "db_lte_rsrp", "db_nr_snr", "db_lte_snr", "avg_cqi", "avg_memory_free"]
+SIGNAL_MEANS = X.SIGNAL_MEANS
 
 
 @query
@@ -452,7 +453,7 @@ def scale_raw(i: Inputs) -> DataFrame:
 
 @query
 def group_scores(i: Inputs) -> DataFrame:
-    scaled = S.scale(_feature_table(i), P.SCALE_SPECS)
+    scaled = S.scale(stored(_feature_table(i)), P.SCALE_SPECS)
     return S.group_scores(scaled).select(
         "sn", "mdn", "pplan_cd", "download_result", "upload_result", "latency", *P.GROUP_WEIGHTS, "final_score"
     )

@@ -38,9 +38,11 @@ def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: i
     hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumnsRenamed({k: f"_{k}" for k in keys}))
     same = reduce(Column.__and__, (df[k].eqNullSafe(hot[f"_{k}"]) for k in keys))
     single = df.join(hot, same, "left_anti").withColumn(SLICE, F.lit(SINGLE))
+    # An explicit number keeps every range; without one, ranges may be merged again.
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.join(hot, same, "left_semi")
-        .repartitionByRange(*keys, *order)
+        .repartitionByRange(ranges, *keys, *order)
         .withColumn(SLICE, F.spark_partition_id())
     )
     return single.unionByName(ranged)

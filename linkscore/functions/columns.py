@@ -48,9 +48,19 @@ def clamp(value: Column, low: float = 0.0, high: float = 100.0) -> Column:
     return F.when(value < F.lit(low), F.lit(low)).when(value > F.lit(high), F.lit(high)).otherwise(value)
 
 
+def db_linear(value: Column) -> Column:
+    """A decibel value in the linear domain."""
+    return F.pow(F.lit(10.0), value / F.lit(10.0))
+
+
+def linear_db(value: Column) -> Column:
+    """Inverse of :func:`db_linear`."""
+    return F.lit(10.0) * F.log10(value)
+
+
 def db_mean(value: Column) -> Column:
     """Mean of decibel values taken in the linear domain; null without values."""
-    return F.lit(10.0) * F.log10(F.avg(F.pow(F.lit(10.0), value / F.lit(10.0))))
+    return linear_db(F.avg(db_linear(value)))
 
 
 def capped_percent(value: Column, digits: int = 4) -> Column:
@@ -58,11 +68,6 @@ def capped_percent(value: Column, digits: int = 4) -> Column:
     return F.round(F.when(value > 1, F.lit(1.0)).otherwise(value), digits) * F.lit(100.0)
 
 
-def between_any(value: Column, ranges: Sequence[tuple[int, int]]) -> Column:
-    """True when the value lies in one of the closed ranges, null for a null value."""
-    return reduce(Column.__or__, (value.between(lo, hi) for lo, hi in ranges))
-
-
 def hundredths(value: Column) -> Column:
     """A two-digit value as whole hundredths, so that its sum does not depend on row order."""
-    return F.round(value * F.lit(100.0)).cast("bigint")
+    return F.rint(value * F.lit(100.0)).cast("bigint")

@@ -8,59 +8,71 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore import params as P
-from linkscore.functions.columns import between_any, capped_percent, db_mean
+from linkscore.functions.columns import capped_percent, db_linear, linear_db
 from linkscore.operators import counters as C
 from linkscore.operators.ordered import sum_steps
 
 SIGNAL_MEANS = ("db_nr_rsrp", "db_lte_rsrp", "db_nr_snr", "db_lte_snr", "avg_cqi", "avg_memory_free")
 SIGNAL_COLUMNS = ("lte_snr", "nr_snr", "lte_rsrp", "nr_rsrp", "cqi", "memory_percent_free", "nr_earfcn_dl")
 
+# Records whose signal measures and memory reading are inside their physical bounds.
+PLAUSIBLE_SIGNAL = """
+    ((nr_rsrp > -155 and nr_rsrp < -20) or nr_rsrp = 0) and lte_snr < 55 and cqi < 15
+    and nr_snr > -23 and nr_snr < 40
+    and memory_percent_free is not null and not isnan(memory_percent_free)
+"""
+NR_CHANNEL = " or ".join(f"nr_earfcn_dl between {low} and {high}" for low, high in P.NR_CHANNEL_RANGES)
 
-def _nr_channel() -> Column:
-    return between_any(F.col("nr_earfcn_dl"), P.NR_CHANNEL_RANGES)
 
+def with_signal_values(df: DataFrame) -> DataFrame:
+    """Replace the signal columns by what a record adds to the signal features of its device.
 
-def plausible_signal() -> Column:
-    """Records whose signal measures and memory reading are inside their physical bounds."""
-    rsrp, memory = F.col("nr_rsrp"), F.col("memory_percent_free")
-    return (
-        (((rsrp > -155) & (rsrp < -20)) | (rsrp == 0))
-        & (F.col("lte_snr") < 55)
-        & (F.col("cqi") < 15)
-        & (F.col("nr_snr") > -23)
-        & (F.col("nr_snr") < 40)
-        & memory.isNotNull()
-        & ~F.isnan(memory)
+    Each value is null where the record does not count: an implausible record, or one of the other
+    radio. Decibel values are already in the linear domain.
+    """
+    radio = df.withColumn("plausible", F.expr(f"coalesce({PLAUSIBLE_SIGNAL}, false)")).withColumn(
+        "nr_channel", F.expr(f"case when plausible then {NR_CHANNEL} end")
     )
+    nr, lte, ok = F.col("nr_channel"), ~F.col("nr_channel"), F.col("plausible")
+    return radio.withColumns(
+        {
+            "db_nr_rsrp": F.when(nr, db_linear(F.col("nr_rsrp"))),
+            "db_lte_rsrp": F.when(lte, db_linear(F.col("lte_rsrp"))),
+            "db_nr_snr": F.when(nr, db_linear(F.col("nr_snr"))),
+            "db_lte_snr": F.when(lte, db_linear(F.col("lte_snr"))),
+            "avg_cqi": F.when(ok, F.col("cqi").cast("double")),
+            "avg_memory_free": F.when(ok, F.col("memory_percent_free")),
+        }
+    ).drop(*SIGNAL_COLUMNS)
+
+
+def mean_sums(means: Sequence[str]) -> dict[str, Column]:
+    """Sum and count of each value column: the parts of a mean that can be added up in any grouping."""
+    return {
+        **{f"{m}_sum": F.col(m) for m in means},
+        **{f"{m}_n": F.col(m).isNotNull().cast("int") for m in means},
+    }
 
 
 def signal_sums() -> dict[str, Column]:
-    """Summands of the signal means and record counts, over the plausible records."""
-    ok = F.coalesce(plausible_signal(), F.lit(False))
-    nr, lte = ok & _nr_channel(), ok & ~_nr_channel()
-    linear = lambda c: F.pow(F.lit(10.0), F.col(c) / F.lit(10.0))
-    means = {
-        "db_nr_rsrp": (nr, "nr_rsrp", linear),
-        "db_lte_rsrp": (lte, "lte_rsrp", linear),
-        "db_nr_snr": (nr, "nr_snr", linear),
-        "db_lte_snr": (lte, "lte_snr", linear),
-        "avg_cqi": (ok, "cqi", F.col),
-        "avg_memory_free": (ok, "memory_percent_free", F.col),
-    }
-    counts = {"received": ok, "channel_records": ok & F.col("nr_earfcn_dl").isNotNull(), "nr_records": nr, "lte_records": lte}
-    return {
-        **{f"{name}_sum": F.when(flag, value(c).cast("double")) for name, (flag, c, value) in means.items()},
-        **{f"{name}_n": F.when(flag & F.col(c).isNotNull(), 1).otherwise(0) for name, (flag, c, _) in means.items()},
-        **{name: F.when(flag, 1).otherwise(0) for name, flag in counts.items()},
+    """Summands of all signal features, over :func:`with_signal_values`."""
+    counts = {
+        "received": "plausible",
+        "channel_records": "nr_channel is not null",
+        "nr_records": "coalesce(nr_channel, false)",
+        "lte_records": "coalesce(not nr_channel, false)",
     }
+    return {**mean_sums(SIGNAL_MEANS), **{name: F.expr(f"int({flag})") for name, flag in counts.items()}}
 
 
-def with_signal_means(df: DataFrame) -> DataFrame:
-    """Means from :func:`signal_sums`; decibel values are averaged in the linear domain."""
-    mean = {m: F.try_divide(F.col(f"{m}_sum"), F.col(f"{m}_n").cast("double")) for m in SIGNAL_MEANS}
-    return df.withColumns(
-        {m: F.lit(10.0) * F.log10(e) if m.startswith("db_") else e for m, e in mean.items()}
-    ).drop(*[f"{m}_{part}" for m in SIGNAL_MEANS for part in ("sum", "n")])
+def with_means(df: DataFrame, means: Sequence[str]) -> DataFrame:
+    """Means from :func:`mean_sums`, decibel values back from the linear domain."""
+
+    def mean(m: str) -> Column:
+        value = F.try_divide(F.col(f"{m}_sum"), F.col(f"{m}_n").cast("double"))
+        return linear_db(value) if m.startswith("db_") else value
+
+    return df.withColumns({m: mean(m) for m in means}).drop(*[f"{m}_{part}" for m in means for part in ("sum", "n")])
 
 
 def with_shares(df: DataFrame) -> DataFrame:
@@ -78,9 +90,9 @@ def with_shares(df: DataFrame) -> DataFrame:
 
 def signal_average(heartbeats: DataFrame, keys: Sequence[str] = C.DEVICE) -> DataFrame:
     """Signal features per device; nothing needs the row order, so this is one partial aggregate."""
-    used = heartbeats.select(*keys, *SIGNAL_COLUMNS).where(plausible_signal())
+    used = with_signal_values(heartbeats.select(*keys, *SIGNAL_COLUMNS)).where("plausible")
     sums = used.groupBy(*keys).agg(*[F.sum(e).alias(n) for n, e in signal_sums().items()])
-    return with_shares(with_signal_means(sums))
+    return with_shares(with_means(sums, SIGNAL_MEANS))
 
 
 def device_features(
@@ -96,7 +108,7 @@ def device_features(
     service = ["service_downtime", "service_uptime"]
     used = list(dict.fromkeys(["sn", *C.BY_TIME, *service, "current_network", *counters, *SIGNAL_COLUMNS]))
     per_device = sum_steps(
-        heartbeats.select(*used),
+        with_signal_values(heartbeats.select(*used)),
         C.DEVICE,
         C.BY_TIME,
         {
@@ -115,7 +127,7 @@ def device_features(
     )
     # A device without a plausible record has no signal row at all, so its shares are null.
     per_device = per_device.withColumn("received", F.when(F.col("received") > 0, F.col("received")))
-    features = with_shares(with_signal_means(per_device)).withColumns(
+    features = with_shares(with_means(per_device, SIGNAL_MEANS)).withColumns(
         {"downtime_share": C.downtime_share(), **C.failure_ratio_columns()}
     )
     return heartbeats.select(*ids).distinct().join(features, "sn", "left")
@@ -133,24 +145,26 @@ def second_source_features(
     Aggregating first and then dropping the known devices gives the same rows as dropping their
     heartbeats, but the anti join sees one row per device instead of the whole source.
     """
-    switches = C.network_switches(heartbeats, ids, order, hot_rows)
-    bounded = (
-        (F.col("nr_snr") != 0)
-        & (F.col("lte_snr") != 0)
-        & (F.col("nr_rsrp") > -155)
-        & (F.col("nr_rsrp") < 0)
-        & (F.col("lte_snr") < 55)
-        & (F.col("lte_snr") > -50)
-        & (F.col("nr_snr") > -50)
+    bounded = F.expr(
+        """nr_snr <> 0 and lte_snr <> 0 and nr_rsrp > -155 and nr_rsrp < 0
+           and lte_snr < 55 and lte_snr > -50 and nr_snr > -50"""
+    )
+    values = {"db_nr_rsrp": "nr_rsrp", "db_nr_snr": "nr_snr", "db_lte_snr": "lte_snr"}
+    used = heartbeats.select(
+        *dict.fromkeys([*ids, *order, "current_network"]),
+        *[F.when(bounded, db_linear(F.col(c))).alias(m) for m, c in values.items()],
     )
-    signals = heartbeats.where(bounded).groupBy(*ids).agg(
-        db_mean(F.col("nr_rsrp")).alias("db_nr_rsrp"),
-        db_mean(F.col("nr_snr")).alias("db_nr_snr"),
-        db_mean(F.col("lte_snr")).alias("db_lte_snr"),
+    devices = sum_steps(
+        used,
+        ids,
+        order,
+        {"network": (["current_network"], C.attached())},
+        {"network_switches": C.changes_of("current_network", "network")},
+        {"heartbeats": F.lit(1), **mean_sums(list(values))},
+        hot_rows,
     )
-    devices = heartbeats.groupBy(*ids).agg(F.count("*").alias("heartbeats"))
     new = devices.join(first_ids.select(*ids).distinct(), list(ids), "left_anti")
-    return new.join(switches, list(ids), "left").join(signals, list(ids), "left")
+    return with_means(new, list(values))
 
 
 def align_union(first: DataFrame, second: DataFrame) -> DataFrame:

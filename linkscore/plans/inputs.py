@@ -207,16 +207,21 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in INPUTS:
             raise AttributeError(name)
         text = INPUTS[name]
         used = {t: self.table(t) for t in TABLES if f"{{{t}}}" in text}
-        return self.spark.sql(text, **used)
+        frame = self.spark.sql(text, **used)
+        setattr(self, name, frame)  # later reads of the attribute reuse the frame
+        return frame
 
 
 def input_cte(name: str) -> str:

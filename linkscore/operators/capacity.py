@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore import params as P
-from linkscore.functions.columns import category, hundredths
+from linkscore.functions.columns import category, hundredths, round2
 from linkscore.operators.customers import alias_model
 
 LTE_BANDS = ("lte_pcc_band", "lte_scc1_band", "lte_scc2_band", "lte_scc3_band")
@@ -47,7 +47,7 @@ def with_bandwidths(df: DataFrame, params: P.CapacityParams = P.CapacityParams()
 
 
 def with_capacities(
-    df: DataFrame, params: P.CapacityParams = P.CapacityParams(), round_digits: int | None = 2
+    df: DataFrame, params: P.CapacityParams = P.CapacityParams(), rounded: bool = True
 ) -> DataFrame:
     """Add the capacity of each record per radio: bandwidth x SNR quality, none for SNR 0."""
 
@@ -57,7 +57,7 @@ def with_capacities(
 
     def capacity(mhz: Column, snr: Column, offset: float) -> Column:
         value = F.when(snr == 0, F.lit(0.0)).otherwise(mhz * quality(snr, offset))
-        return value if round_digits is None else F.round(value, round_digits)
+        return round2(value) if rounded else value
 
     lte, nr = F.col("lte_snr"), F.col("nr_snr")
     return df.withColumns(
@@ -91,7 +91,7 @@ def _adjustment(dl_cap: float, params: P.CapacityParams) -> float:
 
 def _percent(adjustment: Column, params: P.CapacityParams) -> Column:
     total = F.col("lte_capacity") + F.col("nw_capacity") + F.col("cband_capacity")
-    return F.round(F.lit(100.0) * (total / (F.lit(params.best_mhz) * adjustment)), 2)
+    return round2(F.lit(100.0) * (total / (F.lit(params.best_mhz) * adjustment)))
 
 
 def link_capacity(
@@ -191,7 +191,7 @@ def capacity_by_model(
         .agg(*[F.sum(c).alias(c) for c in ("lte_mhz", "nw_mhz", "cband_mhz")])
     )
     usable = ((lte != 0) & (F.col("lte_mhz") > 0)) | ((nr != 0) & (F.col("nw_mhz") + F.col("cband_mhz") > 0))
-    records = with_capacities(bandwidths.join(signals, ["sn", "ts"]).where(usable), params, round_digits=None)
+    records = with_capacities(bandwidths.join(signals, ["sn", "ts"]).where(usable), params, rounded=False)
     share = (F.col("lte_capacity") + F.col("nw_capacity") + F.col("cband_capacity")) / F.lit(params.best_mhz)
     per_device = records.groupBy("sn", "model").agg(F.avg(share).alias("share"))
 

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "orders", "events")
 
-_K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+# The number in props, which reads {"k": <number>}.
+_K = "CAST(substring(props, 7, length(props) - 7) AS INT)"
 
 
 def _digits(expr: str, n: int) -> str:

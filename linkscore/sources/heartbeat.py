@@ -117,6 +117,11 @@ def ingest_heartbeats(
     ).distinct()
 
 
+def with_event_id(df: DataFrame) -> DataFrame:
+    """Add a number that depends on the row's content only: the last tie-break of every order."""
+    return df.withColumn("event_id", F.xxhash64(*df.columns))
+
+
 def modem_events(raw: DataFrame, event: str = "modem_event", rowkey: str = "rowkey", ts_ms: str = "ts") -> DataFrame:
     """Modem crash rows of the raw table."""
     return raw.where(F.col(event).isNotNull()).select(

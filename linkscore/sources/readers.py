@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -15,9 +15,12 @@ Schema = str | T.StructType
 
 
 def read_day(spark: SparkSession, base: str, date: dt.date, hour: int | None = None) -> DataFrame:
-    """One ``date=yyyymmdd`` partition (and ``hour=HH``) of a Parquet table; other folders are pruned."""
-    rows = spark.read.parquet(base).where(F.col("date") == int(date.strftime("%Y%m%d")))
-    return rows if hour is None else rows.where(F.col("hour") == hour)
+    """One ``date=yyyymmdd`` partition (and ``hour=HH``) of a Parquet table.
+
+    The partition's own folder is read, so the other dates are not even listed.
+    """
+    path = f"{base}/date={date.strftime('%Y%m%d')}" + ("" if hour is None else f"/hour={hour:02d}")
+    return spark.read.option("basePath", base).parquet(path)
 
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: Schema | None = None) -> DataFrame:
@@ -87,6 +90,22 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def newest_folder(read: Callable[[str], DataFrame], base: str, as_of: dt.date, days: int = 3) -> DataFrame:
+    """What ``read`` gives for the newest existing date folder among ``as_of`` and the days before it."""
+    for back in range(days):
+        try:
+            return read(f"{base}/{(as_of - dt.timedelta(days=back)).isoformat()}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    raise FileNotFoundError(f"no folder under {base} for {as_of} or {days - 1} days before")
+
+
+def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
+    """Only the columns in ``names`` (source name to engine name), matched without regard to case."""
+    return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
+
+
 def read_dates(spark: SparkSession, base: str, dates: Sequence[dt.date]) -> DataFrame:
     """Union of one folder per date, missing folders skipped."""
     paths = [f"{base}/{d.isoformat()}" for d in dates]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkscore import params as P
 from linkscore.functions.columns import capped_percent, db_linear, linear_db
 from linkscore.operators import counters as C
+from linkscore.operators.joins import left_join_many
 from linkscore.operators.ordered import sum_steps
 
 SIGNAL_MEANS = ("db_nr_rsrp", "db_lte_rsrp", "db_nr_snr", "db_lte_snr", "avg_cqi", "avg_memory_free")
@@ -232,9 +233,9 @@ def feature_join(
     """The feature table: one row per line, serial number and distinct speed test."""
     routers = router_map.where(F.col("sn").isNotNull()).select("imei", "sn").distinct()
     usage_cols = ["imsi", "mdn", "lte_total_mb", "nr_total_mb", "nr_usage_percentage", "data_usage", "sqrt_data_usage"]
+    used = lines.join(usage.select(*usage_cols), ["imsi", "mdn"], "left")
     joined = (
-        lines.join(usage.select(*usage_cols), ["imsi", "mdn"], "left")
-        .join(speedtest_rows(tests).drop("progress"), "mdn", "left")
+        left_join_many(used, speedtest_rows(tests), ["mdn"])
         .join(features, ["imei", "imsi"])
         .distinct()
         .join(routers, "imei", "left")

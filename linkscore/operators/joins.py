@@ -1,0 +1,28 @@
+"""Outer joins that stay splittable when one key holds a large share of the rows.
+
+Adaptive execution can split a skewed key on the kept side of an outer join and on both sides of an
+inner join, but not on the other side of a left join nor in a full join. These two forms give the
+same rows through joins it can split.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join where ``right`` may repeat a key many times: the matches by inner join, plus the
+    rows of ``left`` without any match."""
+    keys = list(keys)
+    alone = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return left.join(right, keys).unionByName(alone, allowMissingColumns=True)
+
+
+def full_join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full join where ``right`` has one row per key: a left join, plus the rows of ``right`` whose
+    key ``left`` does not have."""
+    keys = list(keys)
+    alone = right.join(left.select(*keys).distinct(), keys, "left_anti")
+    return left.join(right, keys, "left").unionByName(alone, allowMissingColumns=True)

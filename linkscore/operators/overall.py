@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from linkscore import params as P
 from linkscore.functions.columns import category_number, number_category, weighted_mean
+from linkscore.operators.joins import full_join_unique
 
 PARTS = ("availability", "capacity", "throughput")
 
 
 def overall_score(throughput: DataFrame, capacity: DataFrame, availability: DataFrame) -> DataFrame:
-    """Full join of the three parts per (sn, mdn); the score is the weighted mean of the category
-    numbers of the parts that exist, and the category is that number's name."""
-    joined = throughput.join(capacity, ["sn", "mdn"], "full").join(availability, ["sn"], "full")
+    """Full join of the three parts: capacity has one row per (sn, mdn), availability one per sn.
+
+    The score is the weighted mean of the category numbers of the parts that exist, its category
+    that number's name. The joins read capacity and availability more than once, so pass them
+    stored: they are one row per device, their source is every heartbeat.
+    """
+    joined = full_join_unique(full_join_unique(throughput, capacity, ["sn", "mdn"]), availability, ["sn"])
     numbers = joined.withColumns({f"{p}_number": category_number(F.col(f"{p}_category")) for p in PARTS})
     score = F.round(weighted_mean({f"{p}_number": w for p, w in P.OVERALL_WEIGHTS.items()}), 2)
     return numbers.withColumn("score", score).withColumn("score_category", number_category(F.col("score")))

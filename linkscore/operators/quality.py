@@ -12,7 +12,7 @@ PERCENTS = (5, 25, 50, 75, 95)
 
 
 def column_summary(
-    df: DataFrame, columns: Sequence[str], percents: Sequence[int] = PERCENTS, accuracy: int = 100_000
+    df: DataFrame, columns: Sequence[str], percents: Sequence[int] = PERCENTS, accuracy: int = 10_000
 ) -> DataFrame:
     """Count, mean, standard deviation, extremes and percentiles of each column, in long form."""
 

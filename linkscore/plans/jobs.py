@@ -96,11 +96,10 @@ def run_day(spark: SparkSession, at: Locations, date: dt.date) -> None:
     """All scores of one date, the scores of the listed models, and the scores with location."""
     heartbeats, _ = _typed(spark, at, date, None, at.day("heartbeats", date))
     lines = _lines(spark, at, date)
-    scores = O.overall_score(
-        T.throughput(lines, _speeds(spark, at, date), T.speedtest_avg(_tests(spark, at, date))),
-        K.link_capacity(heartbeats, lines),
-        A.availability(heartbeats, order=BY_UPTIME),
-    )
+    capacity = W.write_and_read(K.link_capacity(heartbeats, lines), at.day("capacity", date))
+    available = W.write_and_read(A.availability(heartbeats, order=BY_UPTIME), at.day("availability", date))
+    tests = T.speedtest_avg(_tests(spark, at, date))
+    scores = O.overall_score(T.throughput(lines, _speeds(spark, at, date), tests), capacity, available)
     stored = W.write_and_read(scores, at.day("all_score", date))
     W.write_subset(stored, at.day("model_score", date), "model", P.SUBSET_MODELS)
     if at.places is not None and at.device_groups is not None:
@@ -114,14 +113,15 @@ def run_day(spark: SparkSession, at: Locations, date: dt.date) -> None:
 
 def run_hour(spark: SparkSession, at: Locations, date: dt.date, hour: int, crash_join: str = "left") -> None:
     """Scores of one hour: passive throughput only, and modem crashes count as downtime."""
-    slot = f"{at.output}/hourly_heartbeats/{date.isoformat()}/{hour:02d}"
-    heartbeats, raw = _typed(spark, at, date, hour, slot)
+    slot = f"{date.isoformat()}/{hour:02d}"
+    heartbeats, raw = _typed(spark, at, date, hour, f"{at.output}/hourly_heartbeats/{slot}")
     lines = _lines(spark, at, date - dt.timedelta(days=1))
     crashes = A.modem_crashes(H.modem_events(raw))
+    available = A.availability(heartbeats, crashes=crashes, crash_join=crash_join, order=BY_UPTIME)
     scores = O.overall_score(
         T.throughput(lines, _speeds(spark, at, date), None),
-        K.link_capacity(heartbeats, lines),
-        A.availability(heartbeats, crashes=crashes, crash_join=crash_join, order=BY_UPTIME),
+        W.write_and_read(K.link_capacity(heartbeats, lines), f"{at.output}/hourly_capacity/{slot}"),
+        W.write_and_read(available, f"{at.output}/hourly_availability/{slot}"),
     )
     stamped = scores.withColumns({"date": F.lit(date), "hr": F.lit(f"{hour:02d}")})
     W.write_hours(stamped, f"{at.output}/hourly_score")

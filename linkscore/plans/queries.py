@@ -287,7 +287,8 @@ def score_categories(i: Inputs) -> DataFrame:
 
 
 def _overall(i: Inputs) -> DataFrame:
-    return O.overall_score(_throughput(i), K.link_capacity(i.hb, _lines(i)), A.availability(i.hb))
+    capacity, available = stored(K.link_capacity(i.hb, _lines(i))), stored(A.availability(i.hb))
+    return O.overall_score(_throughput(i), capacity, available)
 
 
 OVERALL_COLUMNS = [
@@ -472,7 +473,7 @@ def capacity_by_model(i: Inputs) -> DataFrame:
 
 @query
 def column_summary(i: Inputs) -> DataFrame:
-    return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS), 6, "value")
+    return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS, accuracy=100_000), 6, "value")
 
 
 @query

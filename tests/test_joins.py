@@ -1,0 +1,11 @@
+from conftest import rows
+
+from linkscore.operators.joins import full_join_unique, left_join_many
+
+
+def test_same_rows_as_the_plain_joins(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("c", 5)], "k string, v int")
+    many = spark.createDataFrame([("a", 10), ("a", 11), ("d", 12), (None, 13)], "k string, w int")
+    assert rows(left_join_many(left, many, ["k"])) == rows(left.join(many, "k", "left"))
+    unique = spark.createDataFrame([("a", 10), ("d", 12), (None, 13)], "k string, w int")
+    assert rows(full_join_unique(left, unique, ["k"])) == rows(left.join(unique, "k", "full"))

@@ -57,18 +57,19 @@ def threshold_table(spark, feature: str, thresholds: Mapping[str, tuple[float, f
 def scale(df: DataFrame, specs: Sequence[P.ScaleSpec], history: DataFrame | None = None) -> DataFrame:
     """Add ``scaled_<feature>`` for every spec.
 
-    Percentiles come from ``history`` when given, else from ``df`` itself. Specs with the same
-    grouping share one aggregate; the table of percentiles is then joined, by broadcast when its
+    Percentiles come from ``history`` when given, else from ``df`` itself; the median of a shift
+    always from ``df``. Specs with the same grouping share one aggregate, so pass ``df`` stored; the table of percentiles is then joined, by broadcast when its
     counted size allows. Unlike a window per feature, no group is ever brought into one task.
     """
-    source = df if history is None else history
-    groups: dict[tuple[str, ...], list[str]] = {}
+    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
     for spec in specs:
         if spec.how in ("percentile", "shift"):
-            groups.setdefault(tuple(spec.by), []).append(spec.feature)
+            past = history is not None and spec.how == "percentile"
+            groups.setdefault((past, tuple(spec.by)), []).append(spec.feature)
     result = df
-    for by, features in groups.items():
-        result = small_or_joined(result, percentile_by_group(source, features, by), by, "left")
+    for (past, by), features in groups.items():
+        cuts = percentile_by_group(history if past else df, features, by)
+        result = small_or_joined(result, cuts, by, "left")
     for spec in specs:
         if spec.how == "manual":
             # A constant of one row per plan, so it may be broadcast.

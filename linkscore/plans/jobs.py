@@ -95,7 +95,7 @@ def _typed(spark: SparkSession, at: Locations, date: dt.date, hour: int | None,
 def run_day(spark: SparkSession, at: Locations, date: dt.date) -> None:
     """All scores of one date, the scores of the listed models, and the scores with location."""
     heartbeats, _ = _typed(spark, at, date, None, at.day("heartbeats", date))
-    lines = _lines(spark, at, date)
+    lines = W.write_and_read(_lines(spark, at, date), at.day("lines", date))
     capacity = W.write_and_read(K.link_capacity(heartbeats, lines), at.day("capacity", date))
     available = W.write_and_read(A.availability(heartbeats, order=BY_UPTIME), at.day("availability", date))
     tests = T.speedtest_avg(_tests(spark, at, date))

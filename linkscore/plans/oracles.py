@@ -280,6 +280,13 @@ cte(
         FROM (SELECT *, {lags(SERVICE)} FROM hb WHERE {KNOWN} WINDOW w AS (PARTITION BY sn ORDER BY ts, event_id))
         GROUP BY sn""",
 )
+cte(
+    "falls",
+    """SELECT sn, CAST(SUM(CASE WHEN x < p THEN 1 ELSE 0 END) AS BIGINT) AS resets
+       FROM (SELECT sn, lte_handover_attempt_count AS x,
+               lag(lte_handover_attempt_count) OVER (PARTITION BY sn ORDER BY ts, event_id) AS p
+             FROM hb WHERE lte_handover_attempt_count <> 0) GROUP BY sn""",
+)
 MEANS = ["db_nr_rsrp", "db_lte_rsrp", "db_nr_snr", "db_lte_snr", "avg_cqi", "avg_memory_free"]
 cte(
     "devices",
@@ -447,14 +454,14 @@ def payload(key: str) -> str:
     return f"""CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$."{key}"') END"""
 
 
-def summary(c: str) -> str:
+def summary(c: str, source: str = "hb") -> str:
     x = f"CAST({c} AS DOUBLE)"
     stats = {
         "count": f"CAST(COUNT({x}) AS DOUBLE)", "mean": f"AVG({x})", "stddev": f"stddev_samp({x})", "min": f"MIN({x})",
         "max": f"MAX({x})", **{f"{p}%": f"quantile_disc({x}, {p / 100})" for p in (5, 25, 50, 75, 95)},
     }
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", '{n}' AS statistic, {rnd(e, 6)} AS value FROM hb""" for n, e in stats.items()
+        f"""SELECT '{c}' AS "column", '{n}' AS statistic, {rnd(e, 6)} AS value FROM {source}""" for n, e in stats.items()
     )
 
 
@@ -528,14 +535,9 @@ ORACLES: dict[str, str] = {
             GROUP BY sn""",
         "hb",
     ),
-    "counter_resets": sql(
-        """SELECT sn, CAST(SUM(CASE WHEN x < p THEN 1 ELSE 0 END) AS BIGINT) AS resets
-           FROM (SELECT sn, lte_handover_attempt_count AS x,
-                   lag(lte_handover_attempt_count) OVER (PARTITION BY sn ORDER BY ts, event_id) AS p
-                 FROM hb WHERE lte_handover_attempt_count <> 0)
-           GROUP BY sn ORDER BY resets DESC, sn LIMIT 20""",
-        "hb",
-    ),
+    "counter_resets": sql("SELECT * FROM falls ORDER BY resets DESC, sn LIMIT 20", "hb", "falls"),
+    "switch_summary": sql(summary("network_switches", "switches"), "hb", "switches"),
+    "reset_summary": sql(summary("resets", "falls"), "hb", "falls"),
     "network_switches": sql("SELECT * FROM switches", "hb", "switches"),
     "uptime_stalls": sql(
         f"""SELECT sn, CAST(SUM(CASE WHEN service_uptime = p THEN 1 ELSE 0 END) AS BIGINT) AS uptime_stalls

@@ -476,6 +476,16 @@ def column_summary(i: Inputs) -> DataFrame:
     return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS, accuracy=100_000), 6, "value")
 
 
+@query
+def switch_summary(i: Inputs) -> DataFrame:
+    return rounded(Q.column_summary(C.network_switches(i.hb), ["network_switches"], accuracy=100_000), 6, "value")
+
+
+@query
+def reset_summary(i: Inputs) -> DataFrame:
+    return rounded(Q.column_summary(C.counter_resets(i.hb), ["resets"], accuracy=100_000), 6, "value")
+
+
 @query
 def latest_partition(i: Inputs) -> DataFrame:
     return Q.latest_partition(i.hb, "ts")

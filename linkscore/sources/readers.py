@@ -106,6 +106,10 @@ def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
+def lower_names(df: DataFrame) -> DataFrame:
+    return df.toDF(*[c.lower() for c in df.columns])
+
+
 def read_dates(spark: SparkSession, base: str, dates: Sequence[dt.date]) -> DataFrame:
     """Union of one folder per date, missing folders skipped."""
     paths = [f"{base}/{d.isoformat()}" for d in dates]

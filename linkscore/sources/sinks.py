@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 
 def write_dates(df: DataFrame, base: str, partitions: Sequence[str] = ("date",)) -> None:
-    """Write a partitioned Parquet table, replacing only the partitions that ``df`` contains."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(base)
+    """Write a partitioned Parquet table, replacing only the partitions that ``df`` contains.
+
+    Rows of a partition are brought together first, a large one in several files.
+    """
+    df.hint("rebalance", *partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(base)
 
 
 def write_hours(df: DataFrame, base: str) -> None:

@@ -186,3 +186,9 @@ def test_small_or_joined_matches_null_keys_either_way(spark, limit):
 def test_checkpoint_folder_is_the_sessions(spark):
     assert D.checkpoint_folder(spark).startswith("file:")
     assert spark.conf.get("spark.checkpoint.dir") in D.checkpoint_folder(spark)
+
+
+def test_renames(spark):
+    df = spark.createDataFrame([("1", "2")], "MTN string, Other string")
+    assert R.renamed(df, {"mtn": "mdn"}).columns == ["mdn"]
+    assert R.lower_names(df).columns == ["mtn", "other"]

@@ -109,12 +109,10 @@ def link_capacity(
     """
     adjustments = sorted({_adjustment(dl, params) for _, dl, _ in caps})
     records = record_capacity(heartbeats, ["sn", "imsi"], params, "any")
-    capped = [
-        F.sum(hundredths(F.least(_percent(F.lit(a), params), F.lit(100.0)))).alias(f"_pct_{i}")
-        for i, a in enumerate(adjustments)
-    ]
-    sums = [F.sum(hundredths(F.col(p))).alias(f"_sum_{p}") for p in PARTS]
-    per_device = records.groupBy("sn", "imsi").agg(F.count("*").alias("_n"), *sums, *capped)
+    parts = {f"_sum_{p}": hundredths(F.col(p)) for p in PARTS}
+
+    def capped(adjustment: Column) -> Column:
+        return hundredths(F.least(_percent(adjustment, params), F.lit(100.0)))
 
     # A constant of one row per plan, so it may be broadcast.
     plans = lines.sparkSession.createDataFrame(
@@ -122,8 +120,17 @@ def link_capacity(
         "pplan_cd string, adjustment double, _step int",
     )
     adjusted = lines.select("sn", "imsi", "mdn", "pplan_cd").join(F.broadcast(plans), "pplan_cd")
-    own_pct = F.element_at(F.array(*[f"_pct_{i}" for i in range(len(adjustments))]), F.col("_step"))
-    joined = per_device.join(adjusted, ["sn", "imsi"]).withColumn("_pct", own_pct)
+    if len(adjustments) <= params.max_adjustments:
+        steps = {f"_pct_{i}": capped(F.lit(a)) for i, a in enumerate(adjustments)}
+        sums = [F.sum(e).alias(n) for n, e in {**parts, **steps}.items()]
+        per_device = records.groupBy("sn", "imsi").agg(F.count("*").alias("_n"), *sums)
+        own = F.element_at(F.array(*steps), F.col("_step"))
+        joined = per_device.join(adjusted, ["sn", "imsi"]).withColumn("_pct", own)
+    else:
+        # Too many adjustments for one aggregate each: join the records, then aggregate.
+        joined = records.join(adjusted, ["sn", "imsi"]).withColumns(
+            {"_n": F.lit(1), **parts, "_pct": capped(F.col("adjustment"))}
+        )
 
     def mean(total: str) -> Column:
         return F.round(F.sum(total) / F.lit(100.0) / F.sum("_n"), 2)

@@ -254,6 +254,7 @@ class CapacityParams:
     snr_span: float = 41.0
     best_mhz: float = 218.0
     full_plan_mbps: float = 150.0
+    max_adjustments: int = 16  # plan adjustments that get an aggregate of their own
     null_snr: str = "full"  # "full" scores a missing SNR as the best one, "zero" as none
 
 

@@ -120,22 +120,33 @@ def read_dates(spark: SparkSession, base: str, dates: Sequence[dt.date]) -> Data
 CREATED_FORMAT = "MMM dd, yyyy hh:mm:ss a"
 
 
+CREATED_AT = "to_timestamp(transactioncreatedate, 'Mon DD, YYYY hh:mi:ss PM')"
+
+
 def extract_query(table: str, day: dt.date) -> str:
     """Subquery for the database: finished tests created in the day after ``day`` began."""
-    created = "to_timestamp(transactioncreatedate, 'Mon DD, YYYY hh:mi:ss PM')"
     return (
-        f"(select * from {table} where {created} > date '{day.isoformat()}'"
-        f" and {created} <= date '{day.isoformat()}' + interval '1 days'"
+        f"(select * from {table} where {CREATED_AT} > date '{day.isoformat()}'"
+        f" and {CREATED_AT} <= date '{day.isoformat()}' + interval '1 days'"
         " and status <> 'FAILED') as extract"
     )
 
 
+def extract_slots(day: dt.date, slots: int = 24) -> list[str]:
+    """Conditions that cut the day into equal slots, one per parallel connection."""
+    edges = [dt.datetime.combine(day, dt.time()) + dt.timedelta(days=1) * k / slots for k in range(slots + 1)]
+    return [
+        f"{CREATED_AT} > timestamp '{low.isoformat(' ')}' and {CREATED_AT} <= timestamp '{high.isoformat(' ')}'"
+        for low, high in zip(edges, edges[1:])
+    ]
+
+
 def read_jdbc_extract(
-    spark: SparkSession, url: str, table: str, day: dt.date, options: Mapping[str, str]
+    spark: SparkSession, url: str, table: str, day: dt.date, options: Mapping[str, str], slots: int = 24
 ) -> DataFrame:
     """One day of speed tests, filtered inside the database; the caller supplies the connection."""
-    rows = spark.read.jdbc(url=url, table=extract_query(table, day), properties=dict(options))
-    return with_numbers(rows)
+    query = extract_query(table, day)
+    return with_numbers(spark.read.jdbc(url=url, table=query, predicates=extract_slots(day, slots), properties=dict(options)))
 
 
 def with_numbers(df: DataFrame) -> DataFrame:

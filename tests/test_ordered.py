@@ -14,7 +14,7 @@ from linkscore.operators.ordered import SLICE, hot_keys, sliced, sum_steps
 HOT = [1, 7, 40, 1_000_000]
 
 
-def reference_increments(values):
+def looped_increments(values):
     total, previous = 0, None
     for v in values:
         if previous is not None and v is not None and previous <= v:
@@ -48,7 +48,7 @@ def test_increments_match_a_loop(skewed, hot_rows):
     for r in got:
         mine = sorted((d for d in data if d[0] == r.sn), key=lambda d: (d[1], d[2]))
         nets = [d[4] for d in mine if d[4] != "-"]
-        assert r.sum_n == reference_increments([d[3] for d in mine])
+        assert r.sum_n == looped_increments([d[3] for d in mine])
         assert r.changes == sum(a != b for a, b in zip(nets, nets[1:]))
         assert r.rows == len(mine)
 

@@ -117,7 +117,10 @@ def test_link_capacity_equals_the_record_level_join(inputs, spark):
         .groupBy("sn", "mdn")
         .agg(F.round(F.avg(F.col("p").cast("decimal(9,2)")), 2).cast("double").alias("capacity_score"))
     )
-    assert rows(K.link_capacity(inputs.hb, lines).select("sn", "mdn", "capacity_score")) == rows(slow)
+    got = K.link_capacity(inputs.hb, lines)
+    assert rows(got.select("sn", "mdn", "capacity_score")) == rows(slow)
+    joined_first = K.link_capacity(inputs.hb, lines, params=P.CapacityParams(max_adjustments=0))
+    assert rows(joined_first) == rows(got)
 
 
 def heartbeat_rows(spark, data):

@@ -82,6 +82,13 @@ def test_extract_is_filtered_in_the_database():
     assert "> date '2024-01-10'" in text and "interval '1 days'" in text and "status <> 'FAILED'" in text
 
 
+def test_extract_slots_cover_the_day_once():
+    slots = R.extract_slots(DAY, 6)
+    assert len(slots) == 6
+    assert "> timestamp '2024-01-10 00:00:00'" in slots[0] and "<= timestamp '2024-01-11 00:00:00'" in slots[-1]
+    assert all(a.split("<= ")[1] in b for a, b in zip(slots, slots[1:]))
+
+
 def test_landed_extract_bounds(spark):
     data = [
         (1, "Jan 10, 2024 12:00:00 AM", "DONE", "5.5"),  # the start itself is outside

@@ -97,6 +97,8 @@ KEPT_MODELS = (
     "ARC-XCI55AX", "ASK-NCQ1338FA", "WNC-CR200A", "ASK-NCQ1338", "FSNO21VA", "NCQ1338E",
     "ASK-NCM1100E", "ASK-NCM1100", "Others",
 )
+# The same list in the first cellular score.
+KEPT_MODELS_FIRST = ("ASK-NCQ1338", "ASK-NCQ1338FA", "WNC-CR200A", "CR1000A", "CR1000B")
 # Models whose scores are also written on their own.
 SUBSET_MODELS = ("ASK-NCQ1338", "ASK-NCQ1338FA", "ARC-XCI55AX", "WNC-CR200A", "ASK-NCM1100")
 # Models in the capacity distribution, and the name two of them are reported under.

@@ -127,6 +127,27 @@ def run_hour(spark: SparkSession, at: Locations, date: dt.date, hour: int, crash
     W.write_hours(stamped, f"{at.output}/hourly_score")
 
 
+def run_first_score(spark: SparkSession, at: Locations, date: dt.date) -> None:
+    """The first cellular score of a date: flat heartbeats, peak speeds of the same day, older plan
+    caps, no plan adjustment, and a mean of raw scores over lines that have all three parts."""
+    day = date.isoformat()
+    flat = R.read_csv(spark, f"{at.flat_heartbeats}/date={day}")
+    typed = W.write_and_read(H.with_event_id(H.flat_heartbeats(flat)), at.day("first_heartbeats", date))
+    customers = at.named("customers", R.read_csv_tree(spark, f"{at.customers}/{day}"))
+    passive = at.named("passive", R.read_csv(spark, f"{at.passive}/datadate={day}"))
+    peaks = T.passive_peak(
+        L.feature_line(customers, P.KEPT_MODELS_FIRST), H.cast_columns(passive, {"dl_speed": "double"})
+    )
+    tests = T.speedtest_avg(_tests(spark, at, date))
+    scores = O.overall_score_raw(
+        T.with_throughput_score(T.with_speedtest(peaks, tests)),
+        K.link_capacity_strict(typed),
+        A.availability(typed, order=BY_UPTIME),
+    )
+    stored = W.write_and_read(scores, at.day("first_score", date))
+    W.write_subset(stored, at.day("first_model_score", date), "model", P.SUBSET_MODELS)
+
+
 def run_device_features(spark: SparkSession, at: Locations, date: dt.date) -> None:
     """Features of every device of the first heartbeat source; the folder must be new."""
     flat = R.read_csv(spark, f"{at.flat_heartbeats}/date={date.isoformat()}")

@@ -67,6 +67,7 @@ PAIR_COUNTERS = [c for pair in PAIRS.values() for c in pair]
 KNOWN = f"service_downtime <> {SENTINEL} AND service_uptime <> {SENTINEL}"
 ATTACHED = "current_network IS NOT NULL AND current_network NOT IN ('-', '0', '12', '13', 'None')"
 MODEL = "list_extract(string_split(trim(device_prod_nm), ' '), -1)"
+KEPT_FIRST = f"CASE WHEN {MODEL} IN ({quoted(P.KEPT_MODELS_FIRST)}) THEN {MODEL} ELSE 'Others' END"
 KEPT = f"CASE WHEN {MODEL} IN ({quoted(P.KEPT_MODELS)}) THEN {MODEL} ELSE 'Others' END"
 
 CTES: dict[str, str] = {name: input_cte(name) for name in INPUTS}
@@ -95,6 +96,7 @@ cte(
     f"""SELECT DISTINCT cust_id, substring(imei_raw, 1, length(imei_raw) - 1) AS imei, imsi, mdn, pplan_cd,
         {KEPT} AS model FROM cust""",
 )
+cte("flines_first", f"SELECT DISTINCT cust_id, imei_raw, imsi, mdn, pplan_cd, {KEPT_FIRST} AS model FROM cust")
 cte(
     "all_lines",
     """SELECT * FROM flines UNION ALL SELECT DISTINCT 'second', substring(imei_raw, 1, length(imei_raw) - 1),
@@ -219,7 +221,7 @@ cte(
           {capped('(u.dl_speed / p.dl_cap * 2)')} AS passive_score
         FROM (SELECT imsi, device_model, MAX(dl_speed) AS dl_speed FROM passive
               WHERE dl_speed IS NOT NULL AND dl_speed <> 0 GROUP BY imsi, device_model) u
-        JOIN flines l ON u.imsi = l.imsi JOIN caps_first p ON l.pplan_cd = p.pplan_cd""",
+        JOIN flines_first l ON u.imsi = l.imsi JOIN caps_first p ON l.pplan_cd = p.pplan_cd""",
 )
 
 # overall
@@ -573,7 +575,7 @@ ORACLES: dict[str, str] = {
         f"SELECT sn, mdn, dl_cap, {digits(6, 'dl_speed')}, passive_score FROM parts",
         *LINES, "passive", "speedtest", "caps", "speeds", "tests", "parts",
     ),
-    "passive_peak": sql("SELECT * FROM peak", "cust", "passive", "flines", "caps_first", "peak"),
+    "passive_peak": sql("SELECT * FROM peak", "cust", "passive", "flines_first", "caps_first", "peak"),
     "speedtest_avg": sql(f"SELECT mdn, {digits(6, 'download_result', 'upload_result')} FROM tests", "speedtest", "tests"),
     "throughput_score": sql(
         "SELECT sn, mdn, passive_score, download_score, upload_score, throughput_score, throughput_category FROM thr", *THR
@@ -594,13 +596,13 @@ ORACLES: dict[str, str] = {
     "overall_score": sql(f"SELECT {OVERALL_OUT} FROM overall", *OVERALL_CTES),
     "overall_score_raw": sql(
         f"""SELECT *, {rnd(weighted({'availability_score': 5, 'capacity_score': 2, 'throughput_score': 1}), 2)} AS score
-            FROM (SELECT a.sn, k.imsi, k.mdn, k.device_model, k.throughput_score, s.capacity_score, a.availability_score
+            FROM (SELECT a.sn, k.imsi, k.mdn, k.model, k.device_model, k.throughput_score, s.capacity_score, a.availability_score
                   FROM (SELECT *, {rnd(weighted(THROUGHPUT), 2)} AS throughput_score
                         FROM (SELECT p.*, {capped('(t.download_result / p.dl_cap)')} AS download_score,
                                 {capped('(t.upload_result / p.ul_cap)')} AS upload_score
                               FROM peak p LEFT JOIN tests t ON p.mdn = t.mdn)) k
                   JOIN strict s ON k.imsi = s.imsi JOIN avail a ON s.sn = a.sn)""",
-        "cust", "passive", "speedtest", "flines", "caps_first", "peak", "tests", *AVAIL, "records_all", "strict",
+        "cust", "passive", "speedtest", "flines_first", "caps_first", "peak", "tests", *AVAIL, "records_all", "strict",
     ),
     "model_subset": sql(
         f"SELECT {OVERALL_OUT} FROM overall WHERE model IN ({quoted(P.SUBSET_MODELS)})", *OVERALL_CTES
@@ -736,3 +738,4 @@ ORACLES: dict[str, str] = {
         "hb",
     ),
 }
+ORACLES["capacity_by_model_sql"] = ORACLES["capacity_by_model"]

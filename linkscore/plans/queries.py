@@ -19,6 +19,7 @@ from linkscore.operators import overall as O
 from linkscore.operators import quality as Q
 from linkscore.operators import scaling as S
 from linkscore.operators import throughput as T
+from linkscore.operators.capacity_sql import capacity_distribution
 from linkscore.plans.inputs import Inputs
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
@@ -120,8 +121,8 @@ def optional_input(i: Inputs) -> DataFrame:
 
 
 def _first_source(i: Inputs) -> DataFrame:
-    known = i.hb.join(i.first_ids, ["imei", "imsi"], "left_semi")
-    return X.first_source_features(X.device_features(known, ["sn", "imei", "imsi"]), i.nr_time)
+    known = X.device_features(i.hb, ["sn", "imei", "imsi"]).join(i.first_ids, ["imei", "imsi"], "left_semi")
+    return X.first_source_features(known, i.nr_time)
 
 
 def _both_sources(i: Inputs) -> DataFrame:
@@ -240,8 +241,7 @@ def passive_throughput(i: Inputs) -> DataFrame:
 
 @query
 def passive_peak(i: Inputs) -> DataFrame:
-    customers = L.feature_line(i.cust)
-    peak = T.passive_peak(customers, i.passive)
+    peak = T.passive_peak(L.feature_line(i.cust, P.KEPT_MODELS_FIRST), i.passive)
     return peak.select("imsi", "mdn", "model", "device_model", "pplan_cd", "dl_cap", "ul_cap", "dl_speed", "passive_score")
 
 
@@ -304,10 +304,10 @@ def overall_score(i: Inputs) -> DataFrame:
 
 @query
 def overall_score_raw(i: Inputs) -> DataFrame:
-    peak = T.passive_peak(L.feature_line(i.cust), i.passive)
+    peak = T.passive_peak(L.feature_line(i.cust, P.KEPT_MODELS_FIRST), i.passive)
     scored = T.with_throughput_score(T.with_speedtest(peak, T.speedtest_avg(i.speedtest)))
     raw = O.overall_score_raw(scored, K.link_capacity_strict(i.hb), A.availability(i.hb))
-    return raw.select("sn", "imsi", "mdn", "device_model", "throughput_score", "capacity_score", "availability_score", "score")
+    return raw.select("sn", "imsi", "mdn", "model", "device_model", *[f"{p}_score" for p in O.PARTS], "score")
 
 
 @query
@@ -471,6 +471,12 @@ def capacity_by_model(i: Inputs) -> DataFrame:
     return rounded(K.capacity_by_model(i.hb), 6, *shares)
 
 
+@query
+def capacity_by_model_sql(i: Inputs) -> DataFrame:
+    shares = ["avg_share", "min_share", "max_share", "p10", "p25", "p50", "p75", "p99"]
+    return rounded(capacity_distribution(i.hb), 6, *shares)
+
+
 @query
 def column_summary(i: Inputs) -> DataFrame:
     return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS, accuracy=100_000), 6, "value")

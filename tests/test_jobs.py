@@ -57,6 +57,7 @@ def world(spark, inputs, tmp_path_factory):
     for day in (7, 8, 9):
         if day != 8:  # one date is missing
             csv(inputs.passive.where(F.dayofmonth("datadate") == day).select("imsi", "dl_speed"), f"passive/datadate=2024-01-{day:02d}")
+    csv(inputs.passive.where(F.dayofmonth("datadate") == 10).select("imsi", "device_model", "dl_speed"), "passive/datadate=2024-01-10")
     inputs.speedtest.write.parquet(f"{base}/tests/2024-01-10")
     inputs.location.withColumns({"latitude": F.lit(1.0), "longitude": F.lit(2.0)}).write.parquet(f"{base}/places/x")
     inputs.firmware.select(F.concat(F.lit("6223-"), "sn", F.lit("_mac")).alias("rowkey"), "firmware").write.parquet(
@@ -126,6 +127,21 @@ def test_hour(spark, inputs, world):
     assert {(r.date, r.hr) for r in got.select("date", "hr").distinct().collect()} == {(DAY, 5)}
 
 
+def test_first_score(spark, inputs, world):
+    J.run_first_score(spark, world, DAY)
+    got = spark.read.parquet(world.day("first_score", DAY))
+    known = inputs.hb.join(inputs.first_ids, ["imei", "imsi"], "left_semi")
+    peaks = T.passive_peak(
+        L.feature_line(inputs.cust, P.KEPT_MODELS_FIRST), inputs.passive.where(F.dayofmonth("datadate") == 10)
+    )
+    throughput = T.with_throughput_score(T.with_speedtest(peaks, T.speedtest_avg(inputs.speedtest)))
+    expected = O.overall_score_raw(throughput, K.link_capacity_strict(known), A.availability(known))
+    columns = ["sn", "imsi", "mdn", "model", "device_model", *[f"{p}_score" for p in O.PARTS], "score"]
+    assert got.count() > 0 and rows(got.select(columns)) == rows(expected.select(columns))
+    subset = spark.read.parquet(world.day("first_model_score", DAY))
+    assert subset.count() == got.where(F.col("model").isin(*P.SUBSET_MODELS)).count()
+
+
 def test_feature_pipeline(spark, inputs, world):
     J.run_device_features(spark, world, DAY)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):

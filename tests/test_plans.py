@@ -9,6 +9,7 @@ from linkscore.plans.queries import _lines
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
 
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

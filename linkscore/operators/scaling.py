@@ -54,12 +54,16 @@ def threshold_table(spark, feature: str, thresholds: Mapping[str, tuple[float, f
     )
 
 
-def scale(df: DataFrame, specs: Sequence[P.ScaleSpec], history: DataFrame | None = None) -> DataFrame:
+def scale(
+    df: DataFrame, specs: Sequence[P.ScaleSpec], history: DataFrame | None = None, accuracy: int = ACCURACY
+) -> DataFrame:
     """Add ``scaled_<feature>`` for every spec.
 
     Percentiles come from ``history`` when given, else from ``df`` itself; the median of a shift
-    always from ``df``. Specs with the same grouping share one aggregate, so pass ``df`` stored; the table of percentiles is then joined, by broadcast when its
-    counted size allows. Unlike a window per feature, no group is ever brought into one task.
+    always from ``df``. They are exact to one part in ``accuracy`` of a group's rows. Specs with
+    the same grouping share one aggregate, so pass ``df`` stored; the table of percentiles is
+    joined by broadcast when its counted size allows. No group is ever brought into one task, as a
+    window per feature would do.
     """
     groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
     for spec in specs:
@@ -68,7 +72,7 @@ def scale(df: DataFrame, specs: Sequence[P.ScaleSpec], history: DataFrame | None
             groups.setdefault((past, tuple(spec.by)), []).append(spec.feature)
     result = df
     for (past, by), features in groups.items():
-        cuts = percentile_by_group(history if past else df, features, by)
+        cuts = percentile_by_group(history if past else df, features, by, accuracy)
         result = small_or_joined(result, cuts, by, "left")
     for spec in specs:
         if spec.how == "manual":

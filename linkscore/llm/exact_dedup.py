@@ -1,13 +1,13 @@
 """Exact deduplication by distributed MSD radix partitioning.
 
 Documents are split by their leading bytes, the groups by the bytes that follow, and so on until a
-group holds one row or its texts have ended. A digit is a slice of bytes, 64 at first and eight
-times as many in each later round, so a text of n bytes takes log(n) rounds. Only groups of two or
-more go on, so a round moves no more than the texts that still agree with another. Rows that have
-agreed on every digit up to their end are equal byte by byte; no digest takes part.
+group holds one row or its texts have ended. A digit is a slice of bytes: 64 at first, then 64 KiB,
+then 1 MiB a round. Only groups of two or more go on, so a round moves no more than the texts that
+still agree with another. Rows that have agreed on every digit up to their end are equal byte by
+byte; no digest takes part.
 
-A hot group is counted by partial aggregates and joined to its one-row summary by a join that
-adaptive execution can split.
+A hot group is counted by partial aggregates and joined to its one-row summary by a sort-merge join
+at every size, which adaptive execution can split.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from linkscore.llm.store import Scratch
 
 FIRST_DIGIT = 64
-GROWTH = 8
+GROWTH = 1024
 WIDEST_DIGIT = 1 << 20
 
 
@@ -73,7 +73,7 @@ def _split(scratch: Scratch, rows: DataFrame, width: int) -> DataFrame:
         .otherwise("live")
     )
     joined = (
-        rows.join(groups, ["group", "digit"], "left")
+        rows.join(groups.hint("merge"), ["group", "digit"], "left")
         .withColumn("state", state)
         .select(
             "id",
@@ -100,7 +100,7 @@ def _decided(scratch: Scratch, done: list[DataFrame], id_col: str) -> DataFrame:
     copies = rows.filter("group IS NOT NULL")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row"))
     keep = scratch.put(copies.groupBy("round", "group").agg(first.alias("keep")))
-    grouped = copies.join(keep, ["round", "group"]).select(
+    grouped = copies.join(keep.hint("merge"), ["round", "group"]).select(
         "id",
         F.col("keep.id").alias("keep_id"),
         F.col("size").alias("group_size"),

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import exact_dedup, language, packing, rules, secrets
+from linkscore.llm import exact_dedup, language, ngram_join, packing, rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(_table(spark, sf_dir, "documents"))
+
+
 def word_tokenizer() -> str:
     """The public word-wise BPE file, which lies at the same path on every machine."""
     import public_tokenizers
@@ -50,6 +54,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op6_quality_rules": op6_quality_rules,

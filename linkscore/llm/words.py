@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACES)] = True

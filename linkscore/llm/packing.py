@@ -9,6 +9,7 @@ over shards by a hash; a shard packs on its own, so no task holds more than a sh
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -52,14 +53,19 @@ def word_encoder(path: str) -> Callable[[str], np.ndarray]:
         ids = parts.get(part)
         if ids is None:
             shown = part if part.isascii() else "".join(_BYTE_CHARS[b] for b in part.encode())
-            ids = np.array([x.id for x in tokenizer.model.tokenize(shown)], "<u4").tobytes()
+            ids = array("I", [x.id for x in tokenizer.model.tokenize(shown)]).tobytes()
             if len(parts) < CACHED_PARTS:
                 parts[part] = ids
         return ids
 
     def word_ids(word: str) -> bytes:
-        if "<|" not in word and _PLAIN.fullmatch(word):
-            ids = b"".join(map(part_ids, _PARTS.findall(word.lower())))
+        lower, body = word.lower(), word[:-1]
+        if word.isascii() and word.isalpha():
+            ids = part_ids(lower)
+        elif word[-1] in ".," and body.isascii() and body.isalpha():
+            ids = part_ids(lower[:-1]) + part_ids(word[-1])
+        elif "<|" not in word and _PLAIN.fullmatch(word):
+            ids = b"".join(map(part_ids, _PARTS.findall(lower)))
         else:
             ids = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(words) < CACHED_WORDS:
@@ -75,11 +81,12 @@ def word_encoder(path: str) -> Callable[[str], np.ndarray]:
 
 
 def _split(text: str) -> list[str]:
-    # Only at ASCII white space; str.split() alone would also split at the separators \x1c to \x1f.
-    return text.split() if text.isascii() and not _ODD.search(text) else _WORD.findall(text)
+    # str.split() also splits at four control characters that are no white space to the tokenizer.
+    if any(x in text for x in "\x1c\x1d\x1e\x1f"):
+        return _WORD.findall(text)
+    return text.split()
 
 
-_ODD = regex.compile(r"[\x1c-\x1f]")
 _WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import exact_dedup, language, ngram_join, packing, repeats, rules, secrets
+from linkscore.llm import exact_dedup, language, mixing, ngram_join, packing, repeats, resampling, rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
     return left.select(
@@ -53,6 +57,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(docs, labels)
 
 
+def op7_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return resampling.resample(docs, labels)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -66,10 +75,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_mixing": op2_mixing,
     "op3_repeats": op3_repeats,
     "op4_packing": op4_packing,
     "op5_language": op5_language,
     "op6_quality_rules": op6_quality_rules,
+    "op7_resampling": op7_resampling,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

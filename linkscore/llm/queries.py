@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import exact_dedup, language, mixing, ngram_join, packing, repeats, resampling, rules, secrets
+from linkscore.llm import exact_dedup, language, mixing, ngram_join, packing, pseudonyms, repeats, resampling, rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,14 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+#: A key for tests; a deployment passes its own secret.
+TEST_KEY = b"linkscore test key"
+
+
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymize(_table(spark, sf_dir, "documents"), TEST_KEY)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -82,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality_rules": op6_quality_rules,
     "op7_resampling": op7_resampling,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pseudonyms": op9_pseudonyms,
     "op10_secret_scan": op10_secret_scan,
 }
 

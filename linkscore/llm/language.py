@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkscore.llm.words import separated, text_blocks
 
@@ -172,14 +173,17 @@ def fit(
     return train(x, np.searchsorted(languages, sample["lang"].to_numpy()), languages)
 
 
-def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame, model: Model | None, id_col: str | Column = "doc_id", text_col: str = "text", name: str = "doc_id"
+) -> DataFrame:
     """One row per input row: id_col, lang_pred, score (0 to 1), ambiguous.
 
-    Only the text is read, the whole of it. Null texts, texts without a letter, and all texts if
-    there is no model, are `und` with score 0 and not ambiguous. Rows are independent of each other.
+    id_col may be any column to carry along, such as a struct of all columns, under name. Only the text
+    is read, the whole of it. Null texts, texts without a letter, and all texts if there is no model,
+    are `und` with score 0 and not ambiguous. Rows are independent of each other.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
+    carried = F.col(id_col) if isinstance(id_col, str) else id_col
+    rows = docs.select(carried.alias("id"), F.col(text_col).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded: buckets x bits
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,10 +197,25 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
                     best, share = model.predict(data, offsets)
                     lang[known] = np.array(model.languages, object)[best[known]]
                     score[known] = share[known]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(lang, pa.string()), pa.array(score), pa.array(known & (score < AMBIGUOUS))],
-                    names=["id", "lang_pred", "score", "ambiguous"],
-                )
+                columns = [pa.array(lang, pa.string()), pa.array(score), pa.array(known & (score < AMBIGUOUS))]
+                names = ["id", "lang_pred", "score", "ambiguous"]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, n), *columns], names=names)
 
-    schema = f"id {kind}, lang_pred string, score double, ambiguous boolean"
-    return rows.mapInArrow(predict, schema).withColumnRenamed("id", id_col)
+    schema = T.StructType(
+        [
+            T.StructField("id", rows.schema["id"].dataType),
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("ambiguous", T.BooleanType()),
+        ]
+    )
+    return rows.mapInArrow(predict, schema).withColumnRenamed("id", id_col if isinstance(id_col, str) else name)
+
+
+def learnable(doc_id: Column) -> Column:
+    """Rows that a model may learn from; the others are held out to judge it."""
+    return ~held_out(doc_id)
+
+
+def held_out(doc_id: Column) -> Column:
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))

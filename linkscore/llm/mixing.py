@@ -76,6 +76,11 @@ def exponent(
     return lowest + width
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The same for rows of the same id and text, nulls included."""
+    return F.xxhash64(id_col, text_col)
+
+
 def mix(
     docs: DataFrame,
     source_col: str = "source",
@@ -93,16 +98,15 @@ def mix(
     the quota is not reached (the last one may exceed it). mix_position in 0..1 is how far into its
     source's quota a document begins; sorting by it interleaves the sources evenly. A null source is a
     source of its own. Null texts count as one token. Rows with equal ids are realised each. An empty
-    table gives an empty result. row_key is the same for rows of the same id and text.
+    table gives an empty result. row_key is row_key().
     """
     scratch = Scratch(docs.sparkSession)
-    key = F.xxhash64(F.lit(seed), id_col, text_col)
     rows = scratch.put(
         docs.select(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             n_tokens(F.col(text_col)).alias("n_tokens"),
-            key.alias("row_key"),
+            row_key(id_col, text_col).alias("row_key"),
             F.monotonically_increasing_id().alias("row"),
         )
     )

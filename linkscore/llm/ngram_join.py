@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.llm.components import components
@@ -183,6 +183,11 @@ def _verified(similarity: float):
     return run
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The same for rows of the same id and text, nulls included."""
+    return F.xxhash64(id_col, text_col)
+
+
 def near_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -190,17 +195,16 @@ def near_classes(
     similarity: float = SIMILARITY,
     recall: float = RECALL,
 ) -> DataFrame:
-    """One row per input row: id_col, class_id, n_links, copy_id, n_shingles.
+    """One row per input row: id_col, class_id, n_links, copy_id, n_shingles, row_key.
 
     n_links is the number of other rows whose shingle sets have at least this Jaccard similarity;
     class_id is the least id among the rows reached over links, copy_id the least among those with
     the same set (null ids come last). Null texts and texts without a word have no shingles: they link
     to nothing and are a class of their own. Rows with equal ids are documents of their own. Texts are
-    taken whole; an empty table gives an empty result; other columns are ignored.
+    taken whole; an empty table gives an empty result; other columns are ignored. row_key is row_key().
     """
     scratch = Scratch(docs.sparkSession)
-    key = F.xxhash64(id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     signed = scratch.put(
         rows.mapInArrow(_signatures, f"id {kind}, key long, node binary, n long, paths array<bigint>")
@@ -233,7 +237,7 @@ def near_classes(
     )
     # A row without shingles has no node and meets no other.
     return (
-        signed.select("id", "node", "n")
+        signed.select("id", "node", "n", "key")
         .join(summary.hint("merge"), "node", "left")
         .select(
             F.col("id").alias(id_col),
@@ -241,6 +245,7 @@ def near_classes(
             F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
             F.when(F.col("n") > 0, F.col("copy_id")).otherwise(F.col("id")).alias("copy_id"),
             F.col("n").alias("n_shingles"),
+            F.col("key").alias("row_key"),
         )
     )
 

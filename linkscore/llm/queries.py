@@ -45,11 +45,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     docs = _table(spark, sf_dir, "documents")
-    model = language.fit(docs.filter(~held_out))
-    found = language.identify(docs, model)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+    found = language.identify(docs, language.fit(docs.filter(language.learnable(F.col("doc_id")))))
+    held_out = language.held_out(F.col("doc_id")).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "ambiguous")
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

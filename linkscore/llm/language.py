@@ -62,7 +62,7 @@ def _folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     """For each text a unit vector of the square roots of its gram counts; zeros without letters."""
     text, begins = _folded(data, offsets)
-    grams = _hashed(text) if len(text) > 3 else []
+    grams = _hashed(np.append(text, np.full(3, 32, np.uint8)))
     for a, b in zip(begins[:-1], begins[1:]):
         x = np.zeros(BUCKETS, np.int64)
         for n, g in enumerate(grams, 1):

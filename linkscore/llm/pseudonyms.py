@@ -204,20 +204,37 @@ _SHAPES: dict[str, tuple[str, Callable[[str, Permutation], str | None]]] = {
 KINDS = tuple(_SHAPES)
 # A match does not begin within a word, a number or an address.
 _FIND = {kind: re.compile(rf"(?<![A-Za-z0-9_.@+\-])(?:{shape})", re.ASCII) for kind, (shape, _) in _SHAPES.items()}
+# Written in groups, so a match may take in digits that follow a value, or follow some itself.
+_GROUPED = ("iban", "card", "phone")
+_GROUP_END = re.compile(r"[ \-]")
 # Texts without any of these hold nothing of a known shape; RE2, in one pass.
 _WORTH = r"@|[0-9][0-9 .()/+\-]{5,}[0-9]|[A-Z]{2}[0-9]{2}[ ]?[A-Z0-9]{4}"
 
 
+def _valid(kind: str, text: str, start: int, end: int, permute: Permutation) -> tuple[int, str] | None:
+    """End and pseudonym of the longest valid value from start on, of those that end at a group's end."""
+    while end > start:
+        new = _SHAPES[kind][1](text[start:end], permute)
+        if new is not None:
+            return end, new
+        end = max(text.rfind(" ", start, end), text.rfind("-", start, end)) if kind in _GROUPED else start
+    return None
+
+
 def find(text: str, permute: Permutation) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, pseudonym) of the valid values, apart from each other, by start."""
     found: list[tuple[int, int, str, str]] = []
-    for kind, (_, make) in _SHAPES.items():
-        for m in _FIND[kind].finditer(text):
-            if any(m.start() < b and a < m.end() for a, b, _, _ in _near(found, m.start())):
-                continue
-            new = make(m[0], permute)
-            if new is not None:
-                bisect.insort(found, (m.start(), m.end(), kind, new))
+    for kind in KINDS:
+        at = 0
+        while m := _FIND[kind].search(text, at):
+            at, valid = m.end(), None
+            if not any(m.start() < b and a < m.end() for a, b, _, _ in _near(found, m.start())):
+                valid = _valid(kind, text, m.start(), m.end(), permute)
+            if valid:
+                at = valid[0]
+                bisect.insort(found, (m.start(), at, kind, valid[1]))
+            elif kind in _GROUPED and (group := _GROUP_END.search(text, m.start() + 1, m.end())):
+                at = group.end()  # a value may begin with the match's second group
     return found
 
 

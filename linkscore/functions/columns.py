@@ -58,11 +58,6 @@ def linear_db(value: Column) -> Column:
     return F.lit(10.0) * F.log10(value)
 
 
-def db_mean(value: Column) -> Column:
-    """Mean of decibel values taken in the linear domain; null without values."""
-    return linear_db(F.avg(db_linear(value)))
-
-
 def capped_percent(value: Column, digits: int = 4) -> Column:
     """100 x value, with the value capped at 1 and rounded; null stays null (``least`` would not)."""
     return F.round(F.when(value > 1, F.lit(1.0)).otherwise(value), digits) * F.lit(100.0)
@@ -80,5 +75,5 @@ def round2(value: Column) -> Column:
 
 
 def hundredths(value: Column) -> Column:
-    """A two-digit value as whole hundredths, so that its sum does not depend on row order."""
-    return F.rint(value * F.lit(100.0)).cast("bigint")
+    """A two-digit value as whole hundredths, so that its sum does not depend on row order; NaN is null."""
+    return F.rint(value * F.lit(100.0)).try_cast("bigint")

@@ -24,14 +24,13 @@ def availability(
     crash_join: str = "left",
     keys: Sequence[str] = C.DEVICE,
     order: Sequence[str] = C.BY_UPTIME,
-    hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """One row per key with the downtime estimate, the score and its category.
 
     ``crashes`` (from :func:`modem_crashes`, same keys) adds crash time; with ``crash_join="inner"``
     a device without a crash is left out instead of counting zero.
     """
-    per_device = C.service_time(heartbeats, C.FAILURE_COUNTERS, keys, order, hot_rows)
+    per_device = C.service_time(heartbeats, C.FAILURE_COUNTERS, keys, order)
     downtime = (
         F.col("sum_rrc_connect_failure_count") * F.lit(params.rrc_failure_s)
         + F.col("sum_lte_rach_failure_count") * F.lit(params.rach_failure_s)

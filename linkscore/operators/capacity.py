@@ -120,17 +120,10 @@ def link_capacity(
         "pplan_cd string, adjustment double, _step int",
     )
     adjusted = lines.select("sn", "imsi", "mdn", "pplan_cd").join(F.broadcast(plans), "pplan_cd")
-    if len(adjustments) <= params.max_adjustments:
-        steps = {f"_pct_{i}": capped(F.lit(a)) for i, a in enumerate(adjustments)}
-        sums = [F.sum(e).alias(n) for n, e in {**parts, **steps}.items()]
-        per_device = records.groupBy("sn", "imsi").agg(F.count("*").alias("_n"), *sums)
-        own = F.element_at(F.array(*steps), F.col("_step"))
-        joined = per_device.join(adjusted, ["sn", "imsi"]).withColumn("_pct", own)
-    else:
-        # Too many adjustments for one aggregate each: join the records, then aggregate.
-        joined = records.join(adjusted, ["sn", "imsi"]).withColumns(
-            {"_n": F.lit(1), **parts, "_pct": capped(F.col("adjustment"))}
-        )
+    steps = {f"_pct_{i}": capped(F.lit(a)) for i, a in enumerate(adjustments)}
+    sums = [F.sum(e).alias(n) for n, e in {**parts, **steps}.items()]
+    per_device = records.groupBy("sn", "imsi").agg(F.count("*").alias("_n"), *sums)
+    joined = per_device.join(adjusted, ["sn", "imsi"]).withColumn("_pct", F.element_at(F.array(*steps), F.col("_step")))
 
     def mean(total: str) -> Column:
         return F.round(F.sum(total) / F.lit(100.0) / F.sum("_n"), 2)
@@ -177,23 +170,19 @@ def capacity_by_model(
 ) -> DataFrame:
     """Distribution of the device capacity share per model.
 
-    Distinct records are reduced first and then placed by (sn, ts) once, so that the sum and the
-    join of the two sides need no further shuffle of heartbeat-sized data.
+    The records are placed by (sn, ts) once; distinct rows, the sum and the join of the two sides
+    then need no further shuffle of heartbeat-sized data.
     """
-    named = heartbeats.where(F.col("model_name").isin(*models))
+    used = ["sn", "ts", "model_name", "lte_snr", "nr_snr", "nr_earfcn_dl", *LTE_BANDS, *NR_BANDS]
+    named = heartbeats.where(F.col("model_name").isin(*models)).select(*used).repartition("sn", "ts")
     lte, nr = F.col("lte_snr"), F.col("nr_snr")
-    signals = (
-        named.where(valid_snr(lte, params, False) & valid_snr(nr, params, False))
-        .select("sn", "ts", "lte_snr", "nr_snr")
-        .distinct()
-        .repartition("sn", "ts")
-    )
+    valid = valid_snr(lte, params, False) & valid_snr(nr, params, False)
+    signals = named.where(valid).select("sn", "ts", "lte_snr", "nr_snr").distinct()
     name = alias_model(F.col("model_name"), aliases)
     bandwidths = (
         with_bandwidths(named, params)
         .select("sn", "ts", name.alias("model"), "lte_mhz", "nw_mhz", "cband_mhz")
         .distinct()
-        .repartition("sn", "ts")
         .groupBy("sn", "ts", "model")
         .agg(*[F.sum(c).alias(c) for c in ("lte_mhz", "nw_mhz", "cband_mhz")])
     )

@@ -64,11 +64,10 @@ def counter_increments(
     counters: Sequence[str] = FAILURE_COUNTERS,
     keys: Sequence[str] = DEVICE,
     order: Sequence[str] = BY_UPTIME,
-    hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """One row per key with the summed increments of each counter."""
     groups = {"rows": (counters, None)}
-    return sum_steps(_used(df, keys, order, counters), keys, order, groups, increments_of(counters, "rows"), None, hot_rows)
+    return sum_steps(_used(df, keys, order, counters), keys, order, groups, increments_of(counters, "rows"))
 
 
 def service_time(
@@ -76,7 +75,6 @@ def service_time(
     counters: Sequence[str] = FAILURE_COUNTERS,
     keys: Sequence[str] = DEVICE,
     order: Sequence[str] = BY_UPTIME,
-    hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Increments plus up/downtime change counts and the downtime share, sentinel rows left out."""
     cols = [*counters, "service_downtime", "service_uptime"]
@@ -86,7 +84,7 @@ def service_time(
         "uptime_changes": changes_of("service_uptime", "rows"),
     }
     known = _used(df.where(known_service_time()), keys, order, cols)
-    sums = sum_steps(known, keys, order, {"rows": (cols, None)}, steps, None, hot_rows)
+    sums = sum_steps(known, keys, order, {"rows": (cols, None)}, steps)
     return sums.withColumn("downtime_share", downtime_share())
 
 
@@ -95,29 +93,29 @@ def downtime_share() -> Column:
     return F.try_divide(F.lit(100.0) * down, (down + up).cast("double"))
 
 
-def _count_steps(df: DataFrame, column: str, step: Step, name: str, keys, order, hot_rows) -> DataFrame:
+def _count_steps(df: DataFrame, column: str, step: Step, name: str, keys, order) -> DataFrame:
     rows = _used(df, keys, order, [column])
-    return sum_steps(rows, keys, order, {"rows": ([column], None)}, {name: ("rows", step)}, None, hot_rows)
+    return sum_steps(rows, keys, order, {"rows": ([column], None)}, {name: ("rows", step)})
 
 
-def uptime_stalls(df: DataFrame, keys=DEVICE, order=BY_UPTIME, hot_rows: int = P.HOT_GROUP_ROWS) -> DataFrame:
+def uptime_stalls(df: DataFrame, keys=DEVICE, order=BY_UPTIME) -> DataFrame:
     """How often the uptime repeats the previous uptime of the device."""
     column = "service_uptime"
     stalled = lambda now, was: F.when(now(column) == was(column), 1).otherwise(0)
-    return _count_steps(df.where(known_service_time()), column, stalled, "uptime_stalls", keys, order, hot_rows)
+    return _count_steps(df.where(known_service_time()), column, stalled, "uptime_stalls", keys, order)
 
 
-def network_switches(df: DataFrame, keys=DEVICE, order=BY_TIME, hot_rows: int = P.HOT_GROUP_ROWS) -> DataFrame:
+def network_switches(df: DataFrame, keys=DEVICE, order=BY_TIME) -> DataFrame:
     """Changes of the serving network per key, over attached heartbeats only."""
     column = "current_network"
     _, switched = changes_of(column, "rows")
-    return _count_steps(df.where(attached()), column, switched, "network_switches", keys, order, hot_rows)
+    return _count_steps(df.where(attached()), column, switched, "network_switches", keys, order)
 
 
-def failure_ratios(df: DataFrame, keys=DEVICE, order=BY_TIME, hot_rows: int = P.HOT_GROUP_ROWS) -> DataFrame:
+def failure_ratios(df: DataFrame, keys=DEVICE, order=BY_TIME) -> DataFrame:
     """Summed failures over summed attempts for each counter pair; null without attempts."""
     counters = [c for pair in FAILURE_PAIRS.values() for c in pair]
-    sums = counter_increments(df, counters, keys, order, hot_rows)
+    sums = counter_increments(df, counters, keys, order)
     return sums.withColumns(failure_ratio_columns())
 
 
@@ -134,11 +132,10 @@ def counter_resets(
     keys: Sequence[str] = DEVICE,
     order: Sequence[str] = BY_TIME,
     top: int | None = None,
-    hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """How often a counter fell below its previous non-zero value; the ``top`` devices first."""
     fell = lambda now, was: F.when(now(counter) < was(counter), 1).otherwise(0)
-    resets = _count_steps(df.where(F.col(counter) != 0), counter, fell, "resets", keys, order, hot_rows)
+    resets = _count_steps(df.where(F.col(counter) != 0), counter, fell, "resets", keys, order)
     return resets if top is None else resets.orderBy(F.desc("resets"), *keys).limit(top)
 
 
@@ -150,8 +147,7 @@ def running_changes(
     period: Column | None = None,
 ) -> DataFrame:
     """Every heartbeat with its change flag and the running count of changes of its device."""
-    hour = F.date_trunc("hour", F.col(order[0])) if period is None else period
-    return running_steps(df, keys, order, column, changed, hour, "change", "changes_so_far")
+    return running_steps(df, keys, order, column, changed, "change", "changes_so_far", period)
 
 
 def device_timeline(df: DataFrame, columns: Sequence[str], sn: str | None = None, order=BY_TIME) -> DataFrame:

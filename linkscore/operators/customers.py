@@ -33,7 +33,7 @@ def alias_model(model: Column, aliases: Mapping[str, str] = P.MODEL_ALIASES) ->
 def customer_line(customers: DataFrame, serials: DataFrame) -> DataFrame:
     """Line attributes at device grain: a line with two serial numbers gives two rows."""
     lines = customers.select(
-        "imsi", "mdn", "pplan_cd", last_word(F.col("device_prod_nm")).alias("model")
+        "imsi", "mdn", "pplan_cd", "pplan_desc", last_word(F.col("device_prod_nm")).alias("model")
     ).distinct()
     return lines.join(serials.select("mdn", "sn").distinct(), "mdn")
 
@@ -42,7 +42,13 @@ def feature_line(customers: DataFrame, kept: Sequence[str] = P.KEPT_MODELS) -> D
     """Line attributes of the feature table, with rare models in one bucket."""
     model = model_bucket(last_word(F.col("device_prod_nm")), kept)
     return customers.select(
-        "cust_id", without_check_digit(F.col("imei_raw")).alias("imei"), "imsi", "mdn", "pplan_cd", model.alias("model")
+        "cust_id",
+        "ecpd_profile_id",
+        without_check_digit(F.col("imei_raw")).alias("imei"),
+        "imsi",
+        "mdn",
+        "pplan_cd",
+        model.alias("model"),
     ).distinct()
 
 
@@ -50,6 +56,7 @@ def second_source_line(customers: DataFrame, label: str) -> DataFrame:
     """Lines of a second source that knows only the ids; ``label`` stands for every attribute."""
     return customers.select(
         F.lit(label).alias("cust_id"),
+        F.lit(label).alias("ecpd_profile_id"),
         without_check_digit(F.col("imei_raw")).alias("imei"),
         "imsi",
         "mdn",

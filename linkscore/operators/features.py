@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from linkscore import params as P
 from linkscore.functions.columns import capped_percent, db_linear, linear_db
 from linkscore.operators import counters as C
-from linkscore.operators.joins import left_join_many
 from linkscore.operators.ordered import sum_steps
 
 SIGNAL_MEANS = ("db_nr_rsrp", "db_lte_rsrp", "db_nr_snr", "db_lte_snr", "avg_cqi", "avg_memory_free")
@@ -97,7 +96,7 @@ def signal_average(heartbeats: DataFrame, keys: Sequence[str] = C.DEVICE) -> Dat
 
 
 def device_features(
-    heartbeats: DataFrame, ids: Sequence[str] = ("sn", "imsi"), hot_rows: int = P.HOT_GROUP_ROWS
+    heartbeats: DataFrame, ids: Sequence[str] = ("sn", "imsi")
 ) -> DataFrame:
     """All features of a device, joined to its distinct id rows.
 
@@ -124,7 +123,6 @@ def device_features(
             **C.increments_of(counters, "counter"),
         },
         signal_sums(),
-        hot_rows,
     )
     # A device without a plausible record has no signal row at all, so its shares are null.
     per_device = per_device.withColumn("received", F.when(F.col("received") > 0, F.col("received")))
@@ -139,7 +137,6 @@ def second_source_features(
     first_ids: DataFrame,
     ids: Sequence[str] = ("imei", "imsi"),
     order: Sequence[str] = C.BY_TIME,
-    hot_rows: int = P.HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Features of devices that only the second source knows.
 
@@ -162,7 +159,6 @@ def second_source_features(
         {"network": (["current_network"], C.attached())},
         {"network_switches": C.changes_of("current_network", "network")},
         {"heartbeats": F.lit(1), **mean_sums(list(values))},
-        hot_rows,
     )
     new = devices.join(first_ids.select(*ids).distinct(), list(ids), "left_anti")
     return with_means(new, list(values))
@@ -210,15 +206,16 @@ FIRST_SOURCE_COLUMNS = (
     "db_nr_rsrp", "db_lte_rsrp", "db_lte_snr", "db_nr_snr", "lte_rach_failure_ratio",
     "lte_handover_failure_ratio", "nr_scg_change_failure_ratio",
 )
+NR_TIME_COLUMNS = ("hb_total", "hb_5g")
 _AS_IS = ("imei", "imsi", "downtime_share", "network_switches", "received_share")
 
 
 def first_source_features(features: DataFrame, nr_time: DataFrame) -> DataFrame:
-    """Rounded device features with the 5G time share; devices without a share are left out."""
+    """Rounded device features with the 5G time share and its counts; devices without a share are left out."""
     rounded = features.select(
         *[c if c in _AS_IS else F.round(F.col(c), 2).alias(c) for c in FIRST_SOURCE_COLUMNS]
     )
-    share = nr_time.select("imsi", (F.col("percentage") * F.lit(100.0)).alias("nr_uptime"))
+    share = nr_time.select("imsi", *NR_TIME_COLUMNS, (F.col("percentage") * F.lit(100.0)).alias("nr_uptime"))
     return rounded.join(share, "imsi").distinct()
 
 
@@ -235,7 +232,7 @@ def feature_join(
     usage_cols = ["imsi", "mdn", "lte_total_mb", "nr_total_mb", "nr_usage_percentage", "data_usage", "sqrt_data_usage"]
     used = lines.join(usage.select(*usage_cols), ["imsi", "mdn"], "left")
     joined = (
-        left_join_many(used, speedtest_rows(tests), ["mdn"])
+        used.join(speedtest_rows(tests), "mdn", "left")
         .join(features, ["imei", "imsi"])
         .distinct()
         .join(routers, "imei", "left")

@@ -1,51 +1,49 @@
 """Sums over consecutive rows of a key, safe for a key that holds a large share of all rows.
 
-A plain ``lag`` sorts every row of a key in one task. Here a key with more than ``hot_rows`` rows
-is range-partitioned on its order columns first; each range is a *slice* with its own window. A
-slice is reduced to its sums and its first and last values, and the steps across slice borders are
-added on those few rows. All other keys have a single slice. Without a hot key the hot branch is
-joined to an empty broadcast and adaptive execution drops it, which leaves one ordinary window.
-
-The slices are read in one place only: range bounds come from a sample, so two evaluations of the
-same repartition may cut differently.
+A plain ``lag`` sorts every row of a key in one task. Here the rows of every key are cut into *slices*
+that follow each other in the order and have a window each: an hour of a time, a fixed span of a
+number, a prefix of a text. Rows that share one value of an order column for no good reason (null, or
+the counters' sentinel) are cut by the next order column, in the end by the leading bits of the
+tie-break. A slice is reduced to its sums and its first and last values, and the steps across slice
+borders are added on those few rows. There is one plan for all keys and sizes, and it reads its input
+once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkscore.params import HOT_GROUP_ROWS
+from linkscore.params import COUNTER_SENTINEL, SLICE_SPAN, SLICE_TEXT, TIE_BITS
 
 SLICE = "_slice"
-SINGLE = -1
 
 Value = Callable[[str], Column]
 Step = Callable[[Value, Value], Column]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most (rows of df) / hot_rows of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(*keys)
-
-
-def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
-    """``df`` with a slice number; the rows of a slice are contiguous in ``order`` for each key."""
-    # Broadcast bound: the list has at most count(df) / hot_rows rows of key columns.
-    hot = F.broadcast(hot_keys(df, keys, hot_rows).withColumnsRenamed({k: f"_{k}" for k in keys}))
-    same = reduce(Column.__and__, (df[k].eqNullSafe(hot[f"_{k}"]) for k in keys))
-    single = df.join(hot, same, "left_anti").withColumn(SLICE, F.lit(SINGLE))
-    # An explicit number keeps every range; without one, ranges may be merged again.
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        df.join(hot, same, "left_semi")
-        .repartitionByRange(ranges, *keys, *order)
-        .withColumn(SLICE, F.spark_partition_id())
-    )
-    return single.unionByName(ranged)
+def slice_of(df: DataFrame, order: Sequence[str]) -> Column:
+    """The slice of a row: never null, and growing with the order."""
+    kinds = dict(df.dtypes)
+    parts, lone = [], F.lit(True)
+    for k, c in enumerate(order):
+        x, kind = F.col(c), kinds[c]
+        number = kind in ("bigint", "int", "smallint", "tinyint", "double", "float") or kind.startswith("decimal")
+        if number and 0 < k == len(order) - 1:  # the tie-break, a hash
+            part = F.shiftright(x.cast("bigint"), 64 - TIE_BITS)
+        elif number:
+            part = F.floor(x / F.lit(SLICE_SPAN)).cast("bigint")
+        elif kind.startswith("timestamp"):
+            part = F.date_trunc("hour", x)
+        elif kind == "string":
+            part = F.substring(x, 1, SLICE_TEXT)
+        else:
+            part = x
+        parts.append(F.when(lone, part).alias(f"s{k}"))
+        lone = lone & (x.isNull() | (x == F.lit(COUNTER_SENTINEL)) if number else x.isNull())
+    return F.struct(*parts)
 
 
 def sum_steps(
@@ -55,7 +53,6 @@ def sum_steps(
     groups: Mapping[str, tuple[Sequence[str], Column | None]],
     steps: Mapping[str, tuple[str, Step]],
     sums: Mapping[str, Column] | None = None,
-    hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """One row per key with the sum of each step over its rows in order.
 
@@ -77,7 +74,7 @@ def sum_steps(
         values = F.struct(*columns[g])
         return values if groups[g][1] is None else F.when(valid[g], values)
 
-    windowed = sliced(df, keys, order, hot_rows).withColumns(
+    windowed = df.withColumn(SLICE, slice_of(df, order)).withColumns(
         {
             **{
                 f"_prev_{g}": F.lag(row(g)).over(here)
@@ -130,45 +127,41 @@ def running_steps(
     order: Sequence[str],
     column: str,
     step: Callable[[Column, Column], Column],
-    period: Column,
     step_name: str,
     running_name: str,
+    period: Column | None = None,
 ) -> DataFrame:
     """Every row with its step against the previous row and the running sum of the steps.
 
-    The output needs each row next to its key's history, so the slices are fixed ``period`` values
-    that grow with ``order`` (an hour, say): a hot key is spread over its periods, and the rows and
-    the per-period table meet on (key, period) without moving the rows again.
+    Each row needs its key's history, so the sums of the slices are added up per key and joined back.
+    Rows and slices meet on a struct of key and slice, which is never null and by which the rows
+    already lie, so they do not move again. ``period`` replaces the slice; it must grow with the order.
     """
-    per_slice = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    rows = df.select(*keys, *order, column).withColumn(SLICE, period)
-    rows = rows.withColumn("_prev", F.lag(F.struct(column)).over(per_slice))
+    place, first_row = "_place", F.struct(*order)
+    rows = df.select(*keys, *order, column).withColumn(SLICE, slice_of(df, order) if period is None else period)
+    rows = rows.withColumn(place, F.struct(*keys, SLICE))
+    in_slice = Window.partitionBy(place).orderBy(*order)
+    rows = rows.withColumn("_prev", F.lag(F.struct(column)).over(in_slice))
     rows = rows.withColumn(
         "_inside", F.when(F.col("_prev").isNotNull(), step(F.col(column), F.col("_prev")[column])).otherwise(0)
     )
-    rows = rows.withColumn("_so_far", F.sum("_inside").over(per_slice))
+    rows = rows.withColumn("_so_far", F.sum("_inside").over(in_slice))
 
-    order_key = F.struct(*order)
-    earlier = Window.partitionBy(*keys).orderBy(SLICE)
+    earlier = Window.partitionBy(*[F.col(f"{place}.{k}") for k in keys]).orderBy(f"{place}.{SLICE}")
     slices = (
-        rows.groupBy(*keys, SLICE)
+        rows.groupBy(place)
         .agg(
             F.sum("_inside").alias("_total"),
-            F.min_by(column, order_key).alias("_first"),
-            F.max_by(column, order_key).alias("_last"),
+            # Structs, so that a null value of the first or last row is kept.
+            F.min(F.struct(first_row.alias("at"), F.col(column).alias("value"))).alias("_first"),
+            F.max(F.struct(first_row.alias("at"), F.col(column).alias("value"))).alias("_last"),
         )
         .withColumn("_carry", F.lag("_last").over(earlier))
-        .withColumn("_entry", step(F.col("_first"), F.col("_carry")))
+        .withColumn("_entry", step(F.col("_first.value"), F.col("_carry.value")))
         .withColumn("_upto", F.sum(F.col("_total") + F.col("_entry")).over(earlier))
-        .select(
-            *[F.col(k).alias(f"_{k}") for k in keys],
-            F.col(SLICE).alias("_period"),
-            "_entry",
-            (F.col("_upto") - F.col("_total")).alias("_offset"),
-        )
+        .select(F.col(place).alias("_at"), "_entry", (F.col("_upto") - F.col("_total")).alias("_offset"))
     )
-    same = reduce(Column.__and__, (rows[k].eqNullSafe(slices[f"_{k}"]) for k in keys))
-    joined = rows.join(slices, same & (rows[SLICE] == slices["_period"]))
+    joined = rows.join(slices, F.col(place) == F.col("_at"))
     own = F.when(F.col("_prev").isNull(), F.col("_entry")).otherwise(F.col("_inside"))
     return joined.select(
         *keys, *order, column, own.alias(step_name), (F.col("_so_far") + F.col("_offset")).alias(running_name)

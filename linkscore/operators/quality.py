@@ -5,30 +5,37 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkscore.operators.percentiles import ACCURACY, percentiles
+
+DEFAULT_DELAY = 1
 PERCENTS = (5, 25, 50, 75, 95)
 
 
 def column_summary(
-    df: DataFrame, columns: Sequence[str], percents: Sequence[int] = PERCENTS, accuracy: int = 10_000
+    df: DataFrame,
+    columns: Sequence[str],
+    percents: Sequence[int] = PERCENTS,
+    sketch: bool = False,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Count, mean, standard deviation, extremes and percentiles of each column, in long form."""
-
-    def statistics(c: str) -> Column:
-        x = F.col(c).cast("double")
-        cuts = F.percentile_approx(x, [p / 100 for p in percents], accuracy)
-        plain = [F.count(x).cast("double"), F.avg(x), F.stddev_samp(x), F.min(x), F.max(x)]
-        none = F.array_repeat(F.lit(None).cast("double"), len(percents))
-        return F.concat(F.array(*plain), F.coalesce(cuts, none))
-
-    names = F.array(*[F.lit(n) for n in ("count", "mean", "stddev", "min", "max", *[f"{p}%" for p in percents])])
-    per_column = df.agg(*[statistics(c).alias(c) for c in columns]).unpivot([], list(columns), "column", "_values")
-    pairs = F.explode(F.arrays_zip(names.alias("statistic"), F.col("_values").alias("value")))
-    return per_column.select("column", pairs.alias("_p")).select(
-        "column", "_p.statistic", "_p.value"
-    )
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    cuts = {f"p{p}": p / 100 for p in percents}
+    plain = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    moments = values.agg(*[f(c).cast("double").alias(f"{c}_{n}") for c in columns for n, f in plain.items()])
+    found = percentiles(values, columns, [], cuts, sketch, accuracy)
+    # Two frames of one row each (the percentiles have none without rows) side by side, in long form.
+    names = {**{n: n for n in plain}, **{f"p{p}": f"{p}%" for p in percents}}
+    one = moments.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left")
+    pairs = [
+        F.struct(F.lit(c).alias("column"), F.lit(shown).alias("statistic"), F.col(f"{c}_{n}").alias("value"))
+        for c in columns
+        for n, shown in names.items()
+    ]
+    return one.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
 
 
 def partition_counts(df: DataFrame, date: str) -> DataFrame:
@@ -45,35 +52,45 @@ def recent_partitions(df: DataFrame, date: str, n: int) -> DataFrame:
     return df.select(F.col(date).cast("date").alias("part_date")).distinct().orderBy(F.desc("part_date")).limit(n)
 
 
-def partition_freshness(landed: DataFrame, as_of: dt.date, expected_delay: int = 1) -> DataFrame:
-    """Newest landed date per dataset and its days behind the expected one."""
-    expected = F.lit(as_of - dt.timedelta(days=expected_delay))
-    return (
-        landed.groupBy("dataset")
-        .agg(F.max("part_date").alias("newest"))
-        .withColumn("delay_days", F.date_diff(expected, F.col("newest")))
+def _expected(landed: DataFrame, expectations: DataFrame) -> DataFrame:
+    """(dataset, expected_delay, weekdays_only, newest): all that landed and all that should have."""
+    newest = landed.groupBy("dataset").agg(F.max("part_date").alias("newest"))
+    return newest.join(expectations, "dataset", "full").select(
+        "dataset",
+        F.coalesce("expected_delay", F.lit(DEFAULT_DELAY)).alias("expected_delay"),
+        F.coalesce("weekdays_only", F.lit(False)).alias("weekdays_only"),
+        "newest",
+    )
+
+
+def partition_freshness(landed: DataFrame, expectations: DataFrame, as_of: dt.date) -> DataFrame:
+    """Newest landed date per dataset and its days behind the expected one; null for a dataset that
+    never landed.
+
+    ``expectations`` has one row per dataset: its delay in days, and whether it lands on working days
+    only. A dataset without a row has the default delay and lands daily.
+    """
+    expected_date = F.date_sub(F.lit(as_of), F.col("expected_delay"))
+    return _expected(landed, expectations).select(
+        "dataset", "newest", F.date_diff(expected_date, F.col("newest")).alias("delay_days")
     )
 
 
 def partition_gaps(
-    landed: DataFrame,
-    as_of: dt.date,
-    window: int,
-    expected_delay: int = 1,
-    weekdays_only: bool = False,
-    holidays: Sequence[str] = (),
+    landed: DataFrame, expectations: DataFrame, as_of: dt.date, window: int, holidays: Sequence[str] = ()
 ) -> DataFrame:
-    """Dates of the window that did not land, per dataset; the window ends at the expected date."""
-    last = as_of - dt.timedelta(days=expected_delay)
-    first = last - dt.timedelta(days=window - 1)
-    spine = landed.select("dataset").distinct().select(
-        "dataset", F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))).alias("part_date")
-    )
-    if weekdays_only:
-        spine = spine.where(F.weekday("part_date") < 5)
+    """Dates that did not land, per dataset, of the window that ends at the dataset's expected date.
+
+    Datasets of working days are not expected on weekends and holidays.
+    """
+    last = F.date_sub(F.lit(as_of), F.col("expected_delay"))
+    days = F.sequence(F.date_sub(last, window - 1), last, F.expr("interval 1 day"))
+    spine = _expected(landed, expectations).select("dataset", "weekdays_only", F.explode(days).alias("part_date"))
+    working = F.weekday("part_date") < 5
     if holidays:
-        spine = spine.where(~F.col("part_date").isin(*[dt.date.fromisoformat(h) for h in holidays]))
-    return spine.join(landed.select("dataset", "part_date"), ["dataset", "part_date"], "left_anti")
+        working &= ~F.col("part_date").isin(*[dt.date.fromisoformat(h) for h in holidays])
+    due = spine.where(~F.col("weekdays_only") | working).select("dataset", "part_date")
+    return due.join(landed.select("dataset", "part_date"), ["dataset", "part_date"], "left_anti")
 
 
 def partition_report(freshness: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -9,20 +9,16 @@ from pyspark.sql import functions as F
 
 from linkscore import params as P
 from linkscore.functions.columns import clamp, weighted_mean
-from linkscore.sources.stored import small_or_joined
+from linkscore.operators.percentiles import ACCURACY, percentiles, same_group
 
 CUTS = {"low": 0.01, "mid": 0.5, "high": 0.99}
-ACCURACY = 10000
 
 
 def percentile_by_group(
-    df: DataFrame, features: Sequence[str], by: Sequence[str], accuracy: int = ACCURACY
+    df: DataFrame, features: Sequence[str], by: Sequence[str], sketch: bool = False, accuracy: int = ACCURACY
 ) -> DataFrame:
-    """p1, p50 and p99 of every feature per group: one partial aggregate, one sketch per feature."""
-    sketched = df.groupBy(*by).agg(*[F.percentile_approx(f, list(CUTS.values()), accuracy).alias(f) for f in features])
-    return sketched.select(
-        *by, *[F.col(f)[k].alias(f"{f}_{name}") for f in features for k, name in enumerate(CUTS)]
-    )
+    """p1, p50 and p99 of every feature per group, exact or sketched."""
+    return percentiles(df, features, by, CUTS, sketch, accuracy)
 
 
 def piecewise(x: Column, low: Column, mid: Column, high: Column, middle: float) -> Column:
@@ -55,15 +51,19 @@ def threshold_table(spark, feature: str, thresholds: Mapping[str, tuple[float, f
 
 
 def scale(
-    df: DataFrame, specs: Sequence[P.ScaleSpec], history: DataFrame | None = None, accuracy: int = ACCURACY
+    df: DataFrame,
+    specs: Sequence[P.ScaleSpec],
+    history: DataFrame | None = None,
+    sketch: bool = False,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """Add ``scaled_<feature>`` for every spec.
 
     Percentiles come from ``history`` when given, else from ``df`` itself; the median of a shift
-    always from ``df``. They are exact to one part in ``accuracy`` of a group's rows. Specs with
-    the same grouping share one aggregate, so pass ``df`` stored; the table of percentiles is
-    joined by broadcast when its counted size allows. No group is ever brought into one task, as a
-    window per feature would do.
+    always from ``df``. They are exact, or with ``sketch`` good to one part in ``accuracy`` of a
+    group's rows. Specs with the same grouping share their passes over ``df``, so pass it stored. The
+    table of percentiles is joined as its size makes best; no group is ever brought into one task, as
+    a window per feature would do.
     """
     groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
     for spec in specs:
@@ -72,8 +72,9 @@ def scale(
             groups.setdefault((past, tuple(spec.by)), []).append(spec.feature)
     result = df
     for (past, by), features in groups.items():
-        cuts = percentile_by_group(history if past else df, features, by, accuracy)
-        result = small_or_joined(result, cuts, by, "left")
+        cuts = percentile_by_group(history if past else df, features, by, sketch, accuracy)
+        cuts = cuts.withColumnsRenamed({c: f"_by_{c}" for c in by})
+        result = result.join(cuts, same_group(result, cuts, by, "_by_"), "left").drop(*[f"_by_{c}" for c in by])
     for spec in specs:
         if spec.how == "manual":
             # A constant of one row per plan, so it may be broadcast.

@@ -16,7 +16,8 @@ Caps = Sequence[tuple[str, int, int]]
 
 
 def measured(speed: str):
-    return F.col(speed).isNotNull() & (F.col(speed) != 0)
+    """A value that is a number and not zero; NaN is no measurement."""
+    return F.col(speed).isNotNull() & ~F.isnan(speed) & (F.col(speed) != 0)
 
 
 def passive_mean(passive: DataFrame, as_of: dt.date | None = None, days: int = 3) -> DataFrame:
@@ -55,7 +56,7 @@ def speedtest_avg(tests: DataFrame) -> DataFrame:
     """Mean of the rounded download and upload results per line, over complete tests."""
     complete = (F.col("progress") == 100) & measured("download_result") & measured("upload_result")
     # Whole numbers, summed as such: the mean does not depend on the row order.
-    whole = {c: F.round(F.col(c), 0).cast("bigint") for c in ("download_result", "upload_result")}
+    whole = {c: F.round(F.col(c), 0).try_cast("bigint") for c in ("download_result", "upload_result")}
     return tests.where(complete).groupBy("mdn").agg(
         *[(F.sum(v) / F.count("*").cast("double")).alias(c) for c, v in whole.items()]
     )

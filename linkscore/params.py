@@ -220,8 +220,11 @@ HOLIDAYS = (
 
 # --- parameter objects ----------------------------------------------------------------------
 
-# A group with more rows than this is sorted in several tasks instead of one.
-HOT_GROUP_ROWS = 1_000_000
+# How the rows of a key are cut for ordered work: span of a number, length of a text's prefix (a time
+# down to its hour), leading bits of a tie-break.
+SLICE_SPAN = 3600
+SLICE_TEXT = 13
+TIE_BITS = 8
 
 
 @dataclass(frozen=True)
@@ -256,7 +259,6 @@ class CapacityParams:
     snr_span: float = 41.0
     best_mhz: float = 218.0
     full_plan_mbps: float = 150.0
-    max_adjustments: int = 16  # plan adjustments that get an aggregate of their own
     null_snr: str = "full"  # "full" scores a missing SNR as the best one, "zero" as none
 
 

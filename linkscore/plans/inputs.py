@@ -44,6 +44,38 @@ def _json(field: str, value: str, quote: bool = False) -> str:
     return f"'\"{field}\":{mark}' || {text} || '{mark}'"
 
 
+# Fields of the raw payload: name, value, and whether it is text. GPSAltitude is not used by any score.
+RAW_FIELDS = [
+    ("MDN", _mdn("user_id"), True),
+    ("IMSI", _imsi("user_id"), True),
+    ("IMEI", _short_imei("user_id"), True),
+    ("ModelName", "CASE user_id % 2 WHEN 0 THEN 'ASK-NCQ1338' ELSE 'XCI55AX' END", True),
+    ("SNR", "CASE WHEN event_id % 43 = 0 THEN 'n/a' ELSE CAST(k % 60 - 15 AS STRING) END", True),
+    ("5GSNR", "CASE WHEN event_id % 19 = 0 THEN NULL ELSE (k * 7 + event_id) % 56 - 13 END"),
+    ("4GRSRP", "k * 3 % 120 - 140"),
+    ("BRSRP", "CAST(k * 2 % 165 + 3 AS STRING) || '.5'"),
+    ("CQI", "k % 18"),
+    ("5GEARFCN_DL", "CASE WHEN event_id % 11 = 0 THEN '' ELSE CAST(640000 + event_id % 20 * 1000 AS STRING) END", True),
+    ("4GPccBand", "event_id % 4 * 11"),
+    ("4GScc1Band", "event_id % 3"),
+    ("4GScc2Band", "event_id % 2 * 5"),
+    ("4GScc3Band", "0"),
+    ("5GPccBand", "CASE event_id % 5 WHEN 0 THEN 77 WHEN 1 THEN 5 ELSE NULL END"),
+    ("5GScc1Band", "CASE event_id % 7 WHEN 0 THEN 77 ELSE NULL END"),
+    ("ServiceUptime", "d * 4", True),
+    ("ServiceDowntime", "CASE WHEN event_id % 29 = 0 THEN 'x' ELSE CAST(d AS STRING) END", True),
+    ("CurrentNetwork", "event_type", True),
+    ("MemoryPercentFree", "CASE WHEN event_id % 23 = 0 THEN NULL ELSE k END"),
+    ("LTERACHAttemptCount", "d * 20"),
+    ("LTERACHFailureCount", "CASE WHEN event_id % 37 = 0 THEN 99999999999 ELSE d * 3 END"),
+    ("LTEHandOverAttemptCount", "d * 2"),
+    ("LTEHandOverFailureCount", "d"),
+    ("NRSCGChangeCount", "d * 5"),
+    ("NRSCGChangeFailureCount", "d % 5"),
+    ("RRCConnectFailureCount", "d % 3"),
+    ("GPSAltitude", "altitude", True),
+]
+
 INPUTS = {
     # One heartbeat per event. Counters follow the day of month, so they look alike at every scale;
     # user_id % 5 sets the behaviour: no failures, few, many, some downtime, downtime every day.
@@ -84,29 +116,25 @@ SELECT event_id, ts, user_id,
 FROM (SELECT event_id, ts, user_id, event_type, EXTRACT(DAY FROM ts) AS d, EXTRACT(HOUR FROM ts) AS h,
              {_K} AS k FROM {{events}}) e
 """,
-    # Raw heartbeats: JSON text under a row key, time in milliseconds. Some rows have no payload, a
-    # malformed one, text that is no number, or a number too large; rows of one type come twice.
+    # Raw heartbeats: JSON text with all used fields under a row key, time in milliseconds. Some rows
+    # have no payload, a malformed one, text that is no number, or a number too large. Rows of one type
+    # come twice, rows of another twice with a difference in a field that no score uses, and those of a
+    # third under two row keys with one serial number.
     "raw": f"""
 SELECT event_id,
-  '6223-' || {_sn('user_id')} || '_MAC' AS rowkey,
+  prefix || {_sn('user_id')} || '_MAC' AS rowkey,
   1704067200000 + CAST(((d - 1) * 24 + h) * 60 + mi AS BIGINT) * 60000 + event_id % 60000 AS ts,
   CASE WHEN event_id % 41 = 0 THEN NULL
        WHEN event_id % 31 = 0 THEN '{{{{bad'
-       ELSE '{{{{' || {_json('IMSI', _imsi('user_id'), True)}
-         || ',' || {_json('SNR', "CASE WHEN event_id % 43 = 0 THEN 'n/a' ELSE CAST(k % 60 - 15 AS STRING) END", True)}
-         || ',' || {_json('5GSNR', "CASE WHEN event_id % 19 = 0 THEN NULL ELSE (k * 7 + event_id) % 56 - 13 END")}
-         || ',' || {_json('4GPccBand', 'event_id % 4 * 11')}
-         || ',' || {_json('5GPccBand', 'CASE event_id % 5 WHEN 0 THEN 77 WHEN 1 THEN 5 ELSE NULL END')}
-         || ',' || {_json('5GEARFCN_DL', "CASE WHEN event_id % 11 = 0 THEN '' ELSE CAST(640000 + event_id % 20 * 1000 AS STRING) END", True)}
-         || ',' || {_json('ServiceUptime', 'd * 4', True)}
-         || ',' || {_json('LTERACHFailureCount', 'CASE WHEN event_id % 37 = 0 THEN 99999999999 ELSE d * 3 END')}
-         || ',' || {_json('CurrentNetwork', 'event_type', True)}
+       ELSE '{{{{' || {" || ',' || ".join(_json(*field) for field in RAW_FIELDS)}
          || '}}}}' END AS payload
-FROM (SELECT event_id, user_id, event_type, EXTRACT(DAY FROM ts) AS d, EXTRACT(HOUR FROM ts) AS h,
-             EXTRACT(MINUTE FROM ts) AS mi, {_K} AS k FROM {{events}}
+FROM (SELECT event_id, user_id, event_type, 'low' AS altitude, '6223-' AS prefix, EXTRACT(DAY FROM ts) AS d,
+             EXTRACT(HOUR FROM ts) AS h, EXTRACT(MINUTE FROM ts) AS mi, {_K} AS k FROM {{events}}
       UNION ALL
-      SELECT event_id, user_id, event_type, EXTRACT(DAY FROM ts), EXTRACT(HOUR FROM ts),
-             EXTRACT(MINUTE FROM ts), {_K} FROM {{events}} WHERE event_type = 'view') e
+      SELECT event_id, user_id, event_type, CASE event_type WHEN 'error' THEN 'high' ELSE 'low' END,
+             CASE event_type WHEN 'signup' THEN '6224-' ELSE '6223-' END, EXTRACT(DAY FROM ts),
+             EXTRACT(HOUR FROM ts), EXTRACT(MINUTE FROM ts), {_K}
+      FROM {{events}} WHERE event_type IN ('view', 'error', 'signup')) e
 """,
     # Heartbeats as flat text columns, some of them no numbers.
     "flat": f"""
@@ -125,6 +153,8 @@ SELECT c_custkey,
   {_imei('c_custkey')} AS imei_raw,
   CASE c_custkey % 8 WHEN 0 THEN '38365' WHEN 1 THEN '39425' WHEN 2 THEN '46798' WHEN 3 THEN '50044'
        WHEN 4 THEN '51219' WHEN 5 THEN '67571' WHEN 6 THEN '67567' ELSE '99999' END AS pplan_cd,
+  'Plan for ' || c_mktsegment AS pplan_desc,
+  'E' || CAST(c_nationkey AS STRING) AS ecpd_profile_id,
   CASE c_custkey % 6 WHEN 0 THEN 'Home Gateway ASK-NCQ1338' WHEN 1 THEN ' 5G Router WNC-CR200A '
        WHEN 2 THEN 'Home ASK-NCQ1338FA' WHEN 3 THEN 'ARC-XCI55AX'
        WHEN 4 THEN 'Legacy Hub FSNO21VA' ELSE 'Unknown Box ZZ9' END AS device_prod_nm
@@ -163,6 +193,14 @@ SELECT o_orderkey, {_mdn('o_custkey')} AS mdn, {_short_imei('o_custkey')} AS ime
   CAST(o_orderkey % 90 AS DOUBLE) AS latency,
   CASE WHEN o_orderkey % 5 = 0 THEN 50 ELSE 100 END AS progress
 FROM {{orders}}
+""",
+    # Speed tests, some without a number.
+    "speedtest_odd": f"""
+SELECT {_mdn('o_custkey')} AS mdn, 100 AS progress,
+  CASE WHEN o_orderkey % 31 = 0 THEN CAST('NaN' AS DOUBLE) WHEN o_orderkey % 17 = 0 THEN NULL
+       ELSE o_totalprice / 2500 END AS download_result,
+  CASE WHEN o_orderkey % 37 = 0 THEN CAST('NaN' AS DOUBLE) ELSE o_totalprice / 25000 END AS upload_result
+FROM {{orders}}
 """,
     "modem_event": f"""
 SELECT event_id, ts, {_sn('user_id')} AS sn,
@@ -179,7 +217,7 @@ WHERE c_mktsegment <> 'HOUSEHOLD'
 """,
     # One row per order, so versions repeat.
     "firmware": f"""
-SELECT {_sn('o_custkey')} AS sn, 'fw-' || CAST(o_orderkey % 3 AS STRING) AS firmware FROM {{orders}}
+SELECT {_sn('o_custkey')} AS sn, 'fw-' || CAST(o_orderkey % 3 + 8 AS STRING) AS firmware FROM {{orders}}
 """,
     "usage": f"""
 SELECT {_imsi('c_custkey')} AS imsi, {_mdn('c_custkey')} AS mdn,
@@ -188,7 +226,9 @@ SELECT {_imsi('c_custkey')} AS imsi, {_mdn('c_custkey')} AS mdn,
 FROM {{customer}} WHERE c_acctbal < 9500
 """,
     "nr_time": f"""
-SELECT {_imsi('c_custkey')} AS imsi, CAST(c_custkey % 97 AS DOUBLE) / 97 AS percentage FROM {{customer}}
+SELECT {_imsi('c_custkey')} AS imsi, 97 AS hb_total, c_custkey % 97 AS hb_5g,
+  CAST(c_custkey % 97 AS DOUBLE) / 97 AS percentage
+FROM {{customer}}
 """,
     # Devices the first heartbeat source knows: those that signed up in the first days.
     "first_ids": f"""
@@ -198,9 +238,22 @@ FROM {{events}} WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-03 00:00
     # One feed per device; a day without a heartbeat did not land.
     "landed": f"""
 SELECT DISTINCT {_sn('user_id')} AS dataset, CAST(ts AS DATE) AS part_date FROM {{events}}
+""",
+    # What is expected of most feeds, and of some that never land.
+    "expected": f"""
+SELECT {_sn('c_custkey')} AS dataset, CAST(c_custkey % 4 AS INT) AS expected_delay, c_custkey % 3 = 0 AS weekdays_only
+FROM {{customer}} WHERE c_acctbal >= 0
+UNION ALL
+SELECT 'never-' || r_name, 2, r_regionkey % 2 = 0 FROM {{region}}
 """,
 }
 
+# Heartbeats of which some lost their time.
+INPUTS["hb_timed"] = f"""
+SELECT event_id, sn, service_downtime, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS ts
+FROM ({INPUTS["hb"]}) h
+"""
+
 
 class Inputs:
     """The inputs of one data folder as frames: ``Inputs(spark, folder).hb``."""

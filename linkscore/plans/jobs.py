@@ -111,11 +111,19 @@ def run_day(spark: SparkSession, at: Locations, date: dt.date) -> None:
         W.write_folder(placed.withColumn("date", F.lit(date)), at.day("score_location", date))
 
 
+def day_outputs(at: Locations, date: dt.date) -> list[str]:
+    """Every table that :func:`run_day` leaves for its users."""
+    kinds = ["all_score", "model_score"]
+    if at.places is not None and at.device_groups is not None:
+        kinds.append("score_location")
+    return [at.day(kind, date) for kind in kinds]
+
+
 def run_hour(spark: SparkSession, at: Locations, date: dt.date, hour: int, crash_join: str = "left") -> None:
     """Scores of one hour: passive throughput only, and modem crashes count as downtime."""
     slot = f"{date.isoformat()}/{hour:02d}"
     heartbeats, raw = _typed(spark, at, date, hour, f"{at.output}/hourly_heartbeats/{slot}")
-    lines = _lines(spark, at, date - dt.timedelta(days=1))
+    lines = W.write_and_read(_lines(spark, at, date - dt.timedelta(days=1)), f"{at.output}/hourly_lines/{slot}")
     crashes = A.modem_crashes(H.modem_events(raw))
     available = A.availability(heartbeats, crashes=crashes, crash_join=crash_join, order=BY_UPTIME)
     scores = O.overall_score(
@@ -148,12 +156,12 @@ def run_first_score(spark: SparkSession, at: Locations, date: dt.date) -> None:
     W.write_subset(stored, at.day("first_model_score", date), "model", P.SUBSET_MODELS)
 
 
-def run_device_features(spark: SparkSession, at: Locations, date: dt.date) -> None:
-    """Features of every device of the first heartbeat source; the folder must be new."""
+def run_device_features(spark: SparkSession, at: Locations, date: dt.date, files: int = 10) -> None:
+    """Features of every device of the first heartbeat source, in so many files; the folder must be new."""
     flat = R.read_csv(spark, f"{at.flat_heartbeats}/date={date.isoformat()}")
     typed = W.write_and_read(H.with_event_id(H.flat_heartbeats(flat)), at.day("flat_heartbeats", date))
     ids = ["sn", "imei", "mdn", "imsi", "model_name"]
-    W.write_files(X.device_features(typed, ids), at.day("device_features", date), mode="errorifexists")
+    W.write_files(X.device_features(typed, ids), at.day("device_features", date), files, "errorifexists")
 
 
 SECOND_FIELDS = {
@@ -162,7 +170,7 @@ SECOND_FIELDS = {
 }
 
 
-def run_second_features(spark: SparkSession, at: Locations, date: dt.date) -> None:
+def run_second_features(spark: SparkSession, at: Locations, date: dt.date, files: int = 10) -> None:
     """Features of the devices that only the second heartbeat source knows."""
     schema = ", ".join(f"`{n}` {t}" for n, t in SECOND_FIELDS.items())
     rows = R.read_json_tree(spark, f"{at.second_heartbeats}/dt={date.isoformat()}", schema)
@@ -172,14 +180,14 @@ def run_second_features(spark: SparkSession, at: Locations, date: dt.date) -> No
             "imsi",
             F.col("time").alias("ts"),
             F.col("currentnetwork").alias("current_network"),
-            F.col("brsrp").try_cast("double").alias("nr_rsrp"),
-            F.col("snr").try_cast("double").alias("lte_snr"),
-            F.col("cpe_5gsnr").try_cast("double").alias("nr_snr"),
+            H.typed(F.col("brsrp"), "double").alias("nr_rsrp"),
+            H.typed(F.col("snr"), "double").alias("lte_snr"),
+            H.typed(F.col("cpe_5gsnr"), "double").alias("nr_snr"),
         )
     )
     first = R.read_csv(spark, f"{at.flat_heartbeats}/date={date.isoformat()}")
     known = first.select(L.without_check_digit(F.col("IMEI")).alias("imei"), F.col("IMSI").alias("imsi"))
-    W.write_files(X.second_source_features(typed, known), at.day("second_features", date))
+    W.write_files(X.second_source_features(typed, known), at.day("second_features", date), files)
 
 
 def run_extract(
@@ -200,7 +208,8 @@ def run_feature_table(spark: SparkSession, at: Locations, date: dt.date) -> None
     numbers = {"lte_total_mb": "double", "nr_total_mb": "double", "nr_usage_percentage": "double"}
     usage = X.usage_features(H.cast_columns(at.named("usage", R.read_csv(spark, f"{at.usage}/{day}")), numbers))
     nr_time = H.cast_columns(
-        at.named("nr_time", R.read_csv(spark, f"{at.nr_time}/dt={day}")), {"percentage": "double"}
+        at.named("nr_time", R.read_csv(spark, f"{at.nr_time}/dt={day}")),
+        {"percentage": "double", "hb_total": "bigint", "hb_5g": "bigint"},
     )
     first = spark.read.parquet(at.day("device_features", date))
     first = first.withColumn("imei", L.without_check_digit(F.col("imei")))
@@ -213,7 +222,12 @@ def run_feature_table(spark: SparkSession, at: Locations, date: dt.date) -> None
 
 
 def run_feature_scores(
-    spark: SparkSession, at: Locations, date: dt.date, history_days: int = 0, specs: Sequence[P.ScaleSpec] = P.SCALE_SPECS
+    spark: SparkSession,
+    at: Locations,
+    date: dt.date,
+    history_days: int = 0,
+    specs: Sequence[P.ScaleSpec] = P.SCALE_SPECS,
+    files: int = 10,
 ) -> None:
     """Scale the stored features and score the groups.
 
@@ -223,24 +237,24 @@ def run_feature_scores(
     past = [date - dt.timedelta(days=d) for d in range(history_days)]
     history = R.read_dates(spark, f"{at.output}/features", past) if past else None
     scored = S.group_scores(S.scale(features, specs, history)).distinct()
-    W.write_files(scored, at.day("final_score", date))
+    W.write_files(scored, at.day("final_score", date), files)
 
 
 def backfill(
     spark: SparkSession,
     job: Callable[[dt.date], None],
-    output: Callable[[dt.date], str],
+    outputs: Callable[[dt.date], Sequence[str]],
     as_of: dt.date,
     n: int,
 ) -> DataFrame:
-    """Run ``job`` for the last ``n`` dates up to ``as_of``, oldest first, where output is missing.
+    """Run ``job`` for the last ``n`` dates up to ``as_of``, oldest first, where any output is missing.
 
     A date that fails is reported and the next one runs; the result has one row per date.
     """
     report = []
     for back in reversed(range(n)):
         date = as_of - dt.timedelta(days=back)
-        if R.exists(spark, output(date)):
+        if all(R.exists(spark, path) for path in outputs(date)):
             report.append((date, "present", None))
             continue
         try:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from linkscore import params as P
 from linkscore.plans.inputs import INPUTS, input_cte
+from linkscore.sources.heartbeat import USED_FIELDS
 
 
 def rnd(x: str, digits: int) -> str:
@@ -89,17 +90,18 @@ cte("caps", f"SELECT * FROM (VALUES {caps_values(P.PLAN_CAPS)}) t(pplan_cd, dl_c
 cte("caps_first", f"SELECT * FROM (VALUES {caps_values(P.PLAN_CAPS_FIRST)}) t(pplan_cd, dl_cap, ul_cap)")
 cte(
     "lines",
-    f"""SELECT DISTINCT c.imsi, c.mdn, c.pplan_cd, {MODEL} AS model, m.sn FROM cust c JOIN sn_map m ON c.mdn = m.mdn""",
+    f"""SELECT DISTINCT c.imsi, c.mdn, c.pplan_cd, c.pplan_desc, {MODEL} AS model, m.sn
+        FROM cust c JOIN sn_map m ON c.mdn = m.mdn""",
 )
 cte(
     "flines",
-    f"""SELECT DISTINCT cust_id, substring(imei_raw, 1, length(imei_raw) - 1) AS imei, imsi, mdn, pplan_cd,
-        {KEPT} AS model FROM cust""",
+    f"""SELECT DISTINCT cust_id, ecpd_profile_id, substring(imei_raw, 1, length(imei_raw) - 1) AS imei, imsi, mdn,
+        pplan_cd, {KEPT} AS model FROM cust""",
 )
 cte("flines_first", f"SELECT DISTINCT cust_id, imei_raw, imsi, mdn, pplan_cd, {KEPT_FIRST} AS model FROM cust")
 cte(
     "all_lines",
-    """SELECT * FROM flines UNION ALL SELECT DISTINCT 'second', substring(imei_raw, 1, length(imei_raw) - 1),
+    """SELECT * FROM flines UNION ALL SELECT DISTINCT 'second', 'second', substring(imei_raw, 1, length(imei_raw) - 1),
        imsi, mdn, 'second', 'second' FROM cust2""",
 )
 
@@ -205,6 +207,12 @@ cte(
        FROM speedtest WHERE progress = 100 AND download_result IS NOT NULL AND download_result <> 0
        AND upload_result IS NOT NULL AND upload_result <> 0 GROUP BY mdn""",
 )
+cte(
+    "tests_odd",
+    f"""SELECT mdn, AVG({rnd('download_result', 0)}) AS download_result, AVG({rnd('upload_result', 0)}) AS upload_result
+       FROM (SELECT * FROM speedtest_odd WHERE NOT isnan(download_result) AND NOT isnan(upload_result))
+       WHERE progress = 100 AND download_result <> 0 AND upload_result <> 0 GROUP BY mdn""",
+)
 cte(
     "parts",
     f"""SELECT l.sn, l.mdn, l.model, p.dl_cap, s.dl_speed, {capped('(s.dl_speed / p.dl_cap * 2)')} AS passive_score,
@@ -306,7 +314,7 @@ TWO_DIGITS = [
 cte(
     "first_source",
     f"""SELECT DISTINCT d.imei, d.imsi, {', '.join('d.' + c for c in AS_IS)},
-          {', '.join(f'{rnd("d." + c, 2)} AS {c}' for c in TWO_DIGITS)}, n.percentage * 100e0 AS nr_uptime
+          {', '.join(f'{rnd("d." + c, 2)} AS {c}' for c in TWO_DIGITS)}, n.percentage * 100e0 AS nr_uptime, n.hb_total, n.hb_5g
         FROM devices d JOIN nr_time n ON d.imsi = n.imsi
         WHERE EXISTS (SELECT 1 FROM first_ids f WHERE f.imei = d.imei AND f.imsi = d.imsi)""",
 )
@@ -325,7 +333,7 @@ cte(
           FROM new_hb WHERE nr_snr <> 0 AND lte_snr <> 0 AND nr_rsrp > -155 AND nr_rsrp < 0 AND lte_snr < 55
           AND lte_snr > -50 AND nr_snr > -50 GROUP BY imei, imsi) g ON i.imei = g.imei AND i.imsi = g.imsi""",
 )
-UNION_COLUMNS = ["imei", "imsi", *AS_IS, *TWO_DIGITS, "nr_uptime"]
+UNION_COLUMNS = ["imei", "imsi", *AS_IS, *TWO_DIGITS, "nr_uptime", "hb_total", "hb_5g"]
 SECOND_HAS = {"imei", "imsi", "network_switches", "db_nr_rsrp", "db_nr_snr", "db_lte_snr"}
 cte(
     "both_sources",
@@ -456,6 +464,19 @@ def payload(key: str) -> str:
     return f"""CASE WHEN json_valid(payload) THEN json_extract_string(payload, '$."{key}"') END"""
 
 
+def ingested() -> list[str]:
+    """Each used payload field, read as its type in the payload and cast to its type after ingest."""
+    whole = {"4GRSRP", "CQI", "LTERACHAttemptCount", "LTERACHFailureCount", "LTEHandOverAttemptCount", "LTEHandOverFailureCount",
+             "NRSCGChangeCount", "NRSCGChangeFailureCount", "RRCConnectFailureCount", "4GPccBand", "4GScc1Band", "4GScc2Band",
+             "4GScc3Band", "5GPccBand", "5GScc1Band"}
+    kinds = {"double": "DOUBLE", "bigint": "BIGINT"}
+    out = []
+    for field, (column, kind) in USED_FIELDS.items():
+        value = f"TRY_CAST({payload(field)} AS INTEGER)" if field in whole else payload(field)
+        out.append(f"{value if kind == 'string' else f'TRY_CAST({value} AS {kinds[kind]})'} AS {column}")
+    return out
+
+
 def summary(c: str, source: str = "hb") -> str:
     x = f"CAST({c} AS DOUBLE)"
     stats = {
@@ -468,19 +489,20 @@ def summary(c: str, source: str = "hb") -> str:
 
 
 HOLIDAY_DATES = ", ".join(f"DATE '{h}'" for h in P.HOLIDAYS)
-SPINE = """SELECT d.dataset, CAST(s.day AS DATE) AS part_date FROM (SELECT DISTINCT dataset FROM landed) d,
-  (SELECT unnest(generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY)) AS day) s"""
-FRESH = """SELECT dataset, MAX(part_date) AS newest, CAST(DATE '2024-01-31' - MAX(part_date) AS INT) AS delay_days
-  FROM landed GROUP BY dataset"""
+EXPECTED = """SELECT coalesce(l.dataset, e.dataset) AS dataset, l.newest, coalesce(weekdays_only, false) AS weekdays_only,
+    CAST(DATE '2024-02-01' - coalesce(expected_delay, 1) AS DATE) AS due
+  FROM (SELECT dataset, MAX(part_date) AS newest FROM landed GROUP BY dataset) l FULL JOIN expected e ON l.dataset = e.dataset"""
+GAPS = f"""SELECT dataset, part_date
+  FROM (SELECT dataset, weekdays_only,
+          CAST(unnest(generate_series(due - 30, due, INTERVAL 1 DAY)) AS DATE) AS part_date FROM ({EXPECTED})) s
+  WHERE (NOT weekdays_only OR (isodow(part_date) < 6 AND part_date NOT IN ({HOLIDAY_DATES})))
+    AND NOT EXISTS (SELECT 1 FROM landed l WHERE l.dataset = s.dataset AND l.part_date = s.part_date)"""
+FRESH = f"SELECT dataset, newest, CAST(due - newest AS INT) AS delay_days FROM ({EXPECTED})"
 
 ORACLES: dict[str, str] = {
     "ingest_heartbeat": sql(
-        f"""SELECT DISTINCT event_id, regexp_extract(rowkey, '-([A-Za-z0-9]+)', 1) AS sn, ts AS ts_ms, {payload('IMSI')} AS imsi,
-          TRY_CAST({payload('SNR')} AS DOUBLE) AS lte_snr, TRY_CAST({payload('5GSNR')} AS DOUBLE) AS nr_snr,
-          TRY_CAST({payload('4GPccBand')} AS BIGINT) AS lte_pcc_band, TRY_CAST({payload('5GPccBand')} AS BIGINT) AS nr_pcc_band,
-          TRY_CAST({payload('5GEARFCN_DL')} AS BIGINT) AS nr_earfcn_dl, TRY_CAST({payload('ServiceUptime')} AS BIGINT) AS service_uptime,
-          CAST(TRY_CAST({payload('LTERACHFailureCount')} AS INTEGER) AS BIGINT) AS lte_rach_failure_count,
-          {payload('CurrentNetwork')} AS current_network, {payload('MDN')} AS mdn FROM raw WHERE payload IS NOT NULL""",
+        f"""SELECT regexp_extract(rowkey, '-([A-Za-z0-9]+)', 1) AS sn, ts AS ts_ms, {', '.join(ingested())}
+            FROM (SELECT DISTINCT rowkey, ts, payload FROM raw) WHERE payload IS NOT NULL""",
         "raw",
     ),
     "json_extract": sql(
@@ -498,7 +520,7 @@ ORACLES: dict[str, str] = {
            FROM cust c LEFT JOIN caps p ON c.pplan_cd = p.pplan_cd GROUP BY c.pplan_cd""",
         "cust", "caps",
     ),
-    "customer_line": sql("SELECT mdn, imsi, pplan_cd, model, sn FROM lines", *LINES),
+    "customer_line": sql("SELECT mdn, imsi, pplan_cd, pplan_desc, model, sn FROM lines", *LINES),
     "customer_union": sql("SELECT * FROM all_lines", "cust", "cust2", "flines", "all_lines"),
     "model_bucket": sql("SELECT model, COUNT(*) AS lines FROM flines GROUP BY model", "cust", "flines"),
     "latest_available": sql(
@@ -515,8 +537,8 @@ ORACLES: dict[str, str] = {
         *LINES, "caps",
     ),
     "align_union": sql(
-        f"""SELECT imei, imsi, network_switches, {digits(4, 'downtime_share', 'received_share', *TWO_DIGITS, 'nr_uptime')}
-            FROM both_sources""",
+        f"""SELECT imei, imsi, network_switches, hb_total, hb_5g,
+              {digits(4, 'downtime_share', 'received_share', *TWO_DIGITS, 'nr_uptime')} FROM both_sources""",
         *BOTH,
     ),
     "second_source_only": sql(
@@ -527,7 +549,7 @@ ORACLES: dict[str, str] = {
     "landed_extract": sql(
         """SELECT o_orderkey, mdn, created_at, download_result, upload_result, latency
            FROM (SELECT *, strptime(created, '%b %d, %Y %I:%M:%S %p') AS created_at FROM speedtest)
-           WHERE status <> 'FAILED' AND progress = 100 AND created_at > TIMESTAMP '2024-01-01 00:00:00'
+           WHERE status <> 'FAILED' AND created_at > TIMESTAMP '2024-01-01 00:00:00'
            AND created_at <= TIMESTAMP '2024-01-11 00:00:00'""",
         "speedtest",
     ),
@@ -549,14 +571,21 @@ ORACLES: dict[str, str] = {
     ),
     "running_changes": sql(
         """SELECT sn, ts, event_id, service_downtime, change,
-             CAST(SUM(change) OVER (PARTITION BY sn ORDER BY ts, event_id) AS BIGINT) AS changes_so_far
-           FROM (SELECT *, CASE WHEN service_downtime <> lag(service_downtime) OVER (PARTITION BY sn ORDER BY ts, event_id)
-                           THEN 1 ELSE 0 END AS change FROM hb)""",
-        "hb",
+             CAST(SUM(change) OVER (PARTITION BY sn ORDER BY ts NULLS FIRST, event_id) AS BIGINT) AS changes_so_far
+           FROM (SELECT *, CASE WHEN service_downtime <>
+                             lag(service_downtime) OVER (PARTITION BY sn ORDER BY ts NULLS FIRST, event_id)
+                           THEN 1 ELSE 0 END AS change FROM hb_timed)""",
+        "hb_timed",
     ),
     "failure_ratios": sql(
         f"SELECT sn, {', '.join('sum_' + c for c in PAIR_COUNTERS)}, {digits(8, *PAIRS)} FROM ratios", "hb", "ratios"
     ),
+    "one_device_timeline": sql(
+        """SELECT sn, ts, event_id, service_downtime FROM hb WHERE sn = 'SN0000000007' ORDER BY sn, ts, event_id""", "hb"
+    ),
+    "date_fold": sql(
+        "SELECT * FROM passive WHERE datadate BETWEEN DATE '2024-01-03' AND DATE '2024-01-06'", "passive"
+    ),
     "device_timeline": sql(
         "SELECT sn, ts, event_id, service_downtime, service_uptime, current_network FROM hb ORDER BY sn, ts, event_id", "hb"
     ),
@@ -567,6 +596,11 @@ ORACLES: dict[str, str] = {
               {ladder('availability_score', P.AVAILABILITY_LADDER)} AS availability_category FROM avail_hour_score""",
         "hb", "modem_event", "hb_hour", "crashes", "service_hour", "service_crash", "avail_hour_score",
     ),
+    "crash_inner": sql(
+        f"""SELECT a.*, {ladder('availability_score', P.AVAILABILITY_LADDER)} AS availability_category
+            FROM (SELECT sn, "date", hr, crashes, {AVAIL_OUT} FROM avail_hour_score) a WHERE crashes > 0""",
+        "hb", "modem_event", "hb_hour", "crashes", "service_hour", "service_crash", "avail_hour_score",
+    ),
     "link_capacity": sql(
         "SELECT * FROM capacity", "hb", *LINES, "caps", "records_any", "records_line", "cap_score", "capacity"
     ),
@@ -576,7 +610,14 @@ ORACLES: dict[str, str] = {
         *LINES, "passive", "speedtest", "caps", "speeds", "tests", "parts",
     ),
     "passive_peak": sql("SELECT * FROM peak", "cust", "passive", "flines_first", "caps_first", "peak"),
-    "speedtest_avg": sql(f"SELECT mdn, {digits(6, 'download_result', 'upload_result')} FROM tests", "speedtest", "tests"),
+    "speedtest_avg": sql(
+        f"SELECT mdn, {digits(6, 'download_result', 'upload_result')} FROM tests_odd", "speedtest_odd", "tests_odd"
+    ),
+    "hourly_throughput": sql(
+        f"""SELECT sn, mdn, passive_score, throughput_score, {ladder('throughput_score', P.THROUGHPUT_LADDER)} AS throughput_category
+            FROM (SELECT *, {rnd('passive_score', 2)} AS throughput_score FROM parts)""",
+        *THR[:-2],
+    ),
     "throughput_score": sql(
         "SELECT sn, mdn, passive_score, download_score, upload_score, throughput_score, throughput_category FROM thr", *THR
     ),
@@ -610,9 +651,16 @@ ORACLES: dict[str, str] = {
     "enrich_location": sql(
         """SELECT o.sn, o.mdn, o.score, o.score_category, l.state, l.county, f.firmware FROM overall o
            LEFT JOIN (SELECT DISTINCT * FROM location) l ON o.sn = l.sn
-           LEFT JOIN (SELECT sn, MAX(firmware) AS firmware FROM firmware GROUP BY sn) f ON o.sn = f.sn""",
+           LEFT JOIN (SELECT DISTINCT * FROM firmware) f ON o.sn = f.sn""",
         *OVERALL_CTES, "location", "firmware",
     ),
+    "newest_firmware": sql(
+        """SELECT l.sn, l.mdn, p.state, p.county, f.firmware FROM lines l
+           LEFT JOIN (SELECT DISTINCT * FROM location) p ON l.sn = p.sn
+           LEFT JOIN (SELECT sn, 'fw-' || CAST(MAX(CAST(substring(firmware, 4) AS INT)) AS VARCHAR) AS firmware
+                      FROM firmware GROUP BY sn) f ON l.sn = f.sn""",
+        *LINES, "location", "firmware",
+    ),
     "signal_average": sql(f"SELECT sn, {digits(6, *MEANS)}, received FROM signal", "hb", "plausible", "signal"),
     "network_share": sql(
         "SELECT sn, channel_records, nr_records, lte_records, nr_share, lte_share FROM signal", "hb", "plausible", "signal"
@@ -636,7 +684,7 @@ ORACLES: dict[str, str] = {
     ),
     "feature_join": sql(
         f"""SELECT sn, mdn, model, pplan_cd, nr_usage_percentage, download_result, upload_result, latency, network_switches,
-              received_share, avg_cqi, avg_memory_free, {', '.join(PAIRS)}, reset_count,
+              received_share, avg_cqi, avg_memory_free, {', '.join(PAIRS)}, reset_count, hb_total, hb_5g, cust_id, ecpd_profile_id,
               {digits(4, 'data_usage', 'sqrt_data_usage', 'downtime_share', 'nr_uptime', 'rsrp', 'snr')} FROM features""",
         *FEATURES,
     ),
@@ -716,20 +764,16 @@ ORACLES: dict[str, str] = {
         'SELECT CAST(ts AS DATE) AS part_date, COUNT(*) AS "rows" FROM hb GROUP BY 1 ORDER BY 1 DESC LIMIT 1', "hb"
     ),
     "recent_partitions": sql("SELECT DISTINCT CAST(ts AS DATE) AS part_date FROM hb ORDER BY 1 DESC LIMIT 7", "hb"),
-    "partition_freshness": sql(FRESH, "landed"),
+    "partition_freshness": sql(FRESH, "landed", "expected"),
     "partition_gaps": sql(
-        f"""SELECT dataset, part_date FROM ({SPINE}) s WHERE isodow(part_date) < 6 AND part_date NOT IN ({HOLIDAY_DATES})
-            AND NOT EXISTS (SELECT 1 FROM landed l WHERE l.dataset = s.dataset AND l.part_date = s.part_date)""",
-        "landed",
+        GAPS, "landed", "expected",
     ),
     "partition_report": sql(
         f"""SELECT f.dataset, f.newest, f.delay_days, coalesce(g.missing_days, 0) AS missing_days, coalesce(g.missing, '') AS missing
             FROM ({FRESH}) f LEFT JOIN (SELECT dataset, COUNT(*) AS missing_days,
-                string_agg(CAST(part_date AS VARCHAR), ',' ORDER BY part_date) AS missing
-              FROM ({SPINE}) s WHERE NOT EXISTS
-                (SELECT 1 FROM landed l WHERE l.dataset = s.dataset AND l.part_date = s.part_date) GROUP BY dataset) g
+                string_agg(CAST(part_date AS VARCHAR), ',' ORDER BY part_date) AS missing FROM ({GAPS}) GROUP BY dataset) g
             ON f.dataset = g.dataset""",
-        "landed",
+        "landed", "expected",
     ),
     "backfill_dates": sql(
         """SELECT CAST(day AS DATE) AS part_date
@@ -738,4 +782,3 @@ ORACLES: dict[str, str] = {
         "hb",
     ),
 }
-ORACLES["capacity_by_model_sql"] = ORACLES["capacity_by_model"]

@@ -19,7 +19,6 @@ from linkscore.operators import overall as O
 from linkscore.operators import quality as Q
 from linkscore.operators import scaling as S
 from linkscore.operators import throughput as T
-from linkscore.operators.capacity_sql import capacity_distribution
 from linkscore.plans.inputs import Inputs
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
@@ -50,11 +49,7 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 @query
 def ingest_heartbeat(i: Inputs) -> DataFrame:
-    typed = H.ingest_heartbeats(i.raw, keep=["event_id"])
-    return typed.select(
-        "event_id", "sn", F.unix_millis("ts").alias("ts_ms"), "imsi", "lte_snr", "nr_snr", "lte_pcc_band",
-        "nr_pcc_band", "nr_earfcn_dl", "service_uptime", "lte_rach_failure_count", "current_network", "mdn",
-    )
+    return H.ingest_heartbeats(i.raw).withColumn("ts_ms", F.unix_millis("ts")).drop("ts")
 
 
 @query
@@ -110,6 +105,11 @@ def multi_date_union(i: Inputs) -> DataFrame:
     return R.multi_date_union(i.passive, "datadate", dates)
 
 
+@query
+def date_fold(i: Inputs) -> DataFrame:
+    return R.union_all([R.multi_date_union(i.passive, "datadate", [dt.date(2024, 1, d)]) for d in range(3, 7)])
+
+
 @query
 def optional_input(i: Inputs) -> DataFrame:
     absent = R.optional_input(
@@ -121,8 +121,8 @@ def optional_input(i: Inputs) -> DataFrame:
 
 
 def _first_source(i: Inputs) -> DataFrame:
-    known = X.device_features(i.hb, ["sn", "imei", "imsi"]).join(i.first_ids, ["imei", "imsi"], "left_semi")
-    return X.first_source_features(known, i.nr_time)
+    known = i.hb.join(i.first_ids, ["imei", "imsi"], "left_semi")
+    return X.first_source_features(X.device_features(known, ["sn", "imei", "imsi"]), i.nr_time)
 
 
 def _both_sources(i: Inputs) -> DataFrame:
@@ -142,8 +142,7 @@ def second_source_only(i: Inputs) -> DataFrame:
 
 @query
 def landed_extract(i: Inputs) -> DataFrame:
-    extract = R.landed_extract(i.speedtest, dt.date(2024, 1, 1), days=10)
-    return extract.where(F.col("progress") == 100).select(
+    return R.landed_extract(i.speedtest, dt.date(2024, 1, 1), days=10).select(
         "o_orderkey", "mdn", "created_at", "download_result", "upload_result", "latency"
     )
 
@@ -173,7 +172,7 @@ def uptime_stalls(i: Inputs) -> DataFrame:
 
 @query
 def running_changes(i: Inputs) -> DataFrame:
-    return C.running_changes(i.hb)
+    return C.running_changes(i.hb_timed)
 
 
 @query
@@ -186,6 +185,11 @@ def device_timeline(i: Inputs) -> DataFrame:
     return C.device_timeline(i.hb, ["service_downtime", "service_uptime", "current_network"])
 
 
+@query
+def one_device_timeline(i: Inputs) -> DataFrame:
+    return C.device_timeline(i.hb, ["service_downtime"], "SN0000000007")
+
+
 # --- scores ---------------------------------------------------------------------------------
 
 AVAILABILITY_COLUMNS = [
@@ -219,6 +223,16 @@ def hourly_availability(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def crash_inner(i: Inputs) -> DataFrame:
+    keys = ["sn", "date", "hr"]
+    crashes = A.modem_crashes(_by_hour(i.modem_event), keys)
+    scored = A.availability(_by_hour(i.hb), crashes=crashes, crash_join="inner", keys=keys)
+    return rounded(
+        scored.select(*keys, "crashes", *AVAILABILITY_COLUMNS), 6, "downtime_share", "assumed_downtime", "not_available_pct"
+    )
+
+
 def _lines(i: Inputs) -> DataFrame:
     return L.customer_line(i.cust, i.sn_map)
 
@@ -247,7 +261,7 @@ def passive_peak(i: Inputs) -> DataFrame:
 
 @query
 def speedtest_avg(i: Inputs) -> DataFrame:
-    return rounded(T.speedtest_avg(i.speedtest), 6, "download_result", "upload_result")
+    return rounded(T.speedtest_avg(i.speedtest_odd), 6, "download_result", "upload_result")
 
 
 def _throughput(i: Inputs) -> DataFrame:
@@ -261,6 +275,13 @@ def throughput_score(i: Inputs) -> DataFrame:
     )
 
 
+@query
+def hourly_throughput(i: Inputs) -> DataFrame:
+    return T.throughput(_lines(i), T.passive_mean(i.passive, PASSIVE_DATE), None).select(
+        "sn", "mdn", "passive_score", "throughput_score", "throughput_category"
+    )
+
+
 @query
 def weighted_mean(i: Inputs) -> DataFrame:
     mean = E.weighted_mean({"passive_score": 1, "download_score": 2, "upload_score": 5})
@@ -287,8 +308,7 @@ def score_categories(i: Inputs) -> DataFrame:
 
 
 def _overall(i: Inputs) -> DataFrame:
-    capacity, available = stored(K.link_capacity(i.hb, _lines(i))), stored(A.availability(i.hb))
-    return O.overall_score(_throughput(i), capacity, available)
+    return O.overall_score(_throughput(i), K.link_capacity(i.hb, _lines(i)), A.availability(i.hb))
 
 
 OVERALL_COLUMNS = [
@@ -321,6 +341,11 @@ def enrich_location(i: Inputs) -> DataFrame:
     return O.enrich_location(scores, i.location, i.firmware)
 
 
+@query
+def newest_firmware(i: Inputs) -> DataFrame:
+    return O.enrich_location(_lines(i).select("sn", "mdn"), i.location, i.firmware, newest_only=True)
+
+
 # --- features -------------------------------------------------------------------------------
 
 SIGNAL_MEANS = X.SIGNAL_MEANS
@@ -380,7 +405,8 @@ def _feature_table(i: Inputs) -> DataFrame:
 FEATURE_COLUMNS = [
     "sn", "mdn", "model", "pplan_cd", "data_usage", "sqrt_data_usage", "nr_usage_percentage", "download_result",
     "upload_result", "latency", "downtime_share", "network_switches", "received_share", "avg_cqi",
-    "avg_memory_free", "nr_uptime", *C.FAILURE_PAIRS, "reset_count", "rsrp", "snr",
+    "avg_memory_free", "nr_uptime", *C.FAILURE_PAIRS, "reset_count", "rsrp", "snr", *X.NR_TIME_COLUMNS, "cust_id",
+    "ecpd_profile_id",
 ]
 
 
@@ -471,25 +497,19 @@ def capacity_by_model(i: Inputs) -> DataFrame:
     return rounded(K.capacity_by_model(i.hb), 6, *shares)
 
 
-@query
-def capacity_by_model_sql(i: Inputs) -> DataFrame:
-    shares = ["avg_share", "min_share", "max_share", "p10", "p25", "p50", "p75", "p99"]
-    return rounded(capacity_distribution(i.hb), 6, *shares)
-
-
 @query
 def column_summary(i: Inputs) -> DataFrame:
-    return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS, accuracy=100_000), 6, "value")
+    return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS), 6, "value")
 
 
 @query
 def switch_summary(i: Inputs) -> DataFrame:
-    return rounded(Q.column_summary(C.network_switches(i.hb), ["network_switches"], accuracy=100_000), 6, "value")
+    return rounded(Q.column_summary(C.network_switches(i.hb), ["network_switches"]), 6, "value")
 
 
 @query
 def reset_summary(i: Inputs) -> DataFrame:
-    return rounded(Q.column_summary(C.counter_resets(i.hb), ["resets"], accuracy=100_000), 6, "value")
+    return rounded(Q.column_summary(C.counter_resets(i.hb), ["resets"]), 6, "value")
 
 
 @query
@@ -504,17 +524,18 @@ def recent_partitions(i: Inputs) -> DataFrame:
 
 @query
 def partition_freshness(i: Inputs) -> DataFrame:
-    return Q.partition_freshness(i.landed, AS_OF)
+    return Q.partition_freshness(i.landed, i.expected, AS_OF)
 
 
 @query
 def partition_gaps(i: Inputs) -> DataFrame:
-    return Q.partition_gaps(i.landed, AS_OF, 31, weekdays_only=True, holidays=P.HOLIDAYS)
+    return Q.partition_gaps(i.landed, i.expected, AS_OF, 31, P.HOLIDAYS)
 
 
 @query
 def partition_report(i: Inputs) -> DataFrame:
-    return Q.partition_report(Q.partition_freshness(i.landed, AS_OF), Q.partition_gaps(i.landed, AS_OF, 31))
+    gaps = Q.partition_gaps(i.landed, i.expected, AS_OF, 31, P.HOLIDAYS)
+    return Q.partition_report(Q.partition_freshness(i.landed, i.expected, AS_OF), gaps)
 
 
 @query

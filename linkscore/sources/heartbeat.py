@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The fields of the payload and their types, as devices send them.
 PAYLOAD_FIELDS = """
@@ -82,9 +81,20 @@ def serial_number(rowkey: Column) -> Column:
     return F.nullif(F.regexp_extract(rowkey, SERIAL_PATTERN, 1), F.lit(""))
 
 
+def typed(value: Column, kind: str) -> Column:
+    """The value as this type; what does not parse, and NaN, is null."""
+    cast = value.try_cast(kind)
+    return F.when(~F.isnan(cast), cast) if kind in ("double", "float") else cast
+
+
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast the named columns, leaving the others alone; text that does not parse becomes null."""
-    return df.select([F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+    return df.select([typed(F.col(c), types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
+def content_digest(*columns: str | Column) -> Column:
+    """A digest of columns, names and nulls included: the same for copies only."""
+    return F.unhex(F.sha2(F.to_json(F.struct(*columns)), 256))
 
 
 def parse_payload(df: DataFrame, payload: str, fields: str = PAYLOAD_FIELDS) -> DataFrame:
@@ -94,27 +104,30 @@ def parse_payload(df: DataFrame, payload: str, fields: str = PAYLOAD_FIELDS) ->
     return parsed.select(*others, "_p.*")
 
 
-def payload_subset(names: Sequence[str]) -> str:
-    schema = T.StructType.fromDDL(PAYLOAD_FIELDS.strip())
-    return ", ".join(f"`{n}` {schema[n].dataType.simpleString()}" for n in names)
-
-
 def ingest_heartbeats(
     raw: DataFrame, payload: str = "payload", rowkey: str = "rowkey", ts_ms: str = "ts", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Typed heartbeats: device id, timestamp and the used payload fields, without copies of a row.
 
-    Only the used fields are parsed, and copies are compared on what is kept, so neither the JSON
-    reader nor the shuffle of the copy removal carries the other eighty fields.
+    Copies are rows with equal row key, time and ``keep``, and equal in every payload field, used or
+    not. The whole payload enters a digest; only the digest and the used fields are shuffled.
     """
-    wanted = raw.select(rowkey, ts_ms, payload, *keep)
-    flat = parse_payload(wanted, payload, payload_subset(list(USED_FIELDS)))
-    return flat.select(
-        serial_number(F.col(rowkey)).alias("sn"),
-        F.timestamp_millis(ts_ms).alias("ts"),
+    parsed = raw.where(F.col(payload).isNotNull()).select(
+        F.col(rowkey).alias("_rowkey"), F.col(ts_ms).alias("_ms"), *keep, F.from_json(payload, PAYLOAD_FIELDS.strip()).alias("_p")
+    )
+    rows = parsed.select(
+        "_rowkey",
+        "_ms",
+        *keep,
+        content_digest("_p.*").alias("_digest"),
+        *[typed(F.col(f"_p.`{old}`"), kind).alias(new) for old, (new, kind) in USED_FIELDS.items()],
+    ).dropDuplicates(["_rowkey", "_ms", *keep, "_digest"])
+    return rows.select(
+        serial_number(F.col("_rowkey")).alias("sn"),
+        F.timestamp_millis("_ms").alias("ts"),
         *keep,
-        *[F.col(f"`{old}`").try_cast(kind).alias(new) for old, (new, kind) in USED_FIELDS.items()],
-    ).distinct()
+        *[new for new, _ in USED_FIELDS.values()],
+    )
 
 
 def with_event_id(df: DataFrame) -> DataFrame:
@@ -130,12 +143,17 @@ def modem_events(raw: DataFrame, event: str = "modem_event", rowkey: str = "rowk
 
 
 def flat_heartbeats(raw: DataFrame, ts_ms: str = "ts", keep: Sequence[str] = ("sn",)) -> DataFrame:
-    """The same typed columns from a source whose payload is already flat text columns."""
+    """The same typed columns from a source whose payload is already flat text columns.
+
+    Copies are rows that are equal in every column of the source.
+    """
     present = {old: spec for old, spec in USED_FIELDS.items() if old.lower() in {c.lower() for c in raw.columns}}
     absent = {old: spec for old, spec in USED_FIELDS.items() if old not in present}
-    return raw.select(
+    rows = raw.select(
+        content_digest("*").alias("_digest"),
         *keep,
         F.timestamp_millis(F.col(ts_ms).try_cast("bigint")).alias("ts"),
-        *[F.col(f"`{old}`").try_cast(kind).alias(new) for old, (new, kind) in present.items()],
+        *[typed(F.col(f"`{old}`"), kind).alias(new) for old, (new, kind) in present.items()],
         *[F.lit(None).cast(kind).alias(new) for new, kind in absent.values()],
-    ).distinct()
+    )
+    return rows.dropDuplicates(["_digest"]).drop("_digest")

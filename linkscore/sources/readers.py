@@ -106,47 +106,55 @@ def renamed(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(f"`{old}`").alias(new) for old, new in names.items()])
 
 
-def lower_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.lower() for c in df.columns])
-
-
 def read_dates(spark: SparkSession, base: str, dates: Sequence[dt.date]) -> DataFrame:
-    """Union of one folder per date, missing folders skipped."""
+    """Union of one folder per date, missing folders skipped; FileNotFoundError if none exists."""
     paths = [f"{base}/{d.isoformat()}" for d in dates]
-    return union_all([spark.read.parquet(p) for p in paths if exists(spark, p)])
+    found = [p for p in paths if exists(spark, p)]
+    if not found:
+        raise FileNotFoundError(f"no folder under {base} for any of {len(paths)} dates")
+    return union_all([spark.read.parquet(p) for p in found])
 
 
 # Fixed value: the text format of a speed test's creation time.
 CREATED_FORMAT = "MMM dd, yyyy hh:mm:ss a"
 
 
-CREATED_AT = "to_timestamp(transactioncreatedate, 'Mon DD, YYYY hh:mi:ss PM')"
+def created_at(column: str = "transactioncreatedate", time_format: str = "Mon DD, YYYY hh:mi:ss PM") -> str:
+    """The database's expression for the time a test was created."""
+    return f"to_timestamp({column}, '{time_format}')"
 
 
-def extract_query(table: str, day: dt.date) -> str:
+def extract_query(table: str, day: dt.date, created: str | None = None) -> str:
     """Subquery for the database: finished tests created in the day after ``day`` began."""
+    at = created or created_at()
     return (
-        f"(select * from {table} where {CREATED_AT} > date '{day.isoformat()}'"
-        f" and {CREATED_AT} <= date '{day.isoformat()}' + interval '1 days'"
+        f"(select * from {table} where {at} > date '{day.isoformat()}' and {at} <= date '{day.isoformat()}' + interval '1 days'"
         " and status <> 'FAILED') as extract"
     )
 
 
-def extract_slots(day: dt.date, slots: int = 24) -> list[str]:
+def extract_slots(day: dt.date, slots: int = 24, created: str | None = None) -> list[str]:
     """Conditions that cut the day into equal slots, one per parallel connection."""
+    at = created or created_at()
     edges = [dt.datetime.combine(day, dt.time()) + dt.timedelta(days=1) * k / slots for k in range(slots + 1)]
     return [
-        f"{CREATED_AT} > timestamp '{low.isoformat(' ')}' and {CREATED_AT} <= timestamp '{high.isoformat(' ')}'"
+        f"{at} > timestamp '{low.isoformat(' ')}' and {at} <= timestamp '{high.isoformat(' ')}'"
         for low, high in zip(edges, edges[1:])
     ]
 
 
 def read_jdbc_extract(
-    spark: SparkSession, url: str, table: str, day: dt.date, options: Mapping[str, str], slots: int = 24
+    spark: SparkSession,
+    url: str,
+    table: str,
+    day: dt.date,
+    options: Mapping[str, str],
+    slots: int = 24,
+    created: str | None = None,
 ) -> DataFrame:
     """One day of speed tests, filtered inside the database; the caller supplies the connection."""
-    query = extract_query(table, day)
-    return with_numbers(spark.read.jdbc(url=url, table=query, predicates=extract_slots(day, slots), properties=dict(options)))
+    query, conditions = extract_query(table, day, created), extract_slots(day, slots, created)
+    return with_numbers(spark.read.jdbc(url=url, table=query, predicates=conditions, properties=dict(options)))
 
 
 def with_numbers(df: DataFrame) -> DataFrame:

@@ -25,13 +25,8 @@ def write_folder(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_new(df: DataFrame, path: str) -> None:
-    """Write one Parquet folder that must not exist yet."""
-    df.write.mode("errorifexists").parquet(path)
-
-
 def write_files(df: DataFrame, path: str, files: int = 10, mode: str = "overwrite") -> None:
-    """Write with a fixed number of files."""
+    """Write with a fixed number of files; with mode ``errorifexists`` the folder must be new."""
     df.repartition(files).write.mode(mode).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """The jobs end to end, on files written from the derived inputs."""
 
 import datetime as dt
+import pathlib
 
 import pytest
 from conftest import rows
@@ -100,7 +101,7 @@ COLUMNS = ["sn", "mdn", "throughput_score", "capacity_score", "availability_scor
 
 
 def test_backfill_runs_the_day_once_and_isolates_failures(spark, inputs, world):
-    run = lambda: J.backfill(spark, lambda d: J.run_day(spark, world, d), lambda d: world.day("all_score", d), DAY, 3)
+    run = lambda: J.backfill(spark, lambda d: J.run_day(spark, world, d), lambda d: J.day_outputs(world, d), DAY, 3)
     first = [tuple(r) for r in run().collect()]
     assert [(d.day, s) for d, s, _ in first] == [(8, "failed"), (9, "failed"), (10, "written")]
     assert "PATH_NOT_FOUND" in first[0][2] and first[2][2] is None
@@ -112,10 +113,17 @@ def test_backfill_runs_the_day_once_and_isolates_failures(spark, inputs, world):
     assert again == ["failed", "failed", "present"]
     assert sorted(spark.read.parquet(world.day("all_score", DAY)).inputFiles()) == files
 
+    # A date counts as present only when all its outputs exist.
+    scores = pathlib.Path(world.day("model_score", DAY))
+    scores.rename(scores.with_name("aside"))
+    assert [r.status for r in run().collect()] == ["failed", "failed", "written"]
+
+    got = spark.read.parquet(world.day("all_score", DAY))
     subset = spark.read.parquet(world.day("model_score", DAY))
     assert rows(subset.select(COLUMNS)) == rows(got.where(F.col("model").isin(*P.SUBSET_MODELS)).select(COLUMNS))
     placed = spark.read.parquet(world.day("score_location", DAY))
-    assert placed.count() == got.count() and {"state", "latitude", "firmware", "date"} <= set(placed.columns)
+    versions = inputs.firmware.distinct()
+    assert placed.count() == got.join(versions, "sn", "left").count() and {"state", "latitude", "firmware", "date"} <= set(placed.columns)
     assert placed.where("firmware is not null and state is not null").count() > 0
 
 

@@ -3,9 +3,12 @@
 import datetime as dt
 import re
 
+import pytest
+from conftest import SF
+
 from linkscore.operators import capacity as K
 from linkscore.operators import counters as C
-from linkscore.plans.queries import _lines
+from linkscore.plans.queries import QUERIES, _lines
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
 
@@ -14,21 +17,35 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def final(df):
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return text.split("== Initial Plan ==")[0]
+def initial(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_without_a_hot_key_one_window_remains(inputs):
-    text = final(C.service_time(inputs.hb))
-    assert "rangepartitioning" not in text and "LeftAnti" not in text and "LeftSemi" not in text
+@pytest.mark.parametrize(
+    "operator", [C.counter_increments, C.service_time, C.uptime_stalls, C.network_switches, C.failure_ratios, C.counter_resets]
+)
+def test_ordered_operators_read_once(inputs, operator):
+    text = initial(operator(inputs.hb))
+    assert text.count("FileScan") == 1 and "rangepartitioning" not in text and "Broadcast" not in text
     # One shuffle of the rows; the second one moves a row per device and slice.
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
 
 
-def test_a_hot_key_is_range_partitioned(inputs):
-    assert "rangepartitioning" in final(C.service_time(inputs.hb, hot_rows=20))
+def test_running_changes_moves_its_rows_once(inputs):
+    text = initial(C.running_changes(inputs.hb_timed))
+    # Two evaluations of the rows, equal and so reused when run; slices move twice.
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 4
+
+
+def test_overall_score_has_plain_joins(spark):
+    text = initial(QUERIES["overall_score"](spark, SF))
+    # The lines take three scans; throughput and capacity start from them.
+    assert text.count("FullOuter") == 2 and len(re.findall(r"Exchange hashpartitioning", text)) <= 10
+    assert len(re.findall(r"FileScan parquet .*customer", text)) <= 6
+
+
+def test_model_distribution_places_records_once(inputs):
+    assert len(re.findall(r"Exchange hashpartitioning", initial(K.capacity_by_model(inputs.hb)))) <= 4
 
 
 def test_capacity_joins_after_aggregating(spark, inputs):
@@ -56,6 +73,7 @@ def test_filters_reach_the_scan(spark, inputs, tmp_path):
     assert "GreaterThanOrEqual(lte_snr,-10.0)" in text and "service_uptime" not in re.findall(r"ReadSchema: (\S+)", text)[0]
 
 
-def test_ingest_parses_only_used_fields(inputs):
+def test_ingest_shuffles_a_digest_for_the_unused_fields(inputs):
     text = plan(H.ingest_heartbeats(inputs.raw))
-    assert "GPSAltitude" not in text and "ServiceUptime" in text
+    above = text[: text.index("Exchange hashpartitioning")]
+    assert "GPSAltitude" not in above and "_digest" in above

@@ -21,28 +21,36 @@ def days(df, dataset):
     return sorted(r.part_date.day for r in df.where(F.col("dataset") == dataset).collect())
 
 
-def test_gaps_test_exactly_the_window(landed):
-    gaps = Q.partition_gaps(landed, AS_OF, 7)  # 9th to 15th
+@pytest.fixture(scope="module")
+def expected(spark):
+    """a lands a day late on every day, w two days late on working days, gone should have landed; b is not listed."""
+    data = [("a", 1, False), ("w", 2, True), ("gone", 0, False)]
+    return spark.createDataFrame(data, "dataset string, expected_delay int, weekdays_only boolean")
+
+
+def test_gaps_test_exactly_the_window(landed, expected):
+    gaps = Q.partition_gaps(landed, expected, AS_OF, 7)
     assert days(gaps, "a") == [10, 13, 14] and days(gaps, "b") == list(range(9, 16))
-    assert days(Q.partition_gaps(landed, AS_OF, 7, expected_delay=0), "a") == [10, 13, 14, 16]
+    assert days(gaps, "gone") == list(range(10, 17))
+    assert days(gaps, "w") == [8, 9, 10, 11, 12]
 
 
-def test_gaps_on_weekdays_without_holidays(landed):
-    gaps = Q.partition_gaps(landed, AS_OF, 14, weekdays_only=True, holidays=["2024-01-02", "2024-01-15"])
-    assert days(gaps, "a") == [3, 4, 5, 10]
-    assert days(gaps, "b") == [3, 4, 5, 8, 9, 10, 11, 12]
+def test_only_working_day_feeds_know_holidays(landed, expected):
+    gaps = Q.partition_gaps(landed, expected, AS_OF, 14, holidays=["2024-01-02", "2024-01-10", "2024-01-12"])
+    assert days(gaps, "w") == [1, 3, 4, 5, 8, 9, 11]
+    assert 10 in days(gaps, "a") and 2 not in days(gaps, "b") and 12 in days(gaps, "b")
 
 
-def test_freshness_and_report(landed):
-    fresh = Q.partition_freshness(landed, AS_OF)
-    assert rows(fresh.select("dataset", "delay_days")) == [("a", 0), ("b", 13)]
-    report = Q.partition_report(fresh, Q.partition_gaps(landed, AS_OF, 5))
-    got = {r.dataset: (r.newest.day, r.missing_days, r.missing) for r in report.collect()}
-    assert got["a"] == (15, 2, "2024-01-13,2024-01-14") and got["b"][1] == 5
+def test_freshness_and_report(landed, expected):
+    fresh = Q.partition_freshness(landed, expected, AS_OF)
+    assert rows(fresh.select("dataset", "delay_days")) == [("a", 0), ("b", 13), ("gone", None), ("w", None)]
+    report = Q.partition_report(fresh, Q.partition_gaps(landed, expected, AS_OF, 5))
+    got = {r.dataset: (r.newest and r.newest.day, r.missing_days, r.missing) for r in report.collect()}
+    assert got["a"] == (15, 2, "2024-01-13,2024-01-14") and got["b"][1] == 5 and got["gone"][:2] == (None, 5)
 
 
-def test_a_complete_dataset_reports_nothing_missing(landed):
-    report = Q.partition_report(Q.partition_freshness(landed, AS_OF), Q.partition_gaps(landed, AS_OF, 1))
+def test_a_complete_dataset_reports_nothing_missing(landed, expected):
+    report = Q.partition_report(Q.partition_freshness(landed, expected, AS_OF), Q.partition_gaps(landed, expected, AS_OF, 1))
     assert [tuple(r)[3:] for r in report.where("dataset = 'a'").collect()] == [(0, "")]
 
 
@@ -61,4 +69,5 @@ def test_column_summary(spark):
     got = {(r.column, r.statistic): r.value for r in Q.column_summary(df, ["x", "none"]).collect()}
     assert got["x", "count"] == 100 and got["x", "mean"] == 50.5 and got["x", "25%"] == 25 and got["x", "max"] == 100
     assert got["x", "stddev"] == pytest.approx(29.011491975882016)
+    assert not Q.column_summary(df.limit(0), ["x"]).where("statistic = 'count' and value <> 0").collect()
     assert got["none", "count"] == 0 and got["none", "50%"] is None and len(got) == 20

@@ -1,10 +1,14 @@
 """Scaling families and group scores."""
 
+import math
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from linkscore import params as P
+from linkscore.operators import percentiles as Q
 from linkscore.operators import scaling as S
 
 
@@ -91,3 +95,30 @@ def test_shared_groups_use_one_table(table):
     out = S.scale(table.withColumn("id2", F.col("id")), specs)
     assert set(out.columns) == {"model", "pplan_cd", "id", "x", "id2", "scaled_x", "scaled_id", "scaled_id2"}
     assert rows(out.select("id")) == rows(table.select("id"))
+
+
+@pytest.mark.parametrize("accuracy", [5, 50, 10_000])
+def test_percentiles_are_exact_whatever_the_sketch(spark, accuracy):
+    rng = random.Random(6)
+    data = []
+    for k in range(4000):
+        group = rng.choice(["a", "a", "b", None])
+        data.append((group, rng.gauss(0, 1) if rng.random() > 0.1 else None, rng.choice([1, 1, 1, 2, 7]), None))
+    data += [("empty", None, None, None), ("one", 3.5, 4, None)]
+    df = spark.createDataFrame(data, "g string, x double, n int, none double")
+    cuts = {"low": 0.01, "mid": 0.5, "p75": 0.75, "high": 0.99}
+    for by in (["g"], []):
+        got = Q.percentiles(df, ["x", "n", "none"], by, cuts, accuracy=accuracy).collect()
+        assert len(got) == (5 if by else 1)
+        for r in got:
+            for k, c in ((1, "x"), (2, "n")):
+                values = sorted(d[k] for d in data if d[k] is not None and (not by or d[0] == r["g"]))
+                for name, p in cuts.items():
+                    assert r[f"{c}_{name}"] == (values[max(1, math.ceil(p * len(values))) - 1] if values else None)
+            assert r["none_mid"] is None
+    assert dict(Q.percentiles(df, ["n"], ["g"], cuts).dtypes)["n_low"] == "int"
+
+
+def test_a_sketch_is_close(table):
+    exact, sketched = (S.percentile_by_group(table, ["x"], ["model"], sketch=s) for s in (False, True))
+    assert rows(exact) == rows(sketched)

@@ -63,12 +63,6 @@ def test_round2_equals_round(spark):
     assert spark.range(1).select(E.round2(F.lit(None).cast("double"))).first()[0] is None
 
 
-def test_db_mean(spark):
-    df = spark.createDataFrame([(-100.0,), (-90.0,), (None,)], "x double")
-    assert one(df.agg(E.db_mean(F.col("x"))))[0] == pytest.approx(10 * math.log10((1e-10 + 1e-9) / 2))
-    assert one(df.where("x is null").agg(E.db_mean(F.col("x"))))[0] is None
-
-
 def test_cband_branches(spark):
     cases = [
         (77, 77, 1, 160), (77, 77, None, 160), (77, 0, 646667, 100), (77, None, 653329, 100), (77, 0, 653330, 60),
@@ -119,8 +113,9 @@ def test_link_capacity_equals_the_record_level_join(inputs, spark):
     )
     got = K.link_capacity(inputs.hb, lines)
     assert rows(got.select("sn", "mdn", "capacity_score")) == rows(slow)
-    joined_first = K.link_capacity(inputs.hb, lines, params=P.CapacityParams(max_adjustments=0))
-    assert rows(joined_first) == rows(got)
+    # A plan table with many distinct adjustments takes the same way.
+    many = [(code, dl, ul) for code, dl, ul in P.PLAN_CAPS] + [(f"x{k}", 3 + k, 1) for k in range(40)]
+    assert rows(K.link_capacity(inputs.hb, lines, many)) == rows(got)
 
 
 def heartbeat_rows(spark, data):
@@ -193,12 +188,19 @@ def test_overall_weights_category_numbers_of_existing_parts(spark):
 
 def test_customer_line(spark):
     cust = spark.createDataFrame(
-        [("1", "m", "38365", " 5G Router WNC-CR200A ", "123456", "c"), ("1", "m", "38365", "WNC-CR200A", "123456", "c"), ("2", "n", "1", "ZZ9", "99", "d")],
-        "imsi string, mdn string, pplan_cd string, device_prod_nm string, imei_raw string, cust_id string",
+        [
+            ("1", "m", "38365", "Home", " 5G Router WNC-CR200A ", "123456", "c", "e"),
+            ("1", "m", "38365", "Home", "WNC-CR200A", "123456", "c", "e"),
+            ("2", "n", "1", None, "ZZ9", "99", "d", None),
+        ],
+        "imsi string, mdn string, pplan_cd string, pplan_desc string, device_prod_nm string, imei_raw string, cust_id string, "
+        "ecpd_profile_id string",
     )
     serials = spark.createDataFrame([("m", "s1"), ("m", "s2"), ("m", "s2"), ("x", "s3")], "mdn string, sn string")
     got = L.customer_line(cust, serials)
     assert rows(got.select("sn", "model")) == [("WNC-CR200A", "s1"), ("WNC-CR200A", "s2")]
+    other = cust.withColumn("pplan_desc", F.col("device_prod_nm"))  # lines that differ in the description stay
+    assert L.customer_line(other, serials).count() == 4
     feature = L.feature_line(cust)
     assert rows(feature.select("imei", "model")) == [("12345", "WNC-CR200A"), ("9", "Others")]
 
@@ -232,3 +234,21 @@ def test_plans_are_consistent():
     assert not set(P.NR_PLANS) & set(P.LTE_PLANS)
     for weights in P.GROUP_WEIGHTS.values():
         assert sum(weights.values()) == pytest.approx(1.0)
+
+
+def test_nan_is_no_speed(spark):
+    nan = float("nan")
+    data = [("m", nan, 5.0, 100), ("m", 4.4, 2.0, 100), ("m", 5.0, nan, 100), ("n", nan, nan, 100), ("o", None, 1.0, 100)]
+    tests = spark.createDataFrame(data, "mdn string, download_result double, upload_result double, progress int")
+    assert rows(T.speedtest_avg(tests)) == [(4.0, "m", 2.0)]
+    assert one(spark.sql("select double('NaN') as x").select(E.hundredths(F.col("x"))))[0] is None
+
+
+def test_all_versions_or_the_newest(spark):
+    scores = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "sn string, score int")
+    firmware = spark.createDataFrame([("a", "fw-9"), ("a", "fw-10"), ("a", "fw-9"), ("b", "1.2.10"), ("b", "1.10.2"), ("b", "none")], "sn string, firmware string")
+    places = spark.createDataFrame([("a", "x"), ("a", "x")], "sn string, state string")
+    every = O.enrich_location(scores, places, firmware)
+    assert [r.firmware for r in every.orderBy("sn", "firmware").collect()] == ["fw-10", "fw-9", "1.10.2", "1.2.10", "none", None]
+    newest = O.enrich_location(scores, places, firmware, newest_only=True)
+    assert [r.firmware for r in newest.orderBy("sn").collect()] == ["fw-10", "1.10.2", None]

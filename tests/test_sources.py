@@ -69,6 +69,8 @@ def test_newest_folder_and_read_dates(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         R.newest_folder(spark.read.parquet, base, DAY - dt.timedelta(days=10))
     assert R.read_dates(spark, base, [DAY - dt.timedelta(days=d) for d in range(6)]).count() == 3
+    with pytest.raises(FileNotFoundError, match="2 dates"):
+        R.read_dates(spark, base, [DAY, DAY - dt.timedelta(days=1)])
 
 
 def test_latest_available(spark):
@@ -121,6 +123,29 @@ def test_ingest(spark):
     assert got[6].sn is None and got[6].lte_snr is None and got[6].cqi is None and got[6].imsi == "7"
 
 
+def test_only_copies_of_a_whole_row_go(spark):
+    base = '{"SNR":"1","GPSAltitude":"%s"}'
+    data = [("6223-A_M", 5, base % "low")] * 2 + [
+        ("6223-A_M", 5, base % "high"),  # differs in a field that no score uses
+        ("6223-A_M", 5, '{"GPSAltitude":"low", "SNR":"1"}'),  # the same fields in another order
+        ("6224-A_M", 5, base % "low"),  # another row key of the serial number
+        ("6223-A_M", 6, base % "low"),
+        ("6223-A_M", 5, '{"SNR":"1","PCellID":"low"}'),  # the value under another name
+        ("6223-A_M", None, base % "low"),
+        ("6223-A_M", None, base % "low"),
+        (None, 5, base % "low"),
+    ]
+    got = H.ingest_heartbeats(spark.createDataFrame(data, "rowkey string, ts bigint, payload string"))
+    assert got.count() == 7 and got.where("sn = 'A'").count() == 6
+    flat = spark.createDataFrame([("S", "5", "1", "x")] * 2 + [("S", "5", "1", "y"), ("S", "5", "1", None)], "sn string, ts string, SNR string, other string")
+    assert H.flat_heartbeats(flat).count() == 3
+
+
+def test_nan_is_no_number(spark):
+    df = spark.createDataFrame([("NaN", "NaN"), ("1.5", "2"), ("x", None)], "a string, b string")
+    assert rows(H.cast_columns(df, {"a": "double", "b": "bigint"})) == [(1.5, 2), (None, None), (None, None)]
+
+
 def test_payload_has_all_fields(spark):
     parsed = H.parse_payload(spark.sql("select 1 as id, '{}' as payload"), "payload")
     types = [t for _, t in parsed.dtypes[1:]]
@@ -157,9 +182,9 @@ def test_sinks(spark, tmp_path):
     assert (tmp_path / "h/date=2024-01-01/hr=05").is_dir()
 
     new = str(tmp_path / "new")
-    W.write_new(spark.range(2), new)
+    W.write_files(spark.range(2), new, 1, "errorifexists")
     with pytest.raises(AnalysisException):
-        W.write_new(spark.range(2), new)
+        W.write_files(spark.range(2), new, 1, "errorifexists")
     W.write_folder(spark.range(5), new)
     assert spark.read.parquet(new).count() == 5
 
@@ -181,15 +206,6 @@ def test_exists(spark, tmp_path):
     assert R.exists(spark, str(tmp_path / "full"))
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_small_or_joined_matches_null_keys_either_way(spark, limit):
-    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
-    table = spark.createDataFrame([("a", 10), (None, 30)], "k string, w int")
-    got = D.small_or_joined(df, table, ["k"], "left", limit)
-    assert got.columns == ["k", "v", "w"]
-    assert rows(got.select("v", "w")) == [(1, 10), (2, None), (3, 30)]
-
-
 def test_checkpoint_folder_is_the_sessions(spark):
     assert D.checkpoint_folder(spark).startswith("file:")
     assert spark.conf.get("spark.checkpoint.dir") in D.checkpoint_folder(spark)
@@ -198,4 +214,3 @@ def test_checkpoint_folder_is_the_sessions(spark):
 def test_renames(spark):
     df = spark.createDataFrame([("1", "2")], "MTN string, Other string")
     assert R.renamed(df, {"mtn": "mdn"}).columns == ["mdn"]
-    assert R.lower_names(df).columns == ["mtn", "other"]

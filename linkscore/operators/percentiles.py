@@ -39,7 +39,8 @@ def percentiles(
         sketched = df.groupBy(*by).agg(*[F.percentile_approx(c, list(cuts.values()), accuracy).alias(c) for c in columns])
         return sketched.select(*by, *[F.col(c)[k].alias(f"{c}_{n}") for c in columns for k, n in enumerate(cuts)])
     keys = list(by) or ["_all"]
-    rows = df.select(*by, *columns) if by else df.select(F.lit(1).alias("_all"), *columns)
+    # Without groups all rows have one key, 0; a literal would turn the join into a cross join.
+    rows = df.select(*by, *columns) if by else df.select(F.pmod(F.spark_partition_id(), F.lit(1)).alias("_all"), *columns)
     margin = 2.0 / accuracy
     ends = [e for p in cuts.values() for e in (max(p - margin, 0.0), min(p + margin, 1.0))]
     enclosed = rows.groupBy(*keys).agg(
@@ -47,6 +48,8 @@ def percentiles(
         *[F.count(c).alias(f"_n_{c}") for c in columns],
     )
     enclosed = enclosed.withColumnsRenamed({k: f"_g_{k}" for k in keys})
+    if not by:
+        enclosed = F.broadcast(enclosed)  # one row
 
     def entry(number: int, column: str, k: int, share: float) -> Column:
         x, around = F.col(column).cast("double"), F.col(f"_e_{column}")

@@ -27,15 +27,23 @@ def column_summary(
     plain = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     moments = values.agg(*[f(c).cast("double").alias(f"{c}_{n}") for c in columns for n, f in plain.items()])
     found = percentiles(values, columns, [], cuts, sketch, accuracy)
-    # Two frames of one row each (the percentiles have none without rows) side by side, in long form.
-    names = {**{n: n for n in plain}, **{f"p{p}": f"{p}%" for p in percents}}
-    one = moments.withColumn("_one", F.lit(1)).join(found.withColumn("_one", F.lit(1)), "_one", "left")
-    pairs = [
-        F.struct(F.lit(c).alias("column"), F.lit(shown).alias("statistic"), F.col(f"{c}_{n}").alias("value"))
-        for c in columns
-        for n, shown in names.items()
-    ]
-    return one.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
+    names = {**{n: n for n in plain}, **{n: f"{n[1:]}%" for n in cuts}}
+
+    def long_form(one: DataFrame) -> DataFrame:
+        none = F.lit(None).cast("double")
+        pairs = [
+            F.struct(
+                F.lit(c).alias("column"),
+                F.lit(shown).alias("statistic"),
+                (F.col(f"{c}_{n}") if f"{c}_{n}" in one.columns else none).alias("value"),
+            )
+            for c in columns
+            for n, shown in names.items()
+        ]
+        return one.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
+
+    both = long_form(moments).unionByName(long_form(found))
+    return both.groupBy("column", "statistic").agg(F.max("value").alias("value"))
 
 
 def partition_counts(df: DataFrame, date: str) -> DataFrame:

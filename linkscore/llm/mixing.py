@@ -121,11 +121,11 @@ def mix(
 def _quotas(sources: DataFrame, alpha: float, budget: int | None) -> DataFrame:
     """(source, tokens, weight, quota, passes, blocks): passes are those begun."""
     raised = sources.withColumn("power", F.pow("share", F.lit(alpha)))
-    total = raised.agg(F.sum("power").alias("total"), F.max(F.col("tokens") / F.col("power")).alias("once"))
-    quota = F.lit(budget).cast("double") * F.col("weight") if budget else F.col("power") * F.col("once")
+    total, once = raised.agg(F.sum("power"), F.max(F.col("tokens") / F.col("power"))).first()
+    weight = F.col("power") / F.lit(total)
+    quota = F.lit(budget).cast("double") * weight if budget else F.col("power") * F.lit(once)
     return (
-        raised.join(F.broadcast(total))  # one row
-        .withColumn("weight", F.col("power") / F.col("total"))
+        raised.withColumn("weight", weight)
         .withColumn("quota", F.round(quota).cast("long"))
         .withColumn("passes", F.greatest(F.ceil(F.col("quota") / F.col("tokens")), F.lit(1)).cast("int"))
         .withColumn("blocks", F.ceil(F.col("docs") / BLOCK_DOCS).cast("long"))

@@ -1,8 +1,9 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
-Two bags of hashed word unigrams and bigrams are counted, over the target texts and over all texts.
-A document's log weight is the mean over its n-grams of the log ratio of their smoothed shares, times a
-temperature's inverse. Adding Gumbel noise, drawn from the row's own hash, and keeping the k largest
+Two bags of hashed word unigrams and bigrams are counted in one pass: over a bounded sample of target
+texts, whose ids are broadcast, and over all texts. A document's log weight is the mean over its n-grams
+of the log ratio of their smoothed shares, times a temperature's inverse; a few n-grams of weight 0 are
+added to each document, so that very short ones stay near the average. Adding Gumbel noise, drawn from the row's own hash, and keeping the k largest
 sums samples k documents without replacement in proportion to their weights. The k-th largest sum is
 found by counting in ever finer ranges, not by sorting.
 """
@@ -21,6 +22,9 @@ from linkscore.llm.words import mixed, separated, text_blocks, word_hashes
 
 BUCKETS = 1 << 15
 TEMPERATURE = 0.01
+PRIOR_GRAMS = 10
+#: Most target rows that the target model takes, the first by a hash of their id.
+MAX_TARGET = 20_000
 RANGES = 1024
 SEED = 5
 
@@ -70,7 +74,7 @@ def weighted(rows: DataFrame, ratios: np.ndarray, temperature: float) -> DataFra
                 doc, buckets = hashed_grams(data, offsets)
                 grams = np.bincount(doc, minlength=n)
                 logs = np.bincount(doc, weights=shared.value[buckets], minlength=n)
-                weight = logs / np.maximum(grams, 1) / temperature
+                weight = logs / (grams + PRIOR_GRAMS) / temperature
                 columns = [batch.column(k).slice(first, n) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(grams.astype(np.int64)), pa.array(weight)], names=["id", "hash", "n_grams", "log_weight"]
@@ -114,11 +118,12 @@ def resample(
     share: float | None = None,
     temperature: float = TEMPERATURE,
     seed: int = SEED,
+    max_target: int = MAX_TARGET,
 ) -> DataFrame:
     """One row per input row: id_col, n_grams, log_weight, sum (with noise) and kept.
 
     The target are the texts of rows labelled with quality 1 and not toxic (labels: doc_id, quality,
-    toxic); the raw model is counted over all rows. share is the share of rows to keep, by default that of quality 1 among the
+    toxic), of max_target ids at most; the raw model is counted over all rows. share is the share of rows to keep, by default that of quality 1 among the
     labels. Of equal sums at the border all stay. Null and empty texts have no n-gram, weight 0 as
     an average text, and are never kept. Repeated rows draw the same noise. Without labels all
     rows with words are kept; an empty table gives an empty result.
@@ -126,12 +131,13 @@ def resample(
     scratch = Scratch(docs.sparkSession)
     known = labels.filter("quality IS NOT NULL")
     good = known.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("id")).distinct()
+    good = good.orderBy(F.xxhash64("id"), "id").limit(max_target)
     if share is None:
         share = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
     rows = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(F.lit(seed), id_col, text_col).alias("hash"), F.col(text_col).alias("text")
     )
-    labelled = rows.join(good.withColumn("target", F.lit(True)), "id", "left")
+    labelled = rows.join(F.broadcast(good.withColumn("target", F.lit(True))), "id", "left")
     texts = labelled.select("text", F.coalesce("target", F.lit(False)).alias("target"))
     ratios = log_ratios(texts)
     # A uniform number strictly between 0 and 1 from the row's hash.

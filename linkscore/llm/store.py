@@ -10,14 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir. Only a local session may leave it unset."""
     folder = spark.conf.get(SETTING, None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        context = spark.sparkContext
+        if not context.master.startswith("local["):
             raise ValueError(f"{SETTING} must name a folder that all executors share")
-        folder = f"file://{tempfile.mkdtemp(prefix='linkscore-')}"
-        spark.conf.set(SETTING, folder)
+        if context.applicationId not in _OWN:
+            _OWN[context.applicationId] = f"file://{tempfile.mkdtemp(prefix='linkscore-')}"
+        folder = _OWN[context.applicationId]
     return folder.rstrip("/")
 
 

@@ -1,7 +1,5 @@
 """Hand-computed cases of the score operators."""
 
-import math
-
 import pytest
 from conftest import rows
 from hypothesis import given, settings

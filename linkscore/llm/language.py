@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from linkscore.llm.words import separated, text_blocks
 
 UNKNOWN = "und"
 BUCKETS = 4096
-#: Most texts of a language that a fit takes, the first by a hash of the id; each adds a short cut of itself.
+#: Most texts of a language that a fit takes, the first by a hash of id and text; each adds a short cut of itself.
 MAX_PER_LANGUAGE = 400
 #: Most languages a model learns, the most frequent ones.
 MAX_LANGUAGES = 64
@@ -140,11 +140,21 @@ def _cut(text: str, number: int) -> str:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The features of each text and of its cut in one row; rows of the same language, id and text once a partition."""
+    seen = set()
     for batch in batches:
-        langs, orders = batch.column(0), batch.column(2).to_pylist()
-        for texts in (batch.column(1), pa.array([_cut(t, o) for t, o in zip(batch.column(1).to_pylist(), orders)], pa.string())):
-            rows = [x.astype(np.float16).tobytes() for _, _, d, o in text_blocks(texts) for x in features(d, o)]
-            yield pa.RecordBatch.from_arrays([langs, pa.array(rows, pa.binary()), batch.column(2)], names=["lang", "x", "order"])
+        keys = list(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()))
+        new = [k for k, key in enumerate(keys) if not (key in seen or seen.add(key))]
+        batch = batch.take(pa.array(new, pa.int64()))
+        if not new:
+            continue
+        cuts = [_cut(t, keys[k][1]) for k, t in zip(new, batch.column(1).to_pylist())]
+        both = [
+            [x.astype(np.float16).tobytes() for _, _, d, o in text_blocks(texts) for x in features(d, o)]
+            for texts in (batch.column(1), pa.array(cuts, pa.string()))
+        ]
+        rows = pa.array([a + b for a, b in zip(*both)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), rows, batch.column(2)], names=["lang", "x", "order"])
 
 
 def fit(
@@ -154,23 +164,35 @@ def fit(
     order: Column | None = None,
     max_per_language: int = MAX_PER_LANGUAGE,
 ) -> Model | None:
-    """A model from a bounded sample of the labelled rows; None if no row has both text and label."""
-    order = F.abs(F.xxhash64(F.col("doc_id") if order is None else order))
+    """A model from a bounded sample of the labelled rows; None if no row has both text and label.
+
+    The sample are the first max_per_language rows of a language by a hash of id (or order) and text, so
+    null and repeated ids are drawn like others, and rows of the same id and text count once. Executors
+    cut it before the driver reads it.
+    """
+    order = F.xxhash64(F.col("doc_id") if order is None else order, text_col).bitwiseAND(F.lit((1 << 63) - 1))
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("order"))
-    rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL AND order IS NOT NULL")
-    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
+    counts = rows.groupBy("lang").agg(
+        F.count("*").alias("count"), F.approx_count_distinct("order").alias("different"), F.min("order").alias("least")
+    )
+    known = counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not known:
         return None
-    # A row is drawn if its hash is under a bound that leaves max_per_language rows of its language on average.
-    bounds = {x["lang"]: min(1.0, max_per_language / x["count"]) * (1 << 63) for x in known}
-    bound = F.create_map(*[F.lit(v) for item in bounds.items() for v in item])
-    drawn = rows.filter(F.col("order") < bound[F.col("lang")])
-    sample = drawn.mapInArrow(_sample_features, "lang string, x binary, order long").toPandas()
-    sample = sample.sort_values(["order", "lang", "x"])
-    sample = sample[sample.groupby("lang").cumcount() < 2 * max_per_language]
-    languages = sorted(bounds)
+    # A bound that half as many again are under on average, since the count is an estimate; one row at least.
+    bounds = [
+        (x["lang"], max(x["least"], int(min(1.0, (1.5 * max_per_language + 8) / max(1, x["different"])) * ((1 << 63) - 1024))))
+        for x in known
+    ]
+    bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # one row a language
+    drawn = rows.join(bounds, "lang").filter("order <= bound").select("lang", "text", "order")
+    drawn = drawn.mapInArrow(_sample_features, "lang string, x binary, order long").dropDuplicates(["lang", "order"])
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    sample = drawn.withColumn("place", place).filter(F.col("place") <= max_per_language).toPandas()
+    sample = sample.sort_values(["lang", "order"])
+    languages = sorted(x["lang"] for x in known)
     x = np.frombuffer(b"".join(sample["x"]), np.float16).reshape(-1, BUCKETS).astype(np.float32)
-    return train(x, np.searchsorted(languages, sample["lang"].to_numpy()), languages)
+    return train(x, np.searchsorted(languages, sample["lang"].to_numpy()).repeat(2), languages)
 
 
 def identify(

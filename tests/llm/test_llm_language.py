@@ -59,3 +59,32 @@ def test_without_labels_all_is_unknown(spark):
 def test_one_language(spark):
     df = spark.createDataFrame([(k, f"some words {k}", "en") for k in range(5)], "doc_id long, text string, lang string")
     assert {r["lang_pred"] for r in L.identify(df, L.fit(df)).collect()} == {"en"}
+
+
+@pytest.mark.parametrize("same_id", [None, 7])
+def test_null_and_repeated_ids_do_not_fill_the_sample(spark, monkeypatch, same_id):
+    # Half of the rows share an id; of these, some are copies of one text.
+    rows = [(k, f"own words {k}", "en") for k in range(300)] + [(same_id, f"shared words {k}", "en") for k in range(200)]
+    rows += [(same_id, "shared words of copies", "en")] * 100 + [(900, "der die das", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    gathered, trained = [], []
+    monkeypatch.setattr(L, "train", lambda x, y, languages: trained.append((x, y)))
+    to_pandas = type(df).toPandas
+    monkeypatch.setattr(type(df), "toPandas", lambda self: gathered.append(to_pandas(self)) or gathered[-1])
+    L.fit(df, max_per_language=40)
+    x, y = trained[0]
+    assert [len(g) for g in gathered] == [41] and np.bincount(y).tolist() == [2, 80]
+    own = next(L.features(np.frombuffer(b"own", np.uint8), np.array([0, 3])))
+    shared = next(L.features(np.frombuffer(b"shared", np.uint8), np.array([0, 6])))
+    full = x[::2][1:]
+    n_own = int((full @ own > full @ shared).sum())
+    assert 14 <= n_own <= 34
+
+
+def test_sample_does_not_depend_on_partitions(spark, monkeypatch):
+    df = spark.createDataFrame([(None, f"words {k}", "en") for k in range(500)], "doc_id long, text string, lang string")
+    trained = []
+    monkeypatch.setattr(L, "train", lambda x, y, languages: trained.append(x))
+    for n in (1, 7):
+        L.fit(df.repartition(n), max_per_language=20)
+    assert trained[0].shape[0] == 40 and np.array_equal(*trained)

@@ -24,8 +24,10 @@ UNKNOWN = "und"
 BUCKETS = 4096
 #: Most texts of a language that a fit takes, the first by a hash of id and text; each adds a short cut of itself.
 MAX_PER_LANGUAGE = 400
-#: Most languages a model learns, the most frequent ones.
-MAX_LANGUAGES = 64
+#: Most texts of a fit. With more languages each gives fewer, one at least: every language is learned.
+MAX_TEXTS = 6400
+#: Most numbers of rows x languages that decoding holds at once.
+_DECODED = 1 << 22
 AMBIGUOUS = 0.6
 
 _LETTER = regex.compile(r"\p{L}")
@@ -72,6 +74,11 @@ def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
         yield root / np.float32(size) if size else root
 
 
+def _later(first: int, k: int) -> np.ndarray:
+    """Which pairs of the 512 rows from first with the k - first - 1 rows after it hold a row and a later one."""
+    return np.arange(first, min(first + 512, k))[:, None] < np.arange(first + 1, k)[None]
+
+
 def codewords(k: int, seed: int = 7) -> np.ndarray:
     """k codewords of -1 and 1: all splits of the languages up to 5, else random rows kept apart."""
     if k < 2:
@@ -81,10 +88,12 @@ def codewords(k: int, seed: int = 7) -> np.ndarray:
         return np.array(bits) * 2.0 - 1
     rng, best = np.random.default_rng(seed), None
     width = int(np.ceil(10 * np.log2(k)))
-    for _ in range(200):
+    for _ in range(max(1, min(200, 400_000_000 // (k * k)))):
         code = rng.integers(0, 2, (k, width)) * 2.0 - 1
         code = code[:, np.abs(code.sum(0)) < k]
-        apart = min(((code[i] != code[i + 1 :]).sum(1).min() for i in range(k - 1)))
+        # Rows of -1 and 1 differ in half of what their product lacks to the full length.
+        nearest = max((code[i : i + 512] @ code[i + 1 :].T)[_later(i, k)].max() for i in range(0, k - 1, 512))
+        apart = (code.shape[1] - nearest) / 2
         if best is None or apart > best[0]:
             best = (apart, code)
     return best[1]
@@ -100,11 +109,19 @@ class Model:
     reliability: np.ndarray
 
     def decode(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Shares of the languages for rows of bit margins: exponentials of the weighted losses."""
-        loss = np.logaddexp(0, -margins[:, None, :] * self.code[None]) @ self.reliability
-        near = np.exp(loss.min(1, keepdims=True) - loss)
-        share = near / near.sum(1, keepdims=True)
-        return share.argmax(1), share.max(1)
+        """Best language and its share for rows of bit margins: shares are exponentials of the weighted losses.
+
+        The loss log(1 + exp(-margin)) of a bit that should be 1 grows by the margin if it should be -1; the
+        first is the same for all languages, so the losses differ by a product of margins and codewords.
+        """
+        other = (self.code < 0).T.astype(float)
+        step = max(1, _DECODED // len(self.languages))
+        best, share = np.zeros(len(margins), np.int64), np.zeros(len(margins))
+        for a in range(0, len(margins), step):
+            loss = (margins[a : a + step] * self.reliability) @ other
+            best[a : a + step] = loss.argmin(1)
+            share[a : a + step] = 1 / np.exp(loss.min(1, keepdims=True) - loss).sum(1)
+        return best, share
 
     def predict(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         bias = self.weights[-1]
@@ -116,11 +133,11 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], steps: int = 120,
     """Logistic regressions for all bits at once, by accelerated gradient descent; each language weighs the same."""
     code = codewords(len(languages))
     target = code[y]
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float32)
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float32, copy=False)
     share = (1.0 / np.bincount(y, minlength=len(languages)).clip(1))[y]
     share = (share / share.sum())[:, None].astype(np.float32)
     w = np.zeros((x.shape[1], code.shape[1]), np.float32)
-    ahead, rate = w, 2.0 / (0.25 * float((share[:, 0] * (x * x).sum(1)).sum()) + ridge)
+    ahead, rate = w, 2.0 / (0.25 * float(share[:, 0] @ np.einsum("ij,ij->i", x, x)) + ridge)
     for step in range(steps):
         margin = (x @ ahead) * target
         slope = x.T @ (-target * share / (1 + np.exp(np.clip(margin, -30, 30)))).astype(np.float32) + ridge * ahead
@@ -163,36 +180,41 @@ def fit(
     lang_col: str = "lang",
     order: Column | None = None,
     max_per_language: int = MAX_PER_LANGUAGE,
+    max_texts: int = MAX_TEXTS,
 ) -> Model | None:
     """A model from a bounded sample of the labelled rows; None if no row has both text and label.
 
     The sample are the first max_per_language rows of a language by a hash of id (or order) and text, so
     null and repeated ids are drawn like others, and rows of the same id and text count once. Executors
-    cut it before the driver reads it.
+    cut it before the driver reads it. Every language is learned; with more than max_texts /
+    max_per_language of them each gives fewer rows, one at least.
     """
     order = F.xxhash64(F.col("doc_id") if order is None else order, text_col).bitwiseAND(F.lit((1 << 63) - 1))
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("order"))
     rows = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
-    counts = rows.groupBy("lang").agg(
-        F.count("*").alias("count"), F.approx_count_distinct("order").alias("different"), F.min("order").alias("least")
+    known = (
+        rows.groupBy("lang")
+        .agg(F.approx_count_distinct("order").alias("different"), F.min("order").alias("least"))
+        .collect()  # one row a language
     )
-    known = counts.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
     if not known:
         return None
+    most = max(1, min(max_per_language, max_texts // len(known)))
     # A bound that half as many again are under on average, since the count is an estimate; one row at least.
     bounds = [
-        (x["lang"], max(x["least"], int(min(1.0, (1.5 * max_per_language + 8) / max(1, x["different"])) * ((1 << 63) - 1024))))
+        (x["lang"], max(x["least"], int(min(1.0, (1.5 * most + 8) / max(1, x["different"])) * ((1 << 63) - 1024))))
         for x in known
     ]
     bounds = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))  # one row a language
     drawn = rows.join(bounds, "lang").filter("order <= bound").select("lang", "text", "order")
     drawn = drawn.mapInArrow(_sample_features, "lang string, x binary, order long").dropDuplicates(["lang", "order"])
     place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
-    sample = drawn.withColumn("place", place).filter(F.col("place") <= max_per_language).toPandas()
+    sample = drawn.withColumn("place", place).filter(F.col("place") <= most).toPandas()
     sample = sample.sort_values(["lang", "order"])
     languages = sorted(x["lang"] for x in known)
     x = np.frombuffer(b"".join(sample["x"]), np.float16).reshape(-1, BUCKETS).astype(np.float32)
-    return train(x, np.searchsorted(languages, sample["lang"].to_numpy()).repeat(2), languages)
+    number = {lang: k for k, lang in enumerate(languages)}
+    return train(x, sample["lang"].map(number).to_numpy(np.int64).repeat(2), languages)
 
 
 def identify(

@@ -88,3 +88,42 @@ def test_sample_does_not_depend_on_partitions(spark, monkeypatch):
     for n in (1, 7):
         L.fit(df.repartition(n), max_per_language=20)
     assert trained[0].shape[0] == 40 and np.array_equal(*trained)
+
+
+def test_every_language_is_learned(spark):
+    rng = np.random.default_rng(5)
+    words = {f"l{k:02}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(8)] for k in range(75)}
+    rows = [(k, " ".join(rng.choice(w, 30)), lang) for k, (lang, w) in enumerate(list(words.items()) * 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(df)
+    assert model.languages == sorted(words)
+    new = [(k, " ".join(rng.choice(w, 20)), lang) for k, (lang, w) in enumerate(words.items())]
+    found = L.identify(spark.createDataFrame(new, "doc_id long, text string, lang string"), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == {k: lang for k, _, lang in new}
+    assert sum(r["ambiguous"] for r in found) <= 2
+
+
+def test_more_languages_than_texts_give_one_text_each(spark, monkeypatch):
+    rows = [(k, f"words {k}", f"l{k % 30}") for k in range(300)]
+    trained = []
+    monkeypatch.setattr(L, "train", lambda x, y, languages: trained.append((y, languages)))
+    L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_texts=10)
+    assert np.bincount(trained[0][0]).tolist() == [2] * 30 and len(trained[0][1]) == 30
+
+
+def test_decoding_equals_the_sum_of_losses(monkeypatch):
+    rng = np.random.default_rng(3)
+    code, margins, reliability = L.codewords(7), rng.normal(0, 3, (50, 29)), rng.uniform(0.1, 1, 29)
+    reliability, margins = reliability[: code.shape[1]], margins[:, : code.shape[1]]
+    loss = np.logaddexp(0, -margins[:, None, :] * code[None]) @ reliability
+    near = np.exp(loss.min(1, keepdims=True) - loss)
+    monkeypatch.setattr(L, "_DECODED", 100)
+    best, share = L.Model([str(k) for k in range(7)], code, np.zeros((1, 1)), reliability).decode(margins)
+    assert np.array_equal(best, loss.argmin(1)) and np.allclose(share, 1 / near.sum(1))
+
+
+def test_codewords_of_many_languages_lie_apart():
+    code = L.codewords(1300)
+    product = code @ code.T
+    np.fill_diagonal(product, -code.shape[1])
+    assert (code.shape[1] - product.max()) / 2 >= 10

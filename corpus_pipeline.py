@@ -44,8 +44,8 @@ def without_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near copies the document with the smallest id."""
-    kept = ngram_join.near_classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("row_key")
+    """Of each class of near copies the document with the smallest id, and one where ids are null or repeated."""
+    kept = ngram_join.near_classes(docs).filter("row_key = class_key").select("row_key")
     return _meet(docs, {"row_key": ngram_join.row_key()}, kept).select("row.*")
 
 

@@ -195,13 +195,15 @@ def near_classes(
     similarity: float = SIMILARITY,
     recall: float = RECALL,
 ) -> DataFrame:
-    """One row per input row: id_col, class_id, n_links, copy_id, n_shingles, row_key.
+    """One row per input row: id_col, class_id, n_links, copy_id, n_shingles, row_key, class_key.
 
     n_links is the number of other rows whose shingle sets have at least this Jaccard similarity;
     class_id is the least id among the rows reached over links, copy_id the least among those with
     the same set (null ids come last). Null texts and texts without a word have no shingles: they link
     to nothing and are a class of their own. Rows with equal ids are documents of their own. Texts are
-    taken whole; an empty table gives an empty result; other columns are ignored. row_key is row_key().
+    taken whole; an empty table gives an empty result; other columns are ignored. row_key is row_key();
+    class_key is that of the class's first row, of the least id and then the least key, so that classes
+    are told apart and one row of each is found also where ids are null or repeated.
     """
     scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
@@ -226,11 +228,12 @@ def near_classes(
         .withColumn("root", F.coalesce("root", "node"))
     )
     with_root = scratch.put(with_root)
-    classes = scratch.put(with_root.groupBy("root").agg(F.min(F.struct("first.last", "first.id")).alias("least")))
+    classes = scratch.put(with_root.groupBy("root").agg(F.min("first").alias("least")))
     summary = scratch.put(
         with_root.join(classes.hint("merge"), "root").select(
             "node",
             F.col("least.id").alias("class_id"),
+            F.col("least.key").alias("class_key"),
             F.col("first.id").alias("copy_id"),
             (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"),
         )
@@ -246,6 +249,7 @@ def near_classes(
             F.when(F.col("n") > 0, F.col("copy_id")).otherwise(F.col("id")).alias("copy_id"),
             F.col("n").alias("n_shingles"),
             F.col("key").alias("row_key"),
+            F.when(F.col("n") > 0, F.col("class_key")).otherwise(F.col("key")).alias("class_key"),
         )
     )
 

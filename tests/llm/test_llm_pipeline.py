@@ -9,6 +9,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from linkscore.llm import ngram_join
 from linkscore.llm import queries as Q
 from linkscore.llm.store import Scratch
 
@@ -94,6 +95,21 @@ def test_stages_take_awkward_rows(spark):
         assert counts[:3] == ([4, 2, 2] if given.count() else [0, 0, 0])
 
 
+@pytest.mark.parametrize("ids", [[None] * 6, [4] * 6, [None, 4, 4, 9, None, 4]])
+def test_one_of_near_copies_with_null_or_repeated_ids_stays(spark, ids):
+    first, second = (" ".join(f"{c}{k}" for k in range(100)) for c in "ab")
+    near = [first, first + " x", first + " y", first + " z", second, second + " x"]
+    rows = [(d, t, "en", "s", 9) for d, t in zip(ids, near)] + [(None, "words that stand alone here", "en", "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_copies(spark, docs.repartition(3), SF).collect()
+    assert sorted(r["text"][0] for r in kept) == ["a", "b", "w"]
+    # Of a class the least id stays, null last.
+    least = [min((d for d in group if d is not None), default=None) for group in (ids[:4], ids[4:])]
+    assert [r["doc_id"] for r in sorted(kept, key=lambda r: r["text"])] == [*least, None]
+    found = ngram_join.near_classes(docs).collect()
+    assert len({r["class_key"] for r in found}) == 3
+
+
 @pytest.fixture(scope="module")
 def found(spark):
     return {name: q(spark, SF).toPandas() for name, q in Q.QUERIES.items()}

@@ -53,8 +53,9 @@ SENSITIVE = {
 #: A literal with one of these is a stand-in.
 STAND_INS = ("changeme", "example", "placeholder", "your", "dummy", "xxxx", "****", "${", "{{", "<")
 
-# Texts without any of these hold neither a pattern's match nor a sensitive name; RE2, in one pass.
-_WORTH = "(?i)pass|pwd|secret|token|key|cred|bearer|auth|private|signing|encryption|salt|AKIA|[0-9a-f]{16}"
+# Texts without any of these hold neither a pattern's match nor a sensitive name; RE2, in one pass. Words of
+# a name that are joined may stand apart in it.
+_WORTH = "(?i)" + "|".join("[_-]*".join(x) for x in SENSITIVE) + "|AKIA|[0-9a-f]{16}"
 
 _NAME = r"[A-Za-z_][A-Za-z0-9_]*+(?:[.\-][A-Za-z0-9_]++)*+"
 _PAIR = re.compile(

@@ -72,3 +72,11 @@ def test_table(spark):
     last = next(r for r in out if r["doc_id"] == 99)
     assert last["spans"] == "assign:0:24,literal:12:24" and last["n_literal"] == 1
     assert S.find_secrets(df.limit(0)).collect() == []
+
+
+def test_every_sensitive_name_passes_the_prefilter(spark):
+    names = ["api_access", "apiAccess", "api-access", "pass_word", "to_ken", "toKen", "sec__ret", "title", *S.SENSITIVE]
+    texts = [f'{n} = "q8Zr5T0pLm3X"' for n in names]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r["doc_id"]: r["n_literal"] for r in S.find_secrets(df).collect()}
+    assert found == {k: len(S.literal_spans(t)) for k, t in enumerate(texts)} and sum(found.values()) >= 7

@@ -1,9 +1,10 @@
-"""N-gram Jaccard self-join: a MinHash LSH forest, then exact verification.
+"""N-gram Jaccard self-join: MinHash LSH by paths of one length, then exact verification.
 
 A document is the set of its 5-word shingles. Each tree of the forest labels it with the minimum
 hashes of its set under the tree's functions, a few bits each, packed so that labels sort as paths of
 a prefix trie. Two sets of similarity s share a path of length p with chance s^p, so paths are matched
 at the greatest length whose chance over all trees, at the threshold itself, meets the target recall.
+That length is fixed in advance: no trie is descended, and paths are not shortened by what is found.
 
 Documents with the same set form one node. Nodes that share a matched path in some tree fall into one
 candidate group, found from (node, first node of the path) links alone. Within a group the shingle

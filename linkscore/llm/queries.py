@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import exact_dedup, language, mixing, ngram_join, packing, pseudonyms, repeats, resampling, rules, secrets
+from linkscore.llm import exact_dedup, language, mixing, ngram_join, packing, pseudonyms, repeats, resampling, rules, secrets, spelling
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_mixing": op2_mixing,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_secret_scan": op10_secret_scan,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {

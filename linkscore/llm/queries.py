@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkscore.llm import exact_dedup, language, mixing, ngram_join, packing, pseudonyms, repeats, resampling, rules, secrets, spelling
+from linkscore.llm import (
+    alignment,
+    exact_dedup,
+    fingerprints,
+    language,
+    mixing,
+    ngram_join,
+    packing,
+    pseudonyms,
+    repeats,
+    resampling,
+    rules,
+    secrets,
+    spelling,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +94,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align(_table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variant_groups(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +120,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_secret_scan": op10_secret_scan,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_alignment": op12_alignment,
     "op13_spelling": op13_spelling,
 }
 

@@ -14,7 +14,7 @@ are pieces cut there, which are encoded once a task and remembered.
 
 What is needed of the corpus, how many documents hold an id pair linked, is counted per batch of
 documents, added up by a shuffle of the batches' distinct pairs, and sent back to the batches. The
-batch keeps its documents as lists of pieces, so links are never moved one by one.
+batch keeps its documents as lists of groups, so links are never moved one by one.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -39,14 +40,21 @@ PART_CHARS = 20_000
 CHUNK_BYTES = 1 << 14
 #: Fragments of so many neighbouring ranges are composed at a time.
 FAN = 8
-#: Code points of texts in a batch, and pieces that a task remembers.
+#: Code points of texts in a batch and pieces it knows, beyond which it is handed on; pieces or groups that
+#: a task remembers from batch to batch; documents whose new pieces are encoded together.
 BATCH_CHARS = 8 << 20
-CACHED_PIECES = 150_000
+BATCH_PIECES = 120_000
+CACHED_PIECES = 80_000
+STEP = 64
 CACHED_LENGTH = 64
 #: Groups with more links than this list their distinct ids.
 LISTED_LINKS = 1024
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+# Pieces of letters, digits and signs that A's own split treats as this one does. Apostrophes, other
+# white space than one line feed, and all other characters are left to A.
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ](?:[!-&(-~À-ÖØ-öø-ÿ]|\n(?!\n))*")
+_PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
 _ID_BITS = 16
 
 
@@ -132,18 +140,68 @@ class Encoders:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)
         ]
+        self.char = {b: c for c, b in byte.items()}
+        self.parts: dict[str, list[int]] = {}
+        # Every id as text with what may follow it.
+        self.text_a = [np.array([f"{k}{x}" for k in range(len(names))], object) for x in ",|"]
+        self.text_b = [np.array([f"{k}{x}" for k in range(len(pieces))], object) for x in ",\n"]
         self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
 
-    def encode(self, pieces: Sequence[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
-        """Ids of each piece with a space before it under both, and whether the bytes of both are its own."""
-        a = [x.ids for x in self.a.encode_batch([" " + p for p in pieces], add_special_tokens=False)]
+    def _part(self, part: str) -> list[int]:
+        """Ids under A of one part of its split into words, numbers and signs."""
+        shown = part if part.isascii() and part.isalnum() else "".join(map(self.char.__getitem__, part.encode()))
+        ids = [x.id for x in self.a.model.tokenize(shown)]
+        if len(self.parts) < CACHED_PIECES:
+            self.parts[part] = ids
+        return ids
+
+    def _plain(self, piece: str) -> list[int]:
+        """Ids under A of a space and a piece of plain characters, which are split here as A splits them."""
+        known, ids = self.parts.get, []
+        for part in _PARTS.findall(" " + piece):
+            ids += known(part) or self._part(part)
+        return ids
+
+    def encode(self, pieces: Sequence[str]) -> "Encoded":
+        """Tokens of each piece with a space before it; none for a piece whose bytes they do not give back."""
+        plain = [_PLAIN.fullmatch(p) is not None for p in pieces]
+        rest = iter(self.a.encode_batch([" " + p for p, x in zip(pieces, plain) if not x], add_special_tokens=False))
+        a = [self._plain(p) if x else next(rest).ids for p, x in zip(pieces, plain)]
         b = self.b.encode(list(pieces), num_threads=1)
-        same = np.ones(len(pieces), bool)
-        for k, piece in enumerate(pieces):
-            own = b" " + piece.encode()
-            same[k] = own == b"".join(map(self.bytes_a.__getitem__, a[k])) and own == b"".join(map(self.bytes_b.__getitem__, b[k]))
-        return a, b, same
+        own = [f" {p}".encode() for p in pieces]
+        same = np.array([self._bytes(a, k) == self._bytes(b, k, False) == x for k, x in enumerate(own)], bool) if self._odd(a, b, own) else np.ones(len(own), bool)
+        a, b = ([x if y else [] for x, y in zip(ids, same)] if not same.all() else ids for ids in (a, b))
+        return Encoded(*_flat(a), *_flat(b), same)
+
+    def _bytes(self, ids: list[list[int]], k: int, first: bool = True) -> bytes:
+        return b"".join(map((self.bytes_a if first else self.bytes_b).__getitem__, ids[k]))
+
+    def _odd(self, a: list[list[int]], b: list[list[int]], own: list[bytes]) -> bool:
+        """Whether some piece is not given back, seen from all of them together."""
+        sizes = np.fromiter(map(len, own), np.int64, len(own))
+        for ids, table, length in ((a, self.bytes_a, self.length_a), (b, self.bytes_b, self.length_b)):
+            flat, counts = _flat(ids)
+            ends = np.cumsum(counts)
+            total = np.concatenate(([0], np.cumsum(length[flat])))
+            if (total[ends] - total[ends - counts] != sizes).any() or b"".join(map(table.__getitem__, flat.tolist())) != b"".join(own):
+                return True
+        return False
+
+
+class Encoded(NamedTuple):
+    """Tokens of many pieces one behind the other, how many each has, and whether it is given back."""
+
+    a: np.ndarray
+    count_a: np.ndarray
+    b: np.ndarray
+    count_b: np.ndarray
+    same: np.ndarray
+
+
+def _flat(ids: Sequence[Sequence[int]]) -> tuple[np.ndarray, np.ndarray]:
+    counts = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
 
 def pieces_of(text: str) -> list[str]:
@@ -151,27 +209,14 @@ def pieces_of(text: str) -> list[str]:
     return _CUT.split(text)
 
 
-def links_of(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Group, id pair (a << 16 | b) and number of the links of consecutive groups, those of a group together."""
-    size_a, size_b = np.diff(ends_a, prepend=0).astype(np.int64), np.diff(ends_b, prepend=0).astype(np.int64)
-    size = np.where(size_a * size_b > LISTED_LINKS, 0, size_a * size_b)
-    group = np.repeat(np.arange(len(size)), size)
-    place = np.arange(len(group)) - np.repeat(np.cumsum(size) - size, size)
-    one_a = a[(ends_a - size_a)[group] + place // size_b[group]].astype(np.int64)
-    one_b = b[(ends_b - size_b)[group] + place % size_b[group]].astype(np.int64)
-    pairs, times = one_a << _ID_BITS | one_b, np.ones(len(group), np.int64)
-    large = np.flatnonzero(size_a * size_b > LISTED_LINKS)
-    if len(large):
-        parts = [(group, pairs, times)]
-        for g in large:
-            x, n = np.unique(a[ends_a[g] - size_a[g] : ends_a[g]].astype(np.int64), return_counts=True)
-            y, m = np.unique(b[ends_b[g] - size_b[g] : ends_b[g]].astype(np.int64), return_counts=True)
-            every = (x[:, None] << _ID_BITS | y).ravel()
-            parts.append((np.full(len(every), g), every, (n[:, None] * m).ravel()))
-        group, pairs, times = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(group, kind="stable")
-        group, pairs, times = group[order], pairs[order], times[order]
-    return group, pairs, times
+def links_of(a: Sequence[int], b: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The id pairs (a << 16 | b) linked in a group, and how often."""
+    if len(a) * len(b) <= LISTED_LINKS:
+        pairs = np.array([x << _ID_BITS | y for x in a for y in b], np.int64)
+        return pairs, np.ones(len(pairs), np.int64)
+    x, n = np.unique(np.array(a, np.int64), return_counts=True)
+    y, m = np.unique(np.array(b, np.int64), return_counts=True)
+    return (x[:, None] << _ID_BITS | y).ravel(), (n[:, None] * m).ravel()
 
 
 def shown(a: Sequence[int], b: Sequence[int]) -> str:
@@ -183,57 +228,70 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
 
 
-class Units:
-    """Stretches of text that are whole groups, by a name: their links, counts and groups as text."""
+class Groups:
+    """Groups by their text, with their numbers of tokens and their links."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.text: list[str] = []
-        self.numbers: list[np.ndarray] = [np.empty((0, 5), np.int64)]
-        self.links: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64),) * 2]
-
-    def add(self, names: Sequence[str], a: list[Sequence[int]], b: list[Sequence[int]], encoders: Encoders, same: np.ndarray) -> None:
-        """Units of the given tokens; one whose bytes are not the text's own has no groups."""
-        a = [x if s else () for x, s in zip(a, same)]
-        b = [x if s else () for x, s in zip(b, same)]
-        size_a, size_b = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
-        ids_a = np.fromiter((i for x in a for i in x), np.int32, int(size_a.sum()))
-        ids_b = np.fromiter((i for x in b for i in x), np.int32, int(size_b.sum()))
-        # Bytes of all units one behind the other; each unit ends at a joint end.
-        end_a, end_b = np.cumsum(encoders.length_a[ids_a]), np.cumsum(encoders.length_b[ids_b])
-        at, ends_a, ends_b = _joint(end_a, end_b)
-        last_a = np.cumsum(size_a)
-        unit = np.searchsorted(last_a, ends_a)
-        group, pairs, times = links_of(ids_a, ids_b, ends_a, ends_b)
-        groups = np.bincount(unit, minlength=len(names))
-        of_link = unit[group]
-        links = np.bincount(of_link, weights=times, minlength=len(names)).astype(np.int64)
-        rows = np.bincount(of_link, minlength=len(names))
-        self.numbers.append(np.column_stack((size_a, size_b, groups, links, rows)))
-        self.links.append((pairs, times))
-        i = j = g = 0
-        bound_a, bound_b = ends_a.tolist(), ends_b.tolist()
-        all_a, all_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-        for name, count, ok in zip(names, groups.tolist(), same.tolist()):
-            self.known[name] = len(self.text)
-            made = []
-            for k, m in zip(bound_a[g : g + count], bound_b[g : g + count]):
-                made.append(f"{','.join(all_a[i:k])}|{','.join(all_b[j:m])}")
-                i, j = k, m
-            g += count
-            self.text.append(";".join(made) if ok else "")
-
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(n_a, n_b, n_groups, n_links, rows of links) of each unit, where its links start, and all links."""
-        if len(self.numbers) > 1:
-            self.numbers = [np.concatenate(self.numbers)]
-            self.links = [tuple(np.concatenate(x) for x in zip(*self.links))]
-        numbers, (pairs, times) = self.numbers[0], self.links[0]
-        rows = numbers[:, 4]
-        return numbers, np.cumsum(rows) - rows, pairs, times
+        self.numbers = np.empty((0, 4), np.int64)  # n_a, n_b, links, distinct links
+        self.starts = np.empty(0, np.int64)
+        self.pairs, self.times = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def codes(self, texts: list[str]) -> np.ndarray:
+        """The number of each group, after new ones are taken in."""
+        new = list(set(texts) - self.known.keys())
+        if new:
+            self.known.update(zip(new, range(len(self.text), len(self.text) + len(new))))
+            self.text += new
+            rows, links = [], []
+            for text in new:
+                a, b = ([int(x) for x in side.split(",")] for side in text.split("|"))
+                links.append(links_of(a, b))
+                rows.append((len(a), len(b), len(a) * len(b), len(links[-1][0])))
+            self.numbers = np.concatenate((self.numbers, np.array(rows, np.int64)))
+            self.pairs = np.concatenate((self.pairs, *(x for x, _ in links)))
+            self.times = np.concatenate((self.times, *(x for _, x in links)))
+            self.starts = np.cumsum(self.numbers[:, 3]) - self.numbers[:, 3]
+        return np.fromiter(map(self.known.__getitem__, texts), np.int64, len(texts))
+
+
+def group_texts(found: Encoded, encoders: Encoders) -> tuple[list[str], np.ndarray]:
+    """The groups of all pieces as texts, in order, and how many each piece has."""
+    # Bytes of all pieces one behind the other; each piece ends at a joint end.
+    _, ends_a, ends_b = _joint(np.cumsum(encoders.length_a[found.a]), np.cumsum(encoders.length_b[found.b]))
+    groups = np.bincount(np.searchsorted(np.cumsum(found.count_a), ends_a), minlength=len(found.same))
+    out = np.empty(len(found.a) + len(found.b), object)
+    sides = ((found.a, ends_a, np.concatenate(([0], ends_b[:-1])), encoders.text_a), (found.b, ends_b, ends_a, encoders.text_b))
+    for ids, ends, before, (inner, last) in sides:
+        if len(ids):
+            text = inner[ids]
+            text[ends - 1] = last[ids[ends - 1]]
+            out[np.arange(len(ids)) + np.repeat(before, np.diff(ends, prepend=0))] = text
+    return "".join(out.tolist()).split("\n")[:-1], groups
+
+
+class Pieces:
+    """Pieces of text by name, as lists of groups. A piece that is not given back has the number -1."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+        self.sizes, self.codes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.starts = self.sizes
+
+    def add(self, names: list[str], encoders: Encoders, groups: Groups) -> None:
+        found = encoders.encode(names)
+        texts, sizes = group_texts(found, encoders)
+        first = len(self.sizes)
+        self.known.update(zip(names, np.where(found.same, np.arange(first, first + len(names)), -1).tolist()))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.codes = np.concatenate((self.codes, groups.codes(texts)))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def groups_of(self, pieces: list[str]) -> np.ndarray | None:
+        """The groups of a text of these pieces, None if one is not given back."""
+        at = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return None if not len(at) or at.min() < 0 else self.codes[_spread(self.starts[at], self.sizes[at])]
 
 
 def _squeezed(values: np.ndarray, kind: type) -> bytes:
@@ -251,10 +309,10 @@ _SHAPE = f"batch long, kind byte, seq long, pair long, n long, {_RESULT}, sizes
 
 
 class Batch:
-    """Documents as lists of units, until they are handed on with their distinct pairs."""
+    """Documents as lists of groups, until they are handed on with their distinct pairs."""
 
     def __init__(self, kind: pa.DataType, space: int):
-        self.units, self.kind, self.space, self.made = Units(), kind, space, 0
+        self.groups, self.pieces, self.kind, self.space, self.made = Groups(), Pieces(), kind, space, 0
         self.clear()
 
     def clear(self) -> None:
@@ -262,35 +320,36 @@ class Batch:
         self.ids: list = []
         self.held: list[tuple[np.ndarray, np.ndarray]] = []
         self.chars = 0
+        if len(self.pieces.known) > CACHED_PIECES or len(self.groups.text) > CACHED_PIECES:
+            self.groups, self.pieces = Groups(), Pieces()
 
     def add(self, doc_id, codes: np.ndarray | None, chars: int) -> None:
-        """A document of these units in order; None for one without tokens."""
+        """A document of these groups in order; None for one without tokens."""
         self.ids.append(doc_id)
         self.chars += chars
         if codes is None:
             self.rows.append((0, 0, 0, 0, ""))
             self.held.append((np.empty(0, np.int64),) * 2)
             return
-        numbers = self.units.table()[0][codes].sum(axis=0)
-        text = ";".join(map(self.units.text.__getitem__, codes.tolist()))
-        self.rows.append((*numbers[:4].tolist(), hashlib.sha256(text.encode()).hexdigest()))
+        n_a, n_b, n_links, _ = self.groups.numbers[codes].sum(axis=0).tolist()
+        text = ";".join(map(self.groups.text.__getitem__, codes.tolist()))
+        self.rows.append((n_a, n_b, len(codes), n_links, hashlib.sha256(text.encode()).hexdigest()))
         self.held.append(np.unique(codes, return_counts=True))
 
     def flush(self) -> Iterator[pa.RecordBatch]:
-        """The batch's pairs with their numbers of documents, its units' links, and its documents."""
+        """The batch's pairs with their numbers of documents, its groups' links, and its documents."""
         if not self.rows:
             return
         batch, self.made = self.space << 32 | self.made, self.made + 1
-        numbers, starts, pairs, times = self.units.table()
         sizes = np.array([len(c) for c, _ in self.held], np.int64)
         used, codes = np.unique(np.concatenate([c for c, _ in self.held]), return_inverse=True)
-        rows = numbers[used, 4]
-        place = _spread(starts[used], rows)
-        distinct, local = np.unique(pairs[place], return_inverse=True)
+        rows = self.groups.numbers[used, 3]
+        place = _spread(self.groups.starts[used], rows)
+        distinct, local = np.unique(self.groups.pairs[place], return_inverse=True)
         first = np.cumsum(rows) - rows
         counts = np.zeros(len(distinct), np.int64)
         ends, begin = np.cumsum(sizes), 0
-        weight = np.cumsum(rows[codes]) if len(codes) else np.zeros(0, np.int64)
+        weight = np.cumsum(rows[codes])
         while begin < len(sizes):  # some documents at a time, so that their links fit in memory
             low = int(ends[begin - 1]) if begin else 0
             upto = (int(weight[low - 1]) if low else 0) + 1_000_000
@@ -303,7 +362,7 @@ class Batch:
             begin = end
         yield self._rows(batch, PAIR, pair=distinct, n=counts)
         many = np.concatenate([n for _, n in self.held])
-        blobs = [_squeezed(rows, np.uint32), _squeezed(local, np.uint32), _squeezed(times[place], np.uint32)]
+        blobs = [_squeezed(rows, np.uint32), _squeezed(local, np.uint32), _squeezed(self.groups.times[place], np.uint32)]
         yield self._rows(batch, LINKS, seq=[0], sizes=[[len(rows), len(local)]], blobs=[blobs])
         step = 2000
         for k in range(0, len(sizes), step):
@@ -313,8 +372,6 @@ class Batch:
         columns = dict(zip(("n_a", "n_b", "n_groups", "n_links", "groups_sha256"), zip(*self.rows)))
         yield self._rows(batch, DOCUMENT, seq=np.arange(len(sizes)), id=self.ids, **columns)
         self.clear()
-        if len(self.units.text) > CACHED_PIECES:
-            self.units.clear()
 
     def _rows(self, batch: int, kind: int, **columns) -> pa.RecordBatch:
         size = len(next(iter(columns.values())))
@@ -338,22 +395,16 @@ def _short(path_a: str, path_b: str) -> Map:
         for rows in batches:
             batch = batch or Batch(rows.column(0).type, 2 * TaskContext.get().partitionId())
             ids, texts = rows.column(0).to_pylist(), rows.column(1)
-            for k in range(0, len(rows), 256):
-                cut = [pieces_of(t) if t else [] for t in texts[k : k + 256].to_pylist()]
-                new = list({p for pieces in cut for p in pieces} - batch.units.known.keys())
-                long = {p for p in new if len(p) > CACHED_LENGTH}
-                a, b, same = encoders.encode(new)
-                batch.units.add(new, a, b, encoders, same)
-                wrong = {p for p, s in zip(new, same) if not s}
-                batch.wrong = (getattr(batch, "wrong", set()) | wrong) & batch.units.known.keys()
-                for doc_id, pieces in zip(ids[k : k + 256], cut):
-                    codes = None
-                    if pieces and batch.wrong.isdisjoint(pieces):
-                        codes = np.fromiter(map(batch.units.known.__getitem__, pieces), np.int64, len(pieces))
-                    batch.add(doc_id, codes, sum(map(len, pieces)) + len(pieces))
-                for p in long:  # not remembered by name
-                    batch.units.known.pop(p)
-                if batch.chars > BATCH_CHARS:
+            for k in range(0, len(rows), STEP):
+                cut = [pieces_of(t) if t else [] for t in texts[k : k + STEP].to_pylist()]
+                new = list(set(chain.from_iterable(cut)) - batch.pieces.known.keys())
+                batch.pieces.add(new, encoders, batch.groups)
+                for doc_id, pieces in zip(ids[k : k + STEP], cut):
+                    batch.add(doc_id, batch.pieces.groups_of(pieces), sum(map(len, pieces)) + len(pieces))
+                for piece in new:  # long ones are not kept by name
+                    if len(piece) > CACHED_LENGTH:
+                        del batch.pieces.known[piece]
+                if batch.chars > BATCH_CHARS or len(batch.pieces.known) > BATCH_PIECES:
                     yield from batch.flush()
         if batch:
             yield from batch.flush()
@@ -409,14 +460,13 @@ def _fragments(path_a: str, path_b: str, chunk_bytes: int) -> Map:
         for rows in batches:
             for k in range(len(rows)):
                 row, start, text = (rows.column(c)[k].as_py() for c in ("row", "start", "text"))
-                a, b, same = encoders.encode(pieces_of(text))
-                found = []
-                if same.all():
-                    ids_a, ids_b = (np.array([i for x in ids for i in x], np.int32) for ids in (a, b))
-                    end_a, end_b = start + np.cumsum(encoders.length_a[ids_a]), start + np.cumsum(encoders.length_b[ids_b])
+                tokens, found = encoders.encode(pieces_of(text)), []
+                if tokens.same.all():
+                    end_a = start + np.cumsum(encoders.length_a[tokens.a])
+                    end_b = start + np.cumsum(encoders.length_b[tokens.b])
                     for chunk in range(start // chunk_bytes, (int(end_a[-1]) - 1) // chunk_bytes + 1):
                         low, high = max(start, chunk * chunk_bytes), (chunk + 1) * chunk_bytes
-                        found.append((row, low, chunk, True, fragment(ids_a, end_a, ids_b, end_b, low, high)))
+                        found.append((row, low, chunk, True, fragment(tokens.a, end_a, tokens.b, end_b, low, high)))
                 else:
                     found.append((row, start, start // chunk_bytes, False, EMPTY))
                 yield _fragment_rows(found, rows.column("id").take(pa.array([k] * len(found), pa.int64())))
@@ -450,31 +500,22 @@ def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield joined()
 
 
-def _long(path_a: str, path_b: str) -> Map:
-    """Whole documents' fragments to batches; their units are groups."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders, batch = Encoders(path_a, path_b), None
-        for rows in batches:
-            batch = batch or Batch(rows.column("id").type, 2 * TaskContext.get().partitionId() + 1)
-            for k in range(len(rows)):
-                whole, doc_id = _read(rows, k), rows.column("id")[k].as_py()
-                if not rows.column("same")[k].as_py():
-                    batch.add(doc_id, None, 0)
-                    continue
-                groups = [(a.tolist(), b.tolist()) for a, b in whole.groups()]
-                names = [shown(*g) for g in groups]
-                new = {n: g for n, g in zip(names, groups) if n not in batch.units.known}
-                if new:
-                    batch.units.add(list(new), [a for a, _ in new.values()], [b for _, b in new.values()], encoders, np.ones(len(new), bool))
-                codes = np.fromiter(map(batch.units.known.__getitem__, names), np.int64, len(names))
-                batch.add(doc_id, codes, len(whole.a) * 4)
-                if batch.chars > BATCH_CHARS:
-                    yield from batch.flush()
-        if batch:
-            yield from batch.flush()
-
-    return run
+def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whole documents' fragments to batches."""
+    batch = None
+    for rows in batches:
+        batch = batch or Batch(rows.column("id").type, 2 * TaskContext.get().partitionId() + 1)
+        for k in range(len(rows)):
+            whole, doc_id = _read(rows, k), rows.column("id")[k].as_py()
+            if not rows.column("same")[k].as_py():
+                batch.add(doc_id, None, 0)
+                continue
+            codes = batch.groups.codes([shown(a.tolist(), b.tolist()) for a, b in whole.groups()])
+            batch.add(doc_id, codes, len(whole.a) * 4)
+            if batch.chars > BATCH_CHARS or len(batch.groups.text) > BATCH_PIECES:
+                yield from batch.flush()
+    if batch:
+        yield from batch.flush()
 
 
 def _long_documents(
@@ -493,7 +534,7 @@ def _long_documents(
         found = scratch.put(nodes.mapInArrow(_composed, f"{_FRAGMENT}, id {kind}"))
     # A short text that lies within one range still has a fragment for each of its parts.
     whole = found.repartition("row").sortWithinPartitions("row", "start").mapInArrow(_composed, f"{_FRAGMENT}, id {kind}")
-    return whole.mapInArrow(_long(path_a, path_b), f"id {kind}, {_SHAPE}")
+    return whole.mapInArrow(_long, f"id {kind}, {_SHAPE}")
 
 
 def _finished(kind: str) -> Map:
@@ -517,14 +558,14 @@ def _finished(kind: str) -> Map:
                     for seq, sizes, blobs in zip(*(part.column(c).to_pylist() for c in ("seq", "sizes", "blobs"))):
                         first = _opened(blobs[0], np.uint32, sizes[0]).astype(np.int64)
                         second, third = (_opened(x, np.uint32, sizes[1]).astype(np.int64) for x in blobs[1:])
-                        if seq == 0:  # links of the units
+                        if seq == 0:  # links of the groups
                             pair, count, top = (np.concatenate(c) for c in zip(*held)) if held else (np.empty(0, np.int64),) * 3
                             order = np.argsort(pair)
                             count, top = count[order], top[order]
-                            unit = np.repeat(np.arange(len(first)), first)
-                            total = np.bincount(unit, weights=third * count[second], minlength=len(first)).astype(np.int64)
-                            best = np.bincount(unit, weights=third * top[second], minlength=len(first)).astype(np.int64)
-                        else:  # units of documents
+                            group = np.repeat(np.arange(len(first)), first)
+                            total = np.bincount(group, weights=third * count[second], minlength=len(first)).astype(np.int64)
+                            best = np.bincount(group, weights=third * top[second], minlength=len(first)).astype(np.int64)
+                        else:  # groups of documents
                             doc = np.repeat(np.arange(len(first)), first)
                             sums = (np.bincount(doc, weights=third * x[second], minlength=len(first)).astype(np.int64) for x in (best, total))
                             table.append(tuple(sums))

@@ -100,30 +100,28 @@ def test_awkward_texts_repeats_and_clashing_columns(spark, encoders):
     assert result(A.align(frame, *PATHS, long_chars=0, part_chars=2, chunk_bytes=5)) == want
 
 
-def test_large_groups_list_their_distinct_ids(encoders, monkeypatch):
-    a, b = np.array([5, 6, 5, 9, 9], np.int32), np.array([1, 1, 2, 7], np.int32)
-    ends_a, ends_b = np.array([3, 5]), np.array([3, 4])
-
-    def total():
+def test_large_groups_list_their_distinct_ids(monkeypatch):
+    a, b = [5, 6, 5, 9], [1, 1, 2]
+    want = Counter((x, y) for x in a for y in b)
+    for most in (100, 3):
+        monkeypatch.setattr(A, "LISTED_LINKS", most)
         seen = Counter()
-        for g, pair, n in zip(*A.links_of(a, b, ends_a, ends_b)):
-            seen[int(g), int(pair) >> 16, int(pair) & 0xFFFF] += int(n)
-        return seen
-
-    listed = total()
-    monkeypatch.setattr(A, "LISTED_LINKS", 3)
-    assert total() == listed and listed[0, 5, 1] == 4 and listed[1, 9, 7] == 2
+        for pair, n in zip(*A.links_of(a, b)):
+            seen[int(pair) >> 16, int(pair) & 0xFFFF] += int(n)
+        assert seen == want
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=500, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab é日 \n\t▁'1.🙂 ́"), max_size=40))
 def test_pieces_give_the_tokens_of_the_whole_text(encoders, text):
     groups = whole(encoders, text)
-    a, b, same = encoders.encode(A.pieces_of(text)) if text else ([], [], np.zeros(1, bool))
-    assert same.all() == (groups is not None)
+    found = encoders.encode(A.pieces_of(text) if text else [])
+    assert (bool(text) and found.same.all()) == (groups is not None)
     if groups is not None:
-        assert [i for x in a for i in x] == [i for g, _ in groups for i in g]
-        assert [i for x in b for i in x] == [i for _, g in groups for i in g]
+        assert found.a.tolist() == [i for g, _ in groups for i in g]
+        assert found.b.tolist() == [i for _, g in groups for i in g]
+        texts, counts = A.group_texts(found, encoders)
+        assert texts == [A.shown(*g) for g in groups] and counts.sum() == len(groups)
 
 
 @settings(max_examples=150, deadline=None)

@@ -20,9 +20,10 @@ batch keeps its documents as lists of groups, so links are never moved one by on
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import chain
 from typing import NamedTuple
 
@@ -43,8 +44,8 @@ FAN = 8
 #: Code points of texts in a batch and pieces it knows, beyond which it is handed on; pieces or groups that
 #: a task remembers from batch to batch; documents whose new pieces are encoded together.
 BATCH_CHARS = 8 << 20
-BATCH_PIECES = 120_000
-CACHED_PIECES = 80_000
+BATCH_PIECES = 200_000
+CACHED_PIECES = 150_000
 STEP = 64
 CACHED_LENGTH = 64
 #: Groups with more links than this list their distinct ids.
@@ -53,8 +54,8 @@ LISTED_LINKS = 1024
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # Pieces of letters, digits and signs that A's own split treats as this one does. Apostrophes, other
 # white space than one line feed, and all other characters are left to A.
-_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ](?:[!-&(-~À-ÖØ-öø-ÿ]|\n(?!\n))*")
-_PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
+_PLAIN = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+(?:\n[!-&(-~À-ÖØ-öø-ÿ]+)*")
+_PARTS = r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n"
 _ID_BITS = 16
 
 
@@ -120,6 +121,9 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+_BYTES = _byte_level()
+
+
 class Encoders:
     """Both tokenizers, with the bytes of every id."""
 
@@ -130,63 +134,86 @@ class Encoders:
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_file=path_b)
-        byte = _byte_level()
         names = [self.a.id_to_token(k) or "" for k in range(self.a.get_vocab_size())]
         # An entry with a character outside the byte level is a special token, which texts never give.
-        self.bytes_a = [bytes(map(byte.__getitem__, x)) if all(map(byte.__contains__, x)) else x.encode() for x in names]
+        self.bytes_a = [bytes(map(_BYTES.__getitem__, x)) if all(map(_BYTES.__contains__, x)) else x.encode() for x in names]
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece of the second tokenizer has a space behind another character")
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)
         ]
-        self.char = {b: c for c, b in byte.items()}
-        self.parts: dict[str, list[int]] = {}
+        self.plain = self._merges_by_id(path_a)
         # Every id as text with what may follow it.
         self.text_a = [np.array([f"{k}{x}" for k in range(len(names))], object) for x in ",|"]
         self.text_b = [np.array([f"{k}{x}" for k in range(len(pieces))], object) for x in ",\n"]
         self.length_a = np.array([len(x) for x in self.bytes_a], np.int64)
         self.length_b = np.array([len(x) for x in self.bytes_b], np.int64)
 
-    def _part(self, part: str) -> list[int]:
-        """Ids under A of one part of its split into words, numbers and signs."""
-        shown = part if part.isascii() and part.isalnum() else "".join(map(self.char.__getitem__, part.encode()))
-        ids = [x.id for x in self.a.model.tokenize(shown)]
-        if len(self.parts) < CACHED_PIECES:
-            self.parts[part] = ids
-        return ids
-
-    def _plain(self, piece: str) -> list[int]:
-        """Ids under A of a space and a piece of plain characters, which are split here as A splits them."""
-        known, ids = self.parts.get, []
-        for part in _PARTS.findall(" " + piece):
-            ids += known(part) or self._part(part)
-        return ids
-
-    def encode(self, pieces: Sequence[str]) -> "Encoded":
-        """Tokens of each piece with a space before it; none for a piece whose bytes they do not give back."""
-        plain = [_PLAIN.fullmatch(p) is not None for p in pieces]
-        rest = iter(self.a.encode_batch([" " + p for p, x in zip(pieces, plain) if not x], add_special_tokens=False))
-        a = [self._plain(p) if x else next(rest).ids for p, x in zip(pieces, plain)]
-        b = self.b.encode(list(pieces), num_threads=1)
+    def _merges_by_id(self, path_a: str):
+        """A's merges as an encoder of plain pieces, if A merges in the order of the ids (else none)."""
+        from tiktoken import Encoding
+
+        with open(path_a, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        order = [model["vocab"][x] for x in merged]
+        if any(x >= y for x, y in zip(order, order[1:])) or len(order) + 256 > len(model["vocab"]):
+            return None
+        ids = [k for x, k in model["vocab"].items() if len(x) == 1 and x in _BYTES] + order
+        ranks = {self.bytes_a[k]: k for k in ids}
+        return Encoding("plain", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, pieces: Sequence[str], plain: int) -> "Encoded":
+        """Tokens of each piece with a space before it; none for a piece whose bytes they do not give back.
+
+        The first ``plain`` pieces are plain ones.
+        """
+        b, count_b = _flat(self.b.encode(list(pieces), num_threads=1))
+        rest = [" " + p for p in pieces[plain:]]
+        a, count_a = _flat([x.ids for x in self.a.encode_batch(rest, add_special_tokens=False)])
         own = [f" {p}".encode() for p in pieces]
-        same = np.array([self._bytes(a, k) == self._bytes(b, k, False) == x for k, x in enumerate(own)], bool) if self._odd(a, b, own) else np.ones(len(own), bool)
-        a, b = ([x if y else [] for x, y in zip(ids, same)] if not same.all() else ids for ids in (a, b))
-        return Encoded(*_flat(a), *_flat(b), same)
-
-    def _bytes(self, ids: list[list[int]], k: int, first: bool = True) -> bytes:
-        return b"".join(map((self.bytes_a if first else self.bytes_b).__getitem__, ids[k]))
-
-    def _odd(self, a: list[list[int]], b: list[list[int]], own: list[bytes]) -> bool:
-        """Whether some piece is not given back, seen from all of them together."""
-        sizes = np.fromiter(map(len, own), np.int64, len(own))
-        for ids, table, length in ((a, self.bytes_a, self.length_a), (b, self.bytes_b, self.length_b)):
-            flat, counts = _flat(ids)
+        if plain:
+            sizes = np.fromiter(map(len, own[:plain]), np.int64, plain)
+            ids = np.array(self.plain.encode_ordinary(" " + " ".join(pieces[:plain])), np.int32)
+            upto = np.searchsorted(np.cumsum(self.length_a[ids]), np.cumsum(sizes)) + 1
+            a, count_a = np.concatenate((ids, a)), np.concatenate((np.diff(upto, prepend=0), count_a))
+        same = np.ones(len(pieces), bool)
+        for ids, counts, table, length in ((a, count_a, self.bytes_a, self.length_a), (b, count_b, self.bytes_b, self.length_b)):
+            if b"".join(map(table.__getitem__, ids.tolist())) == b"".join(own) and not _uneven(length[ids], counts, own):
+                continue
             ends = np.cumsum(counts)
-            total = np.concatenate(([0], np.cumsum(length[flat])))
-            if (total[ends] - total[ends - counts] != sizes).any() or b"".join(map(table.__getitem__, flat.tolist())) != b"".join(own):
-                return True
-        return False
+            for k, (end, count) in enumerate(zip(ends.tolist(), counts.tolist())):
+                same[k] &= b"".join(map(table.__getitem__, ids[end - count : end].tolist())) == own[k]
+        if not same.all():
+            a, b = a[np.repeat(same, count_a)], b[np.repeat(same, count_b)]
+            count_a, count_b = count_a * same, count_b * same
+        return Encoded(a, count_a, b, count_b, same)
+
+    def plain_first(self, pieces: list[str]) -> tuple[list[str], int]:
+        """The pieces, plain ones first, and how many these are. Plain ones may be encoded in one go."""
+        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if self.plain else []
+        rest = set(pieces).difference(plain)
+        return plain + [p for p in pieces if p in rest], len(plain)
+
+
+def _uneven(lengths: np.ndarray, counts: np.ndarray, own: list[bytes]) -> bool:
+    """Whether a piece's tokens are not as long as the piece."""
+    total, ends = np.concatenate(([0], np.cumsum(lengths))), np.cumsum(counts)
+    return (total[ends] - total[ends - counts] != np.fromiter(map(len, own), np.int64, len(own))).any()
+
+
+def encoded_text(encoders: Encoders, text: str) -> "Encoded":
+    """Tokens of the pieces of a text, in its order."""
+    pieces = pieces_of(text) if text else []
+    names, plain = encoders.plain_first(list(dict.fromkeys(pieces)))
+    found, at = encoders.encode(names, plain), {p: k for k, p in enumerate(names)}
+    back = np.fromiter(map(at.__getitem__, pieces), np.int64, len(pieces))
+    sides = []
+    for ids, counts in ((found.a, found.count_a), (found.b, found.count_b)):
+        starts = np.cumsum(counts) - counts
+        sides += [ids[_spread(starts[back], counts[back])], counts[back]]
+    return Encoded(*sides, found.same[back])
 
 
 class Encoded(NamedTuple):
@@ -280,7 +307,9 @@ class Pieces:
         self.starts = self.sizes
 
     def add(self, names: list[str], encoders: Encoders, groups: Groups) -> None:
-        found = encoders.encode(names)
+        """Takes in new pieces."""
+        names, plain = encoders.plain_first(names)
+        found = encoders.encode(names, plain)
         texts, sizes = group_texts(found, encoders)
         first = len(self.sizes)
         self.known.update(zip(names, np.where(found.same, np.arange(first, first + len(names)), -1).tolist()))
@@ -342,7 +371,9 @@ class Batch:
             return
         batch, self.made = self.space << 32 | self.made, self.made + 1
         sizes = np.array([len(c) for c, _ in self.held], np.int64)
-        used, codes = np.unique(np.concatenate([c for c, _ in self.held]), return_inverse=True)
+        codes = np.concatenate([c for c, _ in self.held])
+        used = np.flatnonzero(np.bincount(codes))
+        codes = np.searchsorted(used, codes)
         rows = self.groups.numbers[used, 3]
         place = _spread(self.groups.starts[used], rows)
         distinct, local = np.unique(self.groups.pairs[place], return_inverse=True)
@@ -357,7 +388,8 @@ class Batch:
             mine = codes[low : int(ends[end - 1])]
             of_doc = np.repeat(np.arange(end - begin), sizes[begin:end])
             links = local[_spread(first[mine], rows[mine])]
-            once = np.unique(np.repeat(of_doc, rows[mine]) * max(len(distinct), 1) + links)
+            once = np.sort(np.repeat(of_doc, rows[mine]) * max(len(distinct), 1) + links)
+            once = once[np.diff(once, prepend=-1) > 0]
             counts += np.bincount(once % max(len(distinct), 1), minlength=len(distinct))
             begin = end
         yield self._rows(batch, PAIR, pair=distinct, n=counts)
@@ -384,6 +416,12 @@ class Batch:
         return pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [None] * size), f.type) for f in schema], schema=schema)
 
 
+@lru_cache(maxsize=2)
+def encoders_of(path_a: str, path_b: str) -> Encoders:
+    """Both tokenizers, read once in a Python worker."""
+    return Encoders(path_a, path_b)
+
+
 Map = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -391,19 +429,19 @@ def _short(path_a: str, path_b: str) -> Map:
     """Documents (id, text) to batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders, batch = Encoders(path_a, path_b), None
+        encoders, batch = encoders_of(path_a, path_b), None
         for rows in batches:
             batch = batch or Batch(rows.column(0).type, 2 * TaskContext.get().partitionId())
             ids, texts = rows.column(0).to_pylist(), rows.column(1)
             for k in range(0, len(rows), STEP):
-                cut = [pieces_of(t) if t else [] for t in texts[k : k + STEP].to_pylist()]
+                step = texts[k : k + STEP].to_pylist()
+                cut = [pieces_of(t) if t else [] for t in step]
                 new = list(set(chain.from_iterable(cut)) - batch.pieces.known.keys())
                 batch.pieces.add(new, encoders, batch.groups)
-                for doc_id, pieces in zip(ids[k : k + STEP], cut):
-                    batch.add(doc_id, batch.pieces.groups_of(pieces), sum(map(len, pieces)) + len(pieces))
-                for piece in new:  # long ones are not kept by name
-                    if len(piece) > CACHED_LENGTH:
-                        del batch.pieces.known[piece]
+                for doc_id, text, pieces in zip(ids[k : k + STEP], step, cut):
+                    batch.add(doc_id, batch.pieces.groups_of(pieces), len(text or ""))
+                for piece in [p for p in new if len(p) > CACHED_LENGTH]:  # not kept by name
+                    del batch.pieces.known[piece]
                 if batch.chars > BATCH_CHARS or len(batch.pieces.known) > BATCH_PIECES:
                     yield from batch.flush()
         if batch:
@@ -456,11 +494,11 @@ def _fragments(path_a: str, path_b: str, chunk_bytes: int) -> Map:
     """Parts to the fragments of their ranges of bytes; node is the range's number in the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = Encoders(path_a, path_b)
+        encoders = encoders_of(path_a, path_b)
         for rows in batches:
             for k in range(len(rows)):
                 row, start, text = (rows.column(c)[k].as_py() for c in ("row", "start", "text"))
-                tokens, found = encoders.encode(pieces_of(text)), []
+                tokens, found = encoded_text(encoders, text), []
                 if tokens.same.all():
                     end_a = start + np.cumsum(encoders.length_a[tokens.a])
                     end_b = start + np.cumsum(encoders.length_b[tokens.b])
@@ -553,7 +591,8 @@ def _finished(kind: str) -> Map:
                 if numbers[low] != batch:
                     batch, held, table, queue = numbers[low], [], [], []
                 if kinds[low] == PAIR:
-                    held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "n", "seq")])
+                    found = part.column("found").flatten()
+                    held.append([found.field(k).to_numpy() for k in range(3)])
                 elif kinds[low] == LINKS:
                     for seq, sizes, blobs in zip(*(part.column(c).to_pylist() for c in ("seq", "sizes", "blobs"))):
                         first = _opened(blobs[0], np.uint32, sizes[0]).astype(np.int64)
@@ -622,10 +661,11 @@ def align(
     short = rows.where(~long).mapInArrow(_short(path_a, path_b), f"id {kind}, {_SHAPE}")
     batches = scratch.put(short.unionByName(_long_documents(scratch, rows.where(long), path_a, path_b, part_chars, chunk_bytes)))
     counts = scratch.put(pair_counts(batches))
-    # Rows of pairs go back to their batches with count and top in the columns n and seq.
+    # A batch's distinct pairs, which its size bounds, go back to it together.
     wanted = batches.where(F.col("kind") == PAIR).select("batch", "pair")
-    back = wanted.join(counts, "pair").select("batch", F.lit(PAIR).cast("byte").alias("kind"), F.col("top").alias("seq"), "pair", F.col("count").alias("n"))
-    rest = batches.where(F.col("kind") != PAIR)
+    found = F.collect_list(F.struct("pair", "count", "top")).alias("found")
+    back = wanted.join(counts, "pair").groupBy("batch").agg(found).withColumn("kind", F.lit(PAIR).cast("byte"))
+    rest = batches.where(F.col("kind") != PAIR).drop("pair", "n")
     dealt = rest.unionByName(back, allowMissingColumns=True).repartition("batch").sortWithinPartitions("batch", "kind", "seq")
     numbers = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return dealt.mapInArrow(_finished(kind), f"id {kind}, {numbers}").withColumnRenamed("id", id_col)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from linkscore import params as P
 from linkscore.functions.columns import clamp, weighted_mean
-from linkscore.operators.percentiles import ACCURACY, percentiles, same_group
+from linkscore.operators.percentiles import ACCURACY, percentiles, percentiles_of_sketches, same_group
 
 CUTS = {"low": 0.01, "mid": 0.5, "high": 0.99}
 
@@ -56,12 +56,14 @@ def scale(
     history: DataFrame | None = None,
     sketch: bool = False,
     accuracy: int = ACCURACY,
+    history_sketches: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``scaled_<feature>`` for every spec.
 
     Percentiles come from ``history`` when given, else from ``df`` itself; the median of a shift
     always from ``df``. They are exact, or with ``sketch`` good to one part in ``accuracy`` of a
-    group's rows. Specs with the same grouping share their passes over ``df``, so pass it stored. The
+    group's rows. With ``history_sketches``, the history's daily sketches of all percentile features by the
+    grouping columns, those replace the first pass over the history. Specs with the same grouping share their passes over ``df``, so pass it stored. The
     table of percentiles is joined as its size makes best; no group is ever brought into one task, as
     a window per feature would do.
     """
@@ -72,7 +74,10 @@ def scale(
             groups.setdefault((past, tuple(spec.by)), []).append(spec.feature)
     result = df
     for (past, by), features in groups.items():
-        cuts = percentile_by_group(history if past else df, features, by, sketch, accuracy)
+        if past and history_sketches is not None:
+            cuts = percentiles_of_sketches(history_sketches, history, features, by, CUTS)
+        else:
+            cuts = percentile_by_group(history if past else df, features, by, sketch, accuracy)
         cuts = cuts.withColumnsRenamed({c: f"_by_{c}" for c in by})
         result = result.join(cuts, same_group(result, cuts, by, "_by_"), "left").drop(*[f"_by_{c}" for c in by])
     for spec in specs:

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,7 @@ from linkscore.operators import throughput as T
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
 from linkscore.sources import sinks as W
+from linkscore.sources.manifests import Publication, Slot
 
 BY_UPTIME = ("service_uptime", "ts", "event_id")
 
@@ -58,6 +61,10 @@ class Locations:
     def day(self, kind: str, date: dt.date) -> str:
         return f"{self.output}/{kind}/{date.isoformat()}"
 
+    def slot(self, job: str, date: dt.date, kinds: Sequence[str], required: Sequence[str] = ()) -> Slot:
+        """The tables of a job's run over a date."""
+        return Slot(self.output, job, date.isoformat(), {k: self.day(k, date) for k in kinds}, tuple(required))
+
 
 def _lines(spark: SparkSession, at: Locations, as_of: dt.date) -> DataFrame:
     customers = R.newest_folder(lambda p: R.read_csv_tree(spark, p), at.customers, as_of)
@@ -86,53 +93,67 @@ def _tests(spark: SparkSession, at: Locations, date: dt.date) -> DataFrame:
     return R.optional_input(spark, lambda: at.named("speedtests", spark.read.parquet(path)), schema)
 
 
-def _typed(spark: SparkSession, at: Locations, date: dt.date, hour: int | None, path: str) -> tuple[DataFrame, DataFrame]:
-    """Typed heartbeats, stored under ``path`` and read back, and the raw rows they come from."""
+def _typed(
+    spark: SparkSession, at: Locations, date: dt.date, hour: int | None, run: Publication, kind: str
+) -> tuple[DataFrame, DataFrame]:
+    """Typed heartbeats, staged as a table of the run and read back, and the raw rows they come from."""
     raw = at.named("heartbeats", R.read_day(spark, at.heartbeats, date, hour))
-    return W.write_and_read(H.with_event_id(H.ingest_heartbeats(raw)), path), raw
+    return run.write(H.with_event_id(H.ingest_heartbeats(raw)), kind), raw
 
 
 def run_day(spark: SparkSession, at: Locations, date: dt.date) -> None:
-    """All scores of one date, the scores of the listed models, and the scores with location."""
-    heartbeats, _ = _typed(spark, at, date, None, at.day("heartbeats", date))
-    lines = W.write_and_read(_lines(spark, at, date), at.day("lines", date))
-    capacity = W.write_and_read(K.link_capacity(heartbeats, lines), at.day("capacity", date))
-    available = W.write_and_read(A.availability(heartbeats, order=BY_UPTIME), at.day("availability", date))
-    tests = T.speedtest_avg(_tests(spark, at, date))
-    scores = O.overall_score(T.throughput(lines, _speeds(spark, at, date), tests), capacity, available)
-    stored = W.write_and_read(scores, at.day("all_score", date))
-    W.write_subset(stored, at.day("model_score", date), "model", P.SUBSET_MODELS)
-    if at.places is not None and at.device_groups is not None:
-        next_day = date + dt.timedelta(days=1)
-        groups = at.named("device_groups", R.read_day(spark, at.device_groups, next_day))
-        firmware = groups.select(H.serial_number(F.col("rowkey")).alias("sn"), "firmware")
-        places = at.named("places", R.read_parquet_tree(spark, at.places))
-        placed = O.enrich_location(stored.drop("imsi"), places.select("sn", "state", "county", "latitude", "longitude"), firmware)
-        W.write_folder(placed.withColumn("date", F.lit(date)), at.day("score_location", date))
+    """All scores of one date, the scores of the listed models, and the scores with location.
 
-
-def day_outputs(at: Locations, date: dt.date) -> list[str]:
-    """Every table that :func:`run_day` leaves for its users."""
-    kinds = ["all_score", "model_score"]
+    The date's tables are published together once the last one is written.
+    """
+    with Publication(spark, day_outputs(at, date)) as run:
+        heartbeats, _ = _typed(spark, at, date, None, run, "heartbeats")
+        lines = run.write(_lines(spark, at, date), "lines")
+        capacity = run.write(K.link_capacity(heartbeats, lines), "capacity")
+        available = run.write(A.availability(heartbeats, order=BY_UPTIME), "availability")
+        tests = T.speedtest_avg(_tests(spark, at, date))
+        scores = O.overall_score(T.throughput(lines, _speeds(spark, at, date), tests), capacity, available)
+        stored = run.write(scores, "all_score")
+        run.write(stored, "model_score", lambda df, path: W.write_subset(df, path, "model", P.SUBSET_MODELS))
+        if "score_location" in run.slot.places:
+            next_day = date + dt.timedelta(days=1)
+            groups = at.named("device_groups", R.read_day(spark, at.device_groups, next_day))
+            firmware = groups.select(H.serial_number(F.col("rowkey")).alias("sn"), "firmware")
+            places = at.named("places", R.read_parquet_tree(spark, at.places))
+            known = places.select("sn", "state", "county", "latitude", "longitude")
+            placed = O.enrich_location(stored.drop("imsi"), known, firmware)
+            run.write(placed.withColumn("date", F.lit(date)), "score_location")
+
+
+def day_outputs(at: Locations, date: dt.date) -> Slot:
+    """The tables of :func:`run_day`; those for its users must be there for the date to be complete."""
+    users = ["all_score", "model_score"]
     if at.places is not None and at.device_groups is not None:
-        kinds.append("score_location")
-    return [at.day(kind, date) for kind in kinds]
+        users.append("score_location")
+    return at.slot("day", date, ["heartbeats", "lines", "capacity", "availability", *users], users)
 
 
 def run_hour(spark: SparkSession, at: Locations, date: dt.date, hour: int, crash_join: str = "left") -> None:
     """Scores of one hour: passive throughput only, and modem crashes count as downtime."""
-    slot = f"{date.isoformat()}/{hour:02d}"
-    heartbeats, raw = _typed(spark, at, date, hour, f"{at.output}/hourly_heartbeats/{slot}")
-    lines = W.write_and_read(_lines(spark, at, date - dt.timedelta(days=1)), f"{at.output}/hourly_lines/{slot}")
-    crashes = A.modem_crashes(H.modem_events(raw))
-    available = A.availability(heartbeats, crashes=crashes, crash_join=crash_join, order=BY_UPTIME)
-    scores = O.overall_score(
-        T.throughput(lines, _speeds(spark, at, date), None),
-        W.write_and_read(K.link_capacity(heartbeats, lines), f"{at.output}/hourly_capacity/{slot}"),
-        W.write_and_read(available, f"{at.output}/hourly_availability/{slot}"),
-    )
-    stamped = scores.withColumns({"date": F.lit(date), "hr": F.lit(f"{hour:02d}")})
-    W.write_hours(stamped, f"{at.output}/hourly_score")
+    with Publication(spark, hour_outputs(at, date, hour)) as run:
+        heartbeats, raw = _typed(spark, at, date, hour, run, "hourly_heartbeats")
+        lines = run.write(_lines(spark, at, date - dt.timedelta(days=1)), "hourly_lines")
+        crashes = A.modem_crashes(H.modem_events(raw))
+        available = A.availability(heartbeats, crashes=crashes, crash_join=crash_join, order=BY_UPTIME)
+        scores = O.overall_score(
+            T.throughput(lines, _speeds(spark, at, date), None),
+            run.write(K.link_capacity(heartbeats, lines), "hourly_capacity"),
+            run.write(available, "hourly_availability"),
+        )
+        run.write(scores, "hourly_score")
+
+
+def hour_outputs(at: Locations, date: dt.date, hour: int) -> Slot:
+    """The tables of :func:`run_hour`; the scores are a partition of one table of all hours."""
+    name = f"{date.isoformat()}/{hour:02d}"
+    places = {f"hourly_{k}": f"{at.output}/hourly_{k}/{name}" for k in ("heartbeats", "lines", "capacity", "availability")}
+    places["hourly_score"] = f"{at.output}/hourly_score/date={date.isoformat()}/hr={hour:02d}"
+    return Slot(at.output, "hour", name, places, ("hourly_score",))
 
 
 def run_first_score(spark: SparkSession, at: Locations, date: dt.date) -> None:
@@ -243,23 +264,41 @@ def run_feature_scores(
 def backfill(
     spark: SparkSession,
     job: Callable[[dt.date], None],
-    outputs: Callable[[dt.date], Sequence[str]],
+    outputs: Callable[[dt.date], Slot | Sequence[str]],
     as_of: dt.date,
     n: int,
+    workers: int = 1,
+    retries: int = 0,
 ) -> DataFrame:
-    """Run ``job`` for the last ``n`` dates up to ``as_of``, oldest first, where any output is missing.
+    """Run ``job`` for the last ``n`` dates up to ``as_of`` whose outputs are not complete.
 
-    A date that fails is reported and the next one runs; the result has one row per date.
+    ``outputs`` gives a date's slot, which its manifest makes complete, or plain paths, which must
+    exist. Dates are started oldest first, ``workers`` at a time, each in a scheduler pool of its own. A
+    date that fails is tried again up to ``retries`` times, then reported, and the others run; the
+    result has one row per date.
     """
-    report = []
-    for back in reversed(range(n)):
-        date = as_of - dt.timedelta(days=back)
-        if all(R.exists(spark, path) for path in outputs(date)):
-            report.append((date, "present", None))
-            continue
+
+    def complete(date: dt.date) -> bool:
+        wanted = outputs(date)
+        return wanted.complete(spark) if isinstance(wanted, Slot) else all(R.exists(spark, p) for p in wanted)
+
+    def run(date: dt.date) -> tuple[dt.date, str, str | None]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"backfill-{date.isoformat()}")
         try:
-            job(date)
-            report.append((date, "written", None))
-        except Exception as e:  # any failure belongs to its date only
-            report.append((date, "failed", f"{type(e).__name__}: {e}"))
+            if complete(date):
+                return date, "present", None
+            for left in reversed(range(retries + 1)):
+                try:
+                    job(date)
+                    return date, "written", None
+                except Exception as e:  # any failure belongs to its date only
+                    if not left:
+                        return date, "failed", f"{type(e).__name__}: {e}"
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    dates = [as_of - dt.timedelta(days=back) for back in reversed(range(n))]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        # A target of its own per date: the local properties of one are shared by all its calls.
+        report = [f.result() for f in [pool.submit(inheritable_thread_target(spark)(run), d) for d in dates]]
     return spark.createDataFrame(report, "date date, status string, error string")

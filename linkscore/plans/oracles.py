@@ -781,4 +781,51 @@ ORACLES: dict[str, str] = {
            WHERE CAST(day AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM hb) ORDER BY 1""",
         "hb",
     ),
+    "source_files": sql(
+        """, rows AS (SELECT CAST(event_id AS BIGINT) AS event_id, sn, snr, memory, network FROM flat),
+             times AS (SELECT event_id, ts FROM hb WHERE CAST(ts AS DATE) = DATE '2024-01-10')
+           SELECT 'day' AS source, rows.* FROM rows JOIN times USING (event_id)
+           UNION ALL SELECT 'hour', rows.* FROM rows JOIN times USING (event_id) WHERE hour(ts) = 5
+           UNION ALL SELECT 'json_tree', * FROM rows
+           -- An empty text and no text are the same in a CSV file.
+           UNION ALL SELECT s, event_id, sn, snr, nullif(memory, ''), network
+           FROM rows, (SELECT unnest(['csv', 'csv_tree', 'csv_paths', 'gzip_tree']) AS s) WHERE s <> 'csv' OR network = 'view'""",
+        "flat", "hb",
+    ),
+    "sink_roundtrip": sql(
+        """SELECT 'hours' AS sink, sn AS id, "date", CAST(hr AS INTEGER) AS hr, crashes AS n, CAST(NULL AS INTEGER) AS files,
+             CAST(NULL AS BOOLEAN) AS refused FROM crashes
+           UNION ALL SELECT s, imsi, datadate, NULL, CAST(o_orderkey AS BIGINT), CASE s WHEN 'files' THEN 3 END, CASE s WHEN 'files' THEN true END
+           FROM passive, (SELECT unnest(['folder', 'files', 'subset']) AS s) WHERE s <> 'subset' OR device_model = 'M1'""",
+        "modem_event", "crashes", "passive",
+    ),
+    "backfill_replay": sql(
+        f""", dates AS (SELECT CAST(unnest(range(TIMESTAMP '2024-01-26', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS "date"),
+            fallen AS (SELECT sn, CAST(ts AS DATE) AS "date", COUNT(*) AS crashes FROM modem_event
+                       WHERE modem_event IS NOT NULL GROUP BY ALL),
+            moved AS (SELECT sn, "date", CAST(SUM(CASE WHEN current_network <> p THEN 1 ELSE 0 END) AS BIGINT) AS network_switches
+                      FROM (SELECT sn, CAST(ts AS DATE) AS "date", current_network,
+                              lag(current_network) OVER (PARTITION BY sn, CAST(ts AS DATE) ORDER BY ts, event_id) AS p
+                            FROM hb WHERE {ATTACHED}) GROUP BY ALL),
+            tables AS (SELECT * FROM fallen FULL JOIN moved USING (sn, "date"))
+            SELECT "date", sn, crashes, network_switches,
+              CASE WHEN "date" IN (DATE '2024-01-27', DATE '2024-01-28') THEN 'failed' ELSE 'written' END AS first,
+              CASE WHEN "date" IN (DATE '2024-01-27', DATE '2024-01-28', DATE '2024-01-29') THEN 'written' ELSE 'present' END AS second,
+              'present' AS third
+            FROM dates LEFT JOIN tables USING ("date")""",
+        "modem_event", "hb",
+    ),
+    "stream_increments": sql(
+        f"""SELECT sn, {', '.join(added(c) for c in FAILURES)}, COUNT(*) AS heartbeats
+            FROM (SELECT *, {lags(FAILURES)} FROM hb WINDOW w AS (PARTITION BY sn ORDER BY ts, event_id)) GROUP BY sn""",
+        "hb",
+    ),
+    "stream_hourly_availability": sql(
+        f"""SELECT sn, "date", hr, crashes, n AS lines, {AVAIL_OUT},
+              {ladder('availability_score', P.AVAILABILITY_LADDER)} AS availability_category
+            FROM avail_hour_score LEFT JOIN (SELECT sn, COUNT(*) AS n FROM lines GROUP BY sn) USING (sn)""",
+        "hb", "modem_event", "hb_hour", "crashes", "service_hour", "service_crash", "avail_hour_score", *LINES,
+    ),
 }
+# The same percentiles, from stored sketches.
+ORACLES["scale_percentile_stored"] = ORACLES["scale_percentile_hist"]

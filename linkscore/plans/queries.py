@@ -19,6 +19,7 @@ from linkscore.operators import overall as O
 from linkscore.operators import quality as Q
 from linkscore.operators import scaling as S
 from linkscore.operators import throughput as T
+from linkscore.plans import replays as Y
 from linkscore.plans.inputs import Inputs
 from linkscore.sources import heartbeat as H
 from linkscore.sources import readers as R
@@ -457,6 +458,16 @@ def scale_percentile_hist(i: Inputs) -> DataFrame:
     return S.scale(i.passive, specs, history).select("o_orderkey", "datadate", "scaled_dl_speed")
 
 
+@query
+def scale_percentile_stored(i: Inputs) -> DataFrame:
+    last_days = [PASSIVE_DATE - dt.timedelta(days=d) for d in range(1, 6)]
+    history = R.multi_date_union(i.passive, "datadate", last_days)
+    sketches = Y.stored_sketches(i.passive, ["dl_speed"], ["device_model"], "datadate", last_days)
+    specs = [P.ScaleSpec("dl_speed", by=("device_model",), middle=60.0)]
+    scaled = S.scale(i.passive, specs, history, history_sketches=sketches)
+    return scaled.select("o_orderkey", "datadate", "scaled_dl_speed")
+
+
 @query
 def scale_manual(i: Inputs) -> DataFrame:
     specs = [
@@ -542,3 +553,32 @@ def partition_report(i: Inputs) -> DataFrame:
 def backfill_dates(i: Inputs) -> DataFrame:
     done = i.hb.select(F.to_date("ts").alias("part_date"))
     return Q.missing_dates(i.spark, done, AS_OF, 7)
+
+
+# --- files and streams ----------------------------------------------------------------------
+
+
+@query
+def source_files(i: Inputs) -> DataFrame:
+    return Y.source_files(i)
+
+
+@query
+def sink_roundtrip(i: Inputs) -> DataFrame:
+    return Y.sink_roundtrip(i)
+
+
+@query
+def backfill_replay(i: Inputs) -> DataFrame:
+    return Y.backfill_replay(i)
+
+
+@query
+def stream_increments(i: Inputs) -> DataFrame:
+    return Y.stream_increments(i)
+
+
+@query
+def stream_hourly_availability(i: Inputs) -> DataFrame:
+    scored = Y.stream_hourly_availability(i).select("sn", "date", "hr", "crashes", "lines", *AVAILABILITY_COLUMNS)
+    return rounded(scored, 6, "downtime_share", "assumed_downtime", "not_available_pct")

@@ -1,5 +1,6 @@
 """Scaling families and group scores."""
 
+import datetime as dt
 import math
 import random
 
@@ -122,3 +123,43 @@ def test_percentiles_are_exact_whatever_the_sketch(spark, accuracy):
 def test_a_sketch_is_close(table):
     exact, sketched = (S.percentile_by_group(table, ["x"], ["model"], sketch=s) for s in (False, True))
     assert rows(exact) == rows(sketched)
+
+
+def _grouped(spark):
+    rng = random.Random(4)
+    data = [(None if k % 7 == 0 else f"g{k % 3}", dt.date(2024, 1, 1 + k % 4), rng.choice([None, rng.gauss(0, 9), 5.0]), float(k % 11)) for k in range(6000)]
+    data += [("empty", dt.date(2024, 1, 1), None, 1.0), ("one", dt.date(2024, 1, 2), 3.5, None)]
+    return spark.createDataFrame(data, "g string, day date, x double, y double")
+
+
+@pytest.mark.parametrize("k, safety", [(200, 2.0), (8, 2.0), (8, 0.0)])
+def test_percentiles_from_daily_sketches_are_exact(spark, monkeypatch, k, safety):
+    df = _grouped(spark)
+    monkeypatch.setattr(Q, "SAFETY", safety)  # without room most enclosures are missed, and counted anew
+    sketches = Q.daily_sketches(df, ["x", "y"], ["g"], "day", k)
+    assert sketches.count() == df.select("g", "day").distinct().count()
+    got = Q.percentiles_of_sketches(sketches, df, ["x", "y"], ["g"], S.CUTS, k)
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.g, {"x": [], "y": []})
+        for c in ("x", "y"):
+            if r[c] is not None:
+                want[r.g][c].append(r[c])
+    for r in got.collect():
+        for c in ("x", "y"):
+            values = sorted(want[r.g][c])
+            for name, share in S.CUTS.items():
+                exact = values[max(math.ceil(share * len(values)), 1) - 1] if values else None
+                assert r[f"{c}_{name}"] == exact, (r.g, c, name)
+    assert got.count() == len(want)
+
+
+def test_history_is_enclosed_by_its_sketches(spark, inputs):
+    """With stored sketches the history's rows are read once, not twice."""
+    specs = [P.ScaleSpec("dl_speed", by=("device_model",))]
+    sketches = Q.daily_sketches(inputs.passive, ["dl_speed"], ["device_model"], "datadate")
+    plain = S.scale(inputs.passive, specs, inputs.passive)
+    stored = S.scale(inputs.passive, specs, inputs.passive, history_sketches=sketches)
+    assert rows(stored) == rows(plain)
+    reads = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+    assert reads(stored) < reads(plain)

@@ -214,3 +214,20 @@ def test_checkpoint_folder_is_the_sessions(spark):
 def test_renames(spark):
     df = spark.createDataFrame([("1", "2")], "MTN string, Other string")
     assert R.renamed(df, {"mtn": "mdn"}).columns == ["mdn"]
+
+
+def test_newest_date_prunes_a_partitioned_table(spark, tmp_path):
+    base = str(tmp_path / "speeds")
+    rows_of = spark.range(40).selectExpr("id", "date_add(date'2024-01-01', CAST(id % 10 AS int)) AS datadate")
+    W.write_dates(rows_of, base, ("datadate",))
+    table = spark.read.schema("id long, datadate date").parquet(base)
+    newest = R.latest_available(table, "datadate", dt.date(2024, 1, 12))
+    assert sorted(r.id for r in newest.collect()) == [9, 19, 29, 39]
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+    fixed = R.multi_date_union(table, "datadate", [dt.date(2024, 1, 3), dt.date(2024, 1, 30)])
+    assert {f.split("datadate=")[1][:10] for f in fixed.inputFiles()} <= {f"2024-01-{d:02d}" for d in range(1, 11)}
+    assert "PartitionFilters: [" in fixed._jdf.queryExecution().executedPlan().toString() and fixed.count() == 4
+    scan = [x for x in str(fixed._jdf.queryExecution().executedPlan()).splitlines() if "FileScan" in x][0]
+    assert "PartitionFilters: []" not in scan

@@ -38,12 +38,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
     return left.select(
         "doc_id",
         "n_bytes",
-        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        removed.alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.when(F.col("n_bytes") > 0, removed / F.col("n_bytes")).otherwise(0.0).alias("removed_share"),
     )
 
 

@@ -95,6 +95,11 @@ def randomness(literal: str) -> float:
     return min(1.0, entropy / 3.5) * (0.4 if kinds == 1 else 0.8 if kinds == 2 else 1.0) * min(1.0, n / 12)
 
 
+def plain_literal(word: str) -> bool:
+    """Whether an unquoted word can be a literal: letters and digits mixed, and no call. Others are identifiers."""
+    return "(" not in word and any(x.isdigit() for x in word) and any(x.isalpha() for x in word)
+
+
 def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int] | str]]]:
     """Names with the terms of their value: literals as (text, start, end), names as text."""
     found, at = [], 0
@@ -103,10 +108,10 @@ def pairs(text: str) -> list[tuple[str, list[tuple[str, int, int] | str]]]:
         while t := _TERM.match(text, at):
             at = t.end()
             if t["name"] is not None:
-                # An unquoted word may be a literal of a configuration file or a constant's name.
-                terms += [t["name"], (t["name"], t.start("name"), at)]
-            else:
-                part = "text" if t["quote"] else "bare"
+                # An unquoted word may be a constant's name, or a literal of a configuration file.
+                terms.append(t["name"])
+            part = "text" if t["quote"] else "name" if t["name"] is not None else "bare"
+            if t["quote"] or plain_literal(t[part]):
                 terms.append((t[part], t.start(part), t.end(part)))
             plus = _PLUS.match(text, at)
             if not plus:
@@ -126,17 +131,17 @@ def literal_spans(text: str, min_score: float = MIN_SCORE) -> list[tuple[int, in
     lexed = pairs(text)
     for name, terms in lexed:
         bound.setdefault(name, []).extend(terms)
+    # A name is as sensitive as the most sensitive target its value flows to: from the most sensitive one on,
+    # each target passes its level to the names not reached before, so every name is taken once.
     reach: dict[str, float] = {}
-    for name in bound:
-        reach[name] = max(reach.get(name, 0.0), sensitivity(name))
-    # A name is as sensitive as the most sensitive target its value flows to.
-    open_names = sorted(reach, key=reach.get, reverse=True)
-    while open_names:
-        name = open_names.pop(0)
-        for term in bound.get(name, ()):
-            if isinstance(term, str) and term in bound and reach[term] < reach[name]:
-                reach[term] = reach[name]
-                open_names.append(term)
+    levels = {name: sensitivity(name) for name in bound}
+    for target in sorted(levels, key=levels.get, reverse=True):
+        open_names = [target]
+        while open_names:
+            name = open_names.pop()
+            if name not in reach:
+                reach[name] = levels[target]
+                open_names.extend(x for x in bound[name] if isinstance(x, str) and x in bound)
     found = set()
     for name, terms in bound.items():
         for term in terms:
@@ -172,8 +177,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per input row: id_col, n_assign, n_access, n_hex, n_literal, base_spans, spans.
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind, joined by
-    commas. Null and empty texts have none. Each text is scanned whole, in time linear in its
-    length; rows are independent of each other, so repeated ids stay apart.
+    commas. Null and empty texts have none. Each text is scanned whole, in time that grows with its
+    length (its different names are sorted); rows are independent of each other, so repeated ids stay
+    apart. An empty table gives an empty result; other columns are ignored, whatever their names.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

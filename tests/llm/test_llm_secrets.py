@@ -52,8 +52,43 @@ def test_no_literal(text):
     assert literals(text) == []
 
 
+MANY_NAMES = "\n".join(f"n{k} = n{k + 1}" for k in range(200_000)) + '\npassword = n0\nn200000 = "q8Zr5T0pLm3X"'
+
+
+def test_a_long_chain_of_names():
+    assert literals(MANY_NAMES) == ["q8Zr5T0pLm3X"]
+
+
+#: Texts, and whether they hold a secret literal.
+LABELLED = [
+    ('db_password = "q8Zr5T0pLm3X"', True),
+    ('const apiKey = `9f8a7s6d5f4g3h2j`;', True),
+    ('{"client_secret": "aB3$kd92kdLs0"}', True),
+    ("AUTH_TOKEN=zX81kQp0vN4m", True),
+    ("secret: 7hK2mPq9Lx4R", True),
+    ('K = "q8Zr5T0pLm3X"\nlogin(password=K)', True),
+    ("signing_secret => 'Qw3rTy7uIo9p'", True),
+    ("token: refreshTokenHandler", False),
+    ("password = getpass.getpass('Password: ')", False),
+    ("password = read_password(prompt2)", False),
+    ("token = request.headers.authorization", False),
+    ("secret: loadFromEnvironment", False),
+    ("apiKey = os.environ.get(name)", False),
+    ("passwd: ${DATABASE_PASSWORD1}", False),
+    ('title = "q8Zr5T0pLm3X"', False),
+    ("The password: nobody remembered it.", False),
+    ("auth = BasicAuthentication", False),
+]
+
+
+def test_precision_and_recall_of_literals():
+    found = [bool(literals(text)) for text, _ in LABELLED]
+    right = sum(f and wanted for f, (_, wanted) in zip(found, LABELLED))
+    assert right / sum(found) >= 0.95 and right / sum(wanted for _, wanted in LABELLED) >= 0.95
+
+
 def test_time_is_linear():
-    for text in ("a" * 300_000, "password " * 40_000, 'token="' * 40_000, "x = y + " * 40_000, "a_" * 150_000):
+    for text in ("a" * 300_000, "password " * 40_000, 'token="' * 40_000, "x = y + " * 40_000, "a_" * 150_000, MANY_NAMES):
         S.base_spans(text)
         S.literal_spans(text)
 

@@ -259,26 +259,31 @@ def as_column(rules: list[Rule]) -> Column:
 
 
 def fit(statistics: DataFrame, labels: DataFrame, max_sample: int = MAX_SAMPLE) -> list[Rule]:
-    """Rules from the labelled rows, at most max_sample of them by a hash of the id.
+    """Rules from the labelled rows, at most max_sample of them by a hash of id, label and features.
 
-    labels: doc_id, quality (0 is bad, null is no label). Without labels there are no rules.
+    labels: doc_id, quality (0 is bad, null is no label). Rows with the same id, label and features
+    count once. Executors cut the sample by a bound on the hash, so what the driver reads does not grow
+    with the labels. Without labels there are no rules.
     """
     known = labels.filter("quality IS NOT NULL").select(F.col("doc_id").alias("id"), "quality")
-    rows = (
-        statistics.join(known, "id")
-        .select("quality", *(feature(x).alias(x) for x in FEATURES), F.xxhash64("id").alias("order"))
-        .orderBy("order", "quality")
-        .limit(max_sample)
-        .toPandas()
-    )
-    return learn({x: rows[x].to_numpy(float) for x in FEATURES}, rows["quality"].to_numpy() == 0)
+    rows = statistics.join(known, "id").select("quality", *(feature(x).alias(x) for x in FEATURES), F.xxhash64("id").alias("order"))
+    drawn = F.xxhash64("order", "quality", *FEATURES)
+    rows = Scratch(statistics.sparkSession).put(rows.withColumn("drawn", drawn))
+    different = rows.agg(F.approx_count_distinct("drawn")).first()[0]
+    # Half as many again are below the bound on average, since the count is an estimate.
+    share = 1.5 * max_sample / max(1, different)
+    if share < 1:
+        rows = rows.filter(F.col("drawn") < int(share * (1 << 64)) - (1 << 63))
+    sample = rows.dropDuplicates(["drawn"]).toPandas().nsmallest(max_sample, "drawn").sort_values(["order", "quality", "drawn"])
+    return learn({x: sample[x].to_numpy(float) for x in FEATURES}, sample["quality"].to_numpy() == 0)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: id_col, the counts, base_failed, rule (0: none holds) and kept.
 
     kept is false where the base rules fail or a learned rule holds. A null or empty text has no
-    words and fails. Repeated ids stay as rows of their own. An empty table gives an empty result.
+    words and fails. Repeated ids stay as rows of their own. Texts are read whole; an empty table gives
+    an empty result; other columns are ignored, whatever their names.
     """
     statistics = Scratch(docs.sparkSession).put(text_statistics(docs, id_col, text_col))
     rules = fit(statistics, labels)

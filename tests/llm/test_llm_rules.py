@@ -82,3 +82,31 @@ def test_empty_tables(spark):
     assert Q.quality_rules(docs, labels).collect() == []
     one = spark.createDataFrame([(1, "w " * 60), (2, None)], "doc_id long, text string")
     assert {r["doc_id"]: r["kept"] for r in Q.quality_rules(one, labels).collect()} == {1: False, 2: False}
+
+
+def test_the_sample_is_bounded_and_repeated_ids_do_not_fill_it(spark, monkeypatch):
+    seen = {}
+
+    def learn(columns, bad):
+        seen["rows"], seen["bad"] = len(bad), int(bad.sum())
+        return []
+
+    monkeypatch.setattr(Q, "learn", learn)
+    rows = [(k, f"word{k} " * (1 + k % 50)) for k in range(900)] + [(7, "the same row")] * 600 + [(None, "no id")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(k, k % 2) for k in range(900)] + [(7, None), (7, 1), (7, 1), (None, 0)], "doc_id long, quality int"
+    )
+    statistics = Q.text_statistics(docs).cache()
+    Q.fit(statistics, labels)
+    # Copies of a row and of its label count once: id 7 has two texts.
+    assert seen["rows"] == 901
+    Q.fit(statistics, labels, max_sample=100)
+    assert seen["rows"] == 100 and 25 < seen["bad"] < 75
+
+
+def test_clashing_columns_and_null_labels(spark):
+    rows = [(1, "w x y z " * 30, 1, "i", 2), (1, "w x y z " * 30, 1, "i", 2), (2, None, 1, "i", 2), (None, "", 1, "i", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int, id string, `rule` int")
+    labels = spark.createDataFrame([(1, None), (1, 0), (1, 0), (2, 1), (None, 1)], "doc_id long, quality int")
+    assert sorted(str(r["doc_id"]) for r in Q.quality_rules(docs, labels).collect()) == ["1", "1", "2", "None"]

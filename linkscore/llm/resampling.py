@@ -1,9 +1,10 @@
 """Quality by importance resampling: hashed n-gram models of target and raw text, Gumbel top-k.
 
 Two bags of hashed word unigrams and bigrams are counted in one pass: over a bounded sample of target
-texts, whose ids are broadcast, and over all texts. A document's log weight is the mean over its n-grams
-of the log ratio of their smoothed shares, times a temperature's inverse; a few n-grams of weight 0 are
-added to each document, so that very short ones stay near the average. Adding Gumbel noise, drawn from the row's own hash, and keeping the k largest
+texts, whose ids are broadcast, and over all texts. The log ratio of the two generative models for a
+document is the sum over its n-grams of the log ratio of their smoothed shares. Its log weight is that
+sum or, by default, the mean in its place, which leaves out the length: the sum of a bad but very short
+text is near that of an average one. Adding Gumbel noise, drawn from the row's own hash, and keeping the k largest
 sums samples k documents without replacement in proportion to their weights. The k-th largest sum is
 found by counting in ever finer ranges, not by sorting.
 """
@@ -22,6 +23,7 @@ from linkscore.llm.words import mixed, separated, text_blocks, word_hashes
 
 BUCKETS = 1 << 15
 TEMPERATURE = 0.01
+#: N-grams of weight 0 that a mean counts beside the document's own, so that very short ones stay near the average.
 PRIOR_GRAMS = 10
 #: Most target rows that the target model takes, the first by a hash of their id.
 MAX_TARGET = 20_000
@@ -64,8 +66,8 @@ def log_ratios(texts: DataFrame, smoothing: float = 1.0) -> np.ndarray:
     return np.log(target / target.sum()) - np.log(total / total.sum())
 
 
-def weighted(rows: DataFrame, ratios: np.ndarray, temperature: float) -> DataFrame:
-    """rows (id, hash, text) as (id, hash, n_grams, log_weight)."""
+def weighted(rows: DataFrame, ratios: np.ndarray, temperature: float, per_gram: bool = False) -> DataFrame:
+    """rows (id, hash, text) as (id, hash, n_grams, log_weight): the sum of log ratios, or their mean."""
     shared = rows.sparkSession.sparkContext.broadcast(ratios)  # one number per bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +76,7 @@ def weighted(rows: DataFrame, ratios: np.ndarray, temperature: float) -> DataFra
                 doc, buckets = hashed_grams(data, offsets)
                 grams = np.bincount(doc, minlength=n)
                 logs = np.bincount(doc, weights=shared.value[buckets], minlength=n)
-                weight = logs / (grams + PRIOR_GRAMS) / temperature
+                weight = (logs / (grams + PRIOR_GRAMS) if per_gram else logs) / temperature
                 columns = [batch.column(k).slice(first, n) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(grams.astype(np.int64)), pa.array(weight)], names=["id", "hash", "n_grams", "log_weight"]
@@ -119,18 +121,26 @@ def resample(
     temperature: float = TEMPERATURE,
     seed: int = SEED,
     max_target: int = MAX_TARGET,
+    per_gram: bool = True,
 ) -> DataFrame:
     """One row per input row: id_col, n_grams, log_weight, sum (with noise) and kept.
 
     The target are the texts of rows labelled with quality 1 and not toxic (labels: doc_id, quality,
-    toxic), of max_target ids at most; the raw model is counted over all rows. share is the share of rows to keep, by default that of quality 1 among the
-    labels. Of equal sums at the border all stay. Null and empty texts have no n-gram, weight 0 as
-    an average text, and are never kept. Repeated rows draw the same noise. Without labels all
-    rows with words are kept; an empty table gives an empty result.
+    toxic), of max_target ids at most; the raw model is counted over all rows. share is the share of rows
+    to keep, by default that of quality 1 among the labels. log_weight is the mean log ratio of the
+    n-grams over the temperature; without per_gram it is their sum, the log ratio of the two models as
+    such, which a temperature of 1 suits. Of equal sums at the border all stay. Null and empty texts have no n-gram, weight 0
+    as an average text, and are never kept. Repeated rows draw the same noise. Texts are read whole.
+    Without labels all rows with words are kept; an empty table gives an empty result; other columns
+    are ignored, whatever their names.
     """
     scratch = Scratch(docs.sparkSession)
     known = labels.filter("quality IS NOT NULL")
     good = known.filter("quality = 1 AND coalesce(toxic, 0) = 0").select(F.col("doc_id").alias("id")).distinct()
+    # Executors leave about half as many again as are taken, so that few ids meet where the first are cut.
+    drawn = 1.5 * max_target / max(1, good.agg(F.approx_count_distinct("id")).first()[0])
+    if drawn < 1:
+        good = good.filter(F.xxhash64("id") < int(drawn * (1 << 64)) - (1 << 63))
     good = good.orderBy(F.xxhash64("id"), "id").limit(max_target)
     if share is None:
         share = known.agg(F.avg((F.col("quality") == 1).cast("double"))).first()[0]
@@ -143,7 +153,7 @@ def resample(
     # A uniform number strictly between 0 and 1 from the row's hash.
     uniform = (F.shiftrightunsigned("hash", 11) + 0.5) / float(1 << 53)
     summed = scratch.put(
-        weighted(rows, ratios, temperature).withColumn("sum", F.col("log_weight") - F.log(-F.log(uniform)))
+        weighted(rows, ratios, temperature, per_gram).withColumn("sum", F.col("log_weight") - F.log(-F.log(uniform)))
     )
     worded = summed.filter("n_grams > 0")
     k = worded.count() if share is None else min(round(share * summed.count()), worded.count())

@@ -64,3 +64,29 @@ def test_awkward_tables(spark):
     assert first[0] == first[1]
     assert [r["kept"] for r in sorted(R.resample(docs, none).collect(), key=repr)].count(True) == 3
     assert R.resample(docs.limit(0), labels).collect() == []
+
+
+@pytest.mark.parametrize("per_gram", [False, True])
+def test_kept_are_the_largest_sums(spark, per_gram):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    out = R.resample(docs, labels, share=0.3, temperature=0.01 if per_gram else 1.0, per_gram=per_gram).collect()
+    worded = sorted((r["sum"] for r in out if r["n_grams"]), reverse=True)
+    border = worded[round(0.3 * len(out)) - 1]
+    assert all(r["kept"] == (r["n_grams"] > 0 and r["sum"] >= border) for r in out)
+
+
+def test_log_weight_is_the_ratio_of_the_models(spark):
+    ratios = np.random.default_rng(2).normal(size=R.BUCKETS)
+    texts = ["a b c", "", "b " * 500, "x"]
+    rows = spark.createDataFrame([(k, k, t) for k, t in enumerate(texts)], "id int, hash long, text string")
+    for r in R.weighted(rows, ratios, 1.0).collect():
+        data = np.frombuffer(texts[r["id"]].encode(), np.uint8)
+        _, buckets = R.hashed_grams(data, np.array([0, len(data)]))
+        assert r["log_weight"] == pytest.approx(ratios[buckets].sum()) and r["n_grams"] == len(buckets)
+
+
+def test_a_bounded_target_is_cut_on_the_executors(spark):
+    docs = spark.createDataFrame([(k, f"w{k} common words") for k in range(400)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality", "0 AS toxic")
+    out = R.resample(docs, labels, max_target=20).collect()
+    assert len(out) == 400 and sum(r["kept"] for r in out) >= 200

@@ -15,9 +15,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkscore.llm.keys import row_key
 from linkscore.llm.store import Scratch
 
 BLOCK_DOCS = 2_000
+#: Rows of the same id, text and source that are numbered in one go.
+COPIES = 4_096
 #: The exponent is found to 64 ** -ROUNDS.
 STEPS, ROUNDS = 64, 5
 SEED = 17
@@ -76,11 +79,6 @@ def exponent(
     return lowest + width
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """The same for rows of the same id and text, nulls included."""
-    return F.xxhash64(id_col, text_col)
-
-
 def mix(
     docs: DataFrame,
     source_col: str = "source",
@@ -97,17 +95,19 @@ def mix(
     least. A source is passed over whole as often as its quota allows, then documents are taken while
     the quota is not reached (the last one may exceed it). mix_position in 0..1 is how far into its
     source's quota a document begins; sorting by it interleaves the sources evenly. A null source is a
-    source of its own. Null texts count as one token. Rows with equal ids are realised each. An empty
-    table gives an empty result. row_key is row_key().
+    source of its own. Null texts count as one token, texts are counted whole. Rows with equal ids are
+    realised each. An empty table gives an empty result; other columns are ignored. row_key is
+    keys.row_key(). The mix depends on the rows alone, not on their order or partitions.
     """
     scratch = Scratch(docs.sparkSession)
     rows = scratch.put(
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(source_col).alias("source"),
-            n_tokens(F.col(text_col)).alias("n_tokens"),
-            row_key(id_col, text_col).alias("row_key"),
-            F.monotonically_increasing_id().alias("row"),
+        _numbered(
+            docs.select(
+                F.col(id_col).alias("id"),
+                F.col(source_col).alias("source"),
+                n_tokens(F.col(text_col)).alias("n_tokens"),
+                row_key(id_col, text_col).alias("row_key"),
+            )
         )
     )
     totals = scratch.put(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")))
@@ -118,6 +118,23 @@ def mix(
     return _realised(scratch, rows, plan, seed).withColumnRenamed("id", id_col)
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with `copy`, a number from 0 among those of the same id, text and source.
+
+    They are counted, and as many rows as were counted are made of each; parts of a large count are
+    dealt to different tasks first.
+    """
+    same = rows.groupBy("row_key", "source").agg(
+        F.first("id").alias("id"), F.first("n_tokens").alias("n_tokens"), F.count("*").alias("copies")
+    )
+    parts = same.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) DIV {COPIES}"))))
+    several = parts.filter("copies > 1").repartition("row_key", "part")
+    last = F.least("copies", (F.col("part") + 1) * COPIES) - 1
+    numbered = several.withColumn("copy", F.explode(F.sequence(F.col("part") * COPIES, last)))
+    single = parts.filter("copies = 1").withColumn("copy", F.lit(0).cast("long"))
+    return single.unionByName(numbered).drop("copies", "part")
+
+
 def _quotas(sources: DataFrame, alpha: float, budget: int | None) -> DataFrame:
     """(source, tokens, weight, quota, passes, blocks): passes are those begun."""
     raised = sources.withColumn("power", F.pow("share", F.lit(alpha)))
@@ -139,7 +156,7 @@ def _realised(scratch: Scratch, rows: DataFrame, plan: DataFrame, seed: int) ->
     each = (
         rows.join(plan, same_source)
         .withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("passes") - 1)))
-        .withColumn("turn", F.xxhash64(F.lit(seed), "pass", "row_key", "row"))
+        .withColumn("turn", F.xxhash64(F.lit(seed), "pass", "row_key", "copy"))
         .withColumn("block", F.pmod(F.xxhash64("turn"), F.col("blocks")))
     )
     each = scratch.put(each.drop("plan_source", "blocks", "passes"))
@@ -155,7 +172,7 @@ def _realised(scratch: Scratch, rows: DataFrame, plan: DataFrame, seed: int) ->
     at_block = F.col("source").eqNullSafe(F.col("s")) & (F.col("pass") == F.col("p")) & (F.col("block") == F.col("b"))
     placed = each.join(starts, at_block).drop("s", "p", "b").filter("before < quota")
     in_block = (
-        Window.partitionBy(*group).orderBy("turn", "row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy(*group).orderBy("turn", "row_key", "copy").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     begin = F.col("before") + F.sum("n_tokens").over(in_block) - F.col("n_tokens")
     return (

@@ -20,10 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.llm.components import components
+from linkscore.llm.keys import row_key
 from linkscore.llm.store import Scratch
 from linkscore.llm.words import mixed, separated, text_blocks, word_hashes
 
@@ -184,11 +185,6 @@ def _verified(similarity: float):
     return run
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """The same for rows of the same id and text, nulls included."""
-    return F.xxhash64(id_col, text_col)
-
-
 def near_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -202,7 +198,7 @@ def near_classes(
     class_id is the least id among the rows reached over links, copy_id the least among those with
     the same set (null ids come last). Null texts and texts without a word have no shingles: they link
     to nothing and are a class of their own. Rows with equal ids are documents of their own. Texts are
-    taken whole; an empty table gives an empty result; other columns are ignored. row_key is row_key();
+    taken whole; an empty table gives an empty result; other columns are ignored. row_key is keys.row_key();
     class_key is that of the class's first row, of the least id and then the least key, so that classes
     are told apart and one row of each is found also where ids are null or repeated.
     """
@@ -210,7 +206,7 @@ def near_classes(
     rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     signed = scratch.put(
-        rows.mapInArrow(_signatures, f"id {kind}, key long, node binary, n long, paths array<bigint>")
+        rows.mapInArrow(_signatures, f"id {kind}, key binary, node binary, n long, paths array<bigint>")
     )
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias("first")
     nodes = scratch.put(

@@ -29,11 +29,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_classes(_table(spark, sf_dir, "documents"))
+    found = ngram_join.near_classes(_table(spark, sf_dir, "documents"))
+    return found.withColumns({x: F.hex(x) for x in ("row_key", "class_key")})
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixing.mix(_table(spark, sf_dir, "documents")).withColumn("row_key", F.hex("row_key"))
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linkscore.llm.keys import row_key
 from linkscore.llm.store import Scratch
 from linkscore.llm.words import _BASE, _BASE_INVERSE, _powers, mixed, text_blocks
 
@@ -350,14 +351,15 @@ def remove_repeats(
     spans are the maximal runs of bytes covered by some 400-byte string that also starts elsewhere in
     the table, as (begin, end); kept are the other bytes of the text, joined (UTF-8, where cuts may
     fall within a character). Null counts as the empty text, texts under 400 bytes have no span.
-    Repeated rows, with equal ids or not, are documents of their own. An empty table gives an empty
-    result; other columns are ignored.
+    Repeated rows, with equal ids or not, are documents of their own. Long texts are read whole, in
+    overlapping chunks, and put together again in time linear in their length. An empty table gives an
+    empty result; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession)
-    key = F.xxhash64(id_col, text_col).alias("key")
+    key = row_key(id_col, text_col).alias("key")
     rows = docs.select(F.col(id_col).alias("id"), key, F.coalesce(text_col, F.lit("")).alias("text"))
     found = scratch.put(
-        rows.select("key", "text").mapInArrow(_anchored, "key long, " + ", ".join(f"`{x}` long" for x in _FIELDS))
+        rows.select("key", "text").mapInArrow(_anchored, "key binary, " + ", ".join(f"`{x}` long" for x in _FIELDS))
     )
     classes = scratch.put(found.groupBy("class").agg(F.count("*").alias("n")).filter("n > 1").select("class"))
     live = scratch.put(found.join(classes.hint("merge"), "class"))
@@ -381,7 +383,7 @@ def remove_repeats(
         .distinct()
     )
     per_text = marks.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
-    spans = scratch.put(per_text.mapInArrow(_merged, "key long, spans array<struct<begin:long,end:long>>"))
+    spans = scratch.put(per_text.mapInArrow(_merged, "key binary, spans array<struct<begin:long,end:long>>"))
     return _without(rows, spans).withColumnRenamed("id", id_col)
 
 
@@ -402,21 +404,16 @@ def _without(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """The texts joined with their spans, and what the spans leave."""
     joined = rows.join(spans.hint("merge"), "key", "left")
     data = F.col("text").cast("binary")
-    empty = F.lit(b"").cast("binary")
-    begin_state = F.struct(empty.alias("kept"), F.lit(0).cast("long").alias("at"))
-    left = F.aggregate(
-        F.col("spans"),
-        begin_state,
-        lambda state, x: F.struct(
-            F.concat(state["kept"], F.substring(data, (state["at"] + 1).cast("int"), (x["begin"] - state["at"]).cast("int"))).alias("kept"),
-            x["end"].alias("at"),
-        ),
-        lambda state: F.concat(state["kept"], F.substring(data, (state["at"] + 1).cast("int"), F.lit(2147483647))),
-    )
+    n_bytes = F.octet_length("text").cast("long")
+    # What lies between the spans, each part copied once; as hex digits, since cuts may fall within a character.
+    begins = F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end"))
+    ends = F.concat(F.col("spans.begin"), F.array(n_bytes))
+    parts = F.zip_with(begins, ends, lambda a, b: F.hex(F.substring(data, (a + 1).cast("int"), (b - a).cast("int"))))
+    left = F.unhex(F.array_join(parts, ""))
     none = F.array().cast("array<struct<begin:long,end:long>>")
     return joined.select(
         "id",
-        F.octet_length("text").cast("long").alias("n_bytes"),
+        n_bytes.alias("n_bytes"),
         F.coalesce("spans", none).alias("spans"),
         F.when(F.col("spans").isNull(), data).otherwise(left).alias("kept"),
     )

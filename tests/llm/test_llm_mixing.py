@@ -91,3 +91,17 @@ def test_empty_and_single(spark):
     assert M.mix(frame(spark, [])).collect() == []
     one = M.mix(frame(spark, [(1, None, None, 1, 1, 1)])).collect()
     assert len(one) == 1 and one[0]["weight"] == 1.0 and one[0]["source"] is None
+
+
+def test_the_mix_depends_on_the_rows_alone(spark, rows, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK_DOCS", 50)
+    monkeypatch.setattr(M, "COPIES", 4)  # so that copies are numbered in several parts
+    many = rows + [(7, "same words", "hot", 1, 1, 1)] * 30 + [(None, None, None, 1, 1, 1)] * 9
+    mixes = []
+    for partitions in (1, 5, 50):
+        shuffled = random.Random(partitions).sample(many, len(many))
+        out = M.mix(frame(spark, shuffled).repartition(partitions), max_passes=4.0).drop("weight", "mix_position").collect()
+        mixes.append(sorted(map(repr, out)))
+    assert mixes[0] == mixes[1] == mixes[2]
+    whole = [r for r in out if r["pass"] == 0 and r["doc_id"] == 7 and r["source"] == "hot" and r["n_tokens"] == 2]
+    assert len(whole) >= 30

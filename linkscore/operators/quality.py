@@ -5,12 +5,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.operators.percentiles import ACCURACY, percentiles
 
 DEFAULT_DELAY = 1
+#: Days of a word of landed days: the bits of a long but its sign.
+WORD_DAYS = 63
 PERCENTS = (5, 25, 50, 75, 95)
 
 
@@ -84,21 +86,79 @@ def partition_freshness(landed: DataFrame, expectations: DataFrame, as_of: dt.da
     )
 
 
+def landed_days(landed: DataFrame) -> DataFrame:
+    """One row per dataset: its newest date, and its landed days as bits of words, by the word's number.
+
+    A day is a bit of the word that its number since 1970 falls in, so a dataset's history is a few
+    longs, and the words of separate landings merge by a bitwise or.
+    """
+    words = landed.groupBy("dataset", _word(F.col("part_date")).alias("word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(unix_date(part_date), {WORD_DAYS}) AS INT))")).alias("bits"),
+        F.max("part_date").alias("newest"),
+    )
+    entry = F.when(F.col("word").isNotNull(), F.struct("word", "bits"))
+    return words.groupBy("dataset").agg(
+        F.max("newest").alias("newest"), F.map_from_entries(F.collect_list(entry)).alias("words")
+    )
+
+
+def _word(day: Column) -> Column:
+    return F.floor(F.unix_date(day) / WORD_DAYS)
+
+
+def _due(landed: DataFrame, expectations: DataFrame, as_of: dt.date, window: int, holidays: Sequence[str]) -> DataFrame:
+    """(dataset, due, missing): the days expected of the window in order, and whether each did not land."""
+    known = landed_days(landed).join(expectations, "dataset", "full")
+    last = F.date_sub(F.lit(as_of), F.coalesce("expected_delay", F.lit(DEFAULT_DELAY)))
+    days = F.sequence(F.date_sub(last, window - 1), last, F.expr("interval 1 day"))
+    daily = ~F.coalesce("weekdays_only", F.lit(False))
+
+    def working(day: Column) -> Column:
+        free = F.weekday(day) >= 5
+        return ~(free | day.isin(*[dt.date.fromisoformat(h) for h in holidays]) if holidays else free)
+
+    def missed(day: Column) -> Column:
+        bits = F.coalesce(F.try_element_at("words", _word(day)), F.lit(0))
+        return F.getbit(bits, F.pmod(F.unix_date(day), F.lit(WORD_DAYS))) == 0
+
+    due = known.select("dataset", "words", F.filter(days, lambda day: daily | working(day)).alias("due"))
+    return due.select("dataset", "due", F.transform("due", missed).alias("missing"))
+
+
 def partition_gaps(
     landed: DataFrame, expectations: DataFrame, as_of: dt.date, window: int, holidays: Sequence[str] = ()
 ) -> DataFrame:
     """Dates that did not land, per dataset, of the window that ends at the dataset's expected date.
 
-    Datasets of working days are not expected on weekends and holidays.
+    Datasets of working days are not expected on weekends and holidays. The days are read off the
+    landed days' bits; only missing ones become rows.
     """
-    last = F.date_sub(F.lit(as_of), F.col("expected_delay"))
-    days = F.sequence(F.date_sub(last, window - 1), last, F.expr("interval 1 day"))
-    spine = _expected(landed, expectations).select("dataset", "weekdays_only", F.explode(days).alias("part_date"))
-    working = F.weekday("part_date") < 5
-    if holidays:
-        working &= ~F.col("part_date").isin(*[dt.date.fromisoformat(h) for h in holidays])
-    due = spine.where(~F.col("weekdays_only") | working).select("dataset", "part_date")
-    return due.join(landed.select("dataset", "part_date"), ["dataset", "part_date"], "left_anti")
+    due = _due(landed, expectations, as_of, window, holidays)
+    missing = F.filter("due", lambda day, at: F.get("missing", at))
+    return due.select("dataset", F.explode(missing).alias("part_date"))
+
+
+def partition_outages(
+    landed: DataFrame, expectations: DataFrame, as_of: dt.date, window: int, holidays: Sequence[str] = ()
+) -> DataFrame:
+    """The same as runs: first and last date and the number of days, all of them expected ones.
+
+    A weekend or holiday does not end the run of a dataset that is expected on working days only.
+    """
+    due = _due(landed, expectations, as_of, window, holidays)
+    days = F.transform("due", lambda day, at: F.struct(day.alias("day"), at.alias("at")))
+
+    def edges(step: int) -> Column:
+        beside = lambda x: F.coalesce(F.get("missing", x["at"] + step), F.lit(False))
+        return F.filter(days, lambda x: F.get("missing", x["at"]) & ~beside(x))
+
+    runs = due.select("dataset", F.explode(F.arrays_zip(edges(-1).alias("first"), edges(1).alias("last"))).alias("run"))
+    return runs.select(
+        "dataset",
+        F.col("run.first.day").alias("first_date"),
+        F.col("run.last.day").alias("last_date"),
+        (F.col("run.last.at") - F.col("run.first.at") + 1).alias("days"),
+    )
 
 
 def partition_report(freshness: DataFrame, gaps: DataFrame) -> DataFrame:

@@ -492,11 +492,12 @@ HOLIDAY_DATES = ", ".join(f"DATE '{h}'" for h in P.HOLIDAYS)
 EXPECTED = """SELECT coalesce(l.dataset, e.dataset) AS dataset, l.newest, coalesce(weekdays_only, false) AS weekdays_only,
     CAST(DATE '2024-02-01' - coalesce(expected_delay, 1) AS DATE) AS due
   FROM (SELECT dataset, MAX(part_date) AS newest FROM landed GROUP BY dataset) l FULL JOIN expected e ON l.dataset = e.dataset"""
-GAPS = f"""SELECT dataset, part_date
+DUE_DAYS = f"""SELECT dataset, part_date
   FROM (SELECT dataset, weekdays_only,
           CAST(unnest(generate_series(due - 30, due, INTERVAL 1 DAY)) AS DATE) AS part_date FROM ({EXPECTED})) s
-  WHERE (NOT weekdays_only OR (isodow(part_date) < 6 AND part_date NOT IN ({HOLIDAY_DATES})))
-    AND NOT EXISTS (SELECT 1 FROM landed l WHERE l.dataset = s.dataset AND l.part_date = s.part_date)"""
+  WHERE NOT weekdays_only OR (isodow(part_date) < 6 AND part_date NOT IN ({HOLIDAY_DATES}))"""
+NOT_LANDED = "NOT EXISTS (SELECT 1 FROM landed l WHERE l.dataset = s.dataset AND l.part_date = s.part_date)"
+GAPS = f"SELECT dataset, part_date FROM ({DUE_DAYS}) s WHERE {NOT_LANDED}"
 FRESH = f"SELECT dataset, newest, CAST(due - newest AS INT) AS delay_days FROM ({EXPECTED})"
 
 ORACLES: dict[str, str] = {
@@ -768,6 +769,30 @@ ORACLES: dict[str, str] = {
     "partition_gaps": sql(
         GAPS, "landed", "expected",
     ),
+    "partition_outages": sql(
+        f"""SELECT dataset, MIN(part_date) AS first_date, MAX(part_date) AS last_date, CAST(COUNT(*) AS INT) AS days
+            FROM (SELECT *, n - row_number() OVER (PARTITION BY dataset ORDER BY part_date) AS run
+                  FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY part_date) AS n FROM ({DUE_DAYS})) s
+                  WHERE {NOT_LANDED}) GROUP BY dataset, run""",
+        "landed", "expected",
+    ),
+    "rows_of_landed_dates": sql(
+        """SELECT event_id, sn, memory_percent_free, CAST(ts AS DATE) AS date FROM hb
+           WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-04' AND DATE '2024-01-28' AND CAST(ts AS DATE) IN
+             (SELECT part_date FROM landed WHERE dataset = (SELECT MIN(dataset) FROM landed))""",
+        "hb", "landed",
+    ),
+    "latest_partitioned": sql(
+        """SELECT * FROM passive WHERE datadate = (SELECT MAX(datadate) FROM passive
+           WHERE datadate BETWEEN DATE '2024-01-08' AND DATE '2024-01-10')""",
+        "passive",
+    ),
+    "rolling_devices": sql(
+        """SELECT model_name, end_date, COUNT(DISTINCT sn) AS devices, true AS estimate_within_bound
+           FROM (SELECT model_name, sn, CAST(unnest(generate_series(CAST(ts AS DATE), CAST(ts AS DATE) + 6, INTERVAL 1 DAY)) AS DATE) AS end_date
+                 FROM hb) GROUP BY model_name, end_date""",
+        "hb",
+    ),
     "partition_report": sql(
         f"""SELECT f.dataset, f.newest, f.delay_days, coalesce(g.missing_days, 0) AS missing_days, coalesce(g.missing, '') AS missing
             FROM ({FRESH}) f LEFT JOIN (SELECT dataset, COUNT(*) AS missing_days,

@@ -14,6 +14,7 @@ from linkscore.operators import availability as A
 from linkscore.operators import capacity as K
 from linkscore.operators import counters as C
 from linkscore.operators import customers as L
+from linkscore.operators import distinct as D
 from linkscore.operators import features as X
 from linkscore.operators import overall as O
 from linkscore.operators import quality as Q
@@ -28,6 +29,7 @@ from linkscore.sources.stored import stored
 AS_OF = dt.date(2024, 2, 1)
 PASSIVE_DATE = dt.date(2024, 1, 11)
 SECOND_LABEL = "second"
+WEEK = 7
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -504,6 +506,17 @@ def capacity_by_model(i: Inputs) -> DataFrame:
     return rounded(K.capacity_by_model(i.hb), 6, *shares)
 
 
+@query
+def rolling_devices(i: Inputs) -> DataFrame:
+    """Devices per model in each week, exactly, and whether the stored sketches' estimate is within its bound."""
+    by = ["model_name"]
+    days = i.hb.select("sn", "model_name", F.to_date("ts").alias("date"))
+    estimates = D.rolling_estimates(Y.stored_distinct(days, "sn", by, "date"), by, "date", WEEK)
+    both = D.rolling_counts(days, "sn", by, "date", WEEK).join(estimates, [*by, "end_date"], "full")
+    near = F.abs(F.col("estimate") - F.col("exact")) <= D.error_bound() * F.col("exact")
+    return both.select(*by, "end_date", F.col("exact").alias("devices"), near.alias("estimate_within_bound"))
+
+
 @query
 def column_summary(i: Inputs) -> DataFrame:
     return rounded(Q.column_summary(i.hb, SUMMARY_COLUMNS), 6, "value")
@@ -539,6 +552,11 @@ def partition_gaps(i: Inputs) -> DataFrame:
     return Q.partition_gaps(i.landed, i.expected, AS_OF, 31, P.HOLIDAYS)
 
 
+@query
+def partition_outages(i: Inputs) -> DataFrame:
+    return Q.partition_outages(i.landed, i.expected, AS_OF, 31, P.HOLIDAYS)
+
+
 @query
 def partition_report(i: Inputs) -> DataFrame:
     gaps = Q.partition_gaps(i.landed, i.expected, AS_OF, 31, P.HOLIDAYS)
@@ -559,6 +577,16 @@ def source_files(i: Inputs) -> DataFrame:
     return Y.source_files(i)
 
 
+@query
+def rows_of_landed_dates(i: Inputs) -> DataFrame:
+    return Y.rows_of_landed_dates(i)
+
+
+@query
+def latest_partitioned(i: Inputs) -> DataFrame:
+    return Y.latest_partitioned(i)
+
+
 @query
 def sink_roundtrip(i: Inputs) -> DataFrame:
     return Y.sink_roundtrip(i)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from linkscore.operators import availability as A
 from linkscore.operators import counters as C
 from linkscore.operators import customers as L
+from linkscore.operators import distinct as D
 from linkscore.operators.percentiles import daily_sketches
 from linkscore.plans import jobs as J
 from linkscore.plans.inputs import Inputs
@@ -27,6 +28,7 @@ from linkscore.streaming import availability as SA
 from linkscore.streaming import increments as SI
 
 LANDED_DAY, LANDED_HOUR = dt.date(2024, 1, 10), 5
+LANDED_WINDOW = dt.date(2024, 1, 4), dt.date(2024, 1, 28)
 REWRITTEN_FROM = dt.date(2024, 1, 20)
 BACKFILL_END, BACKFILL_DAYS = dt.date(2024, 1, 30), 5
 #: A fault on the first run of a date: while its tables are staged, while they are published, or after.
@@ -70,6 +72,22 @@ def source_files(i: Inputs) -> DataFrame:
     return R.union_all(named)
 
 
+def rows_of_landed_dates(i: Inputs) -> DataFrame:
+    """Heartbeats of the dates on which one feed landed, from a table with a folder per date."""
+    base = new_folder(i.spark)
+    W.write_dates(i.hb.select("event_id", "sn", "memory_percent_free", F.to_date("ts").alias("date")), base)
+    feed = i.landed.join(i.landed.agg(F.min("dataset").alias("dataset")), "dataset", "left_semi")
+    wanted = feed.select(F.col("part_date").alias("date"))
+    return R.rows_of_dates(i.spark.read.parquet(base), "date", wanted, *LANDED_WINDOW)
+
+
+def latest_partitioned(i: Inputs) -> DataFrame:
+    """The newest date of passive measurements, from a table with a folder per date."""
+    base = new_folder(i.spark)
+    W.write_dates(i.passive, base, ("datadate",))
+    return R.latest_available(i.spark.read.parquet(base), "datadate", LANDED_DAY).select(i.passive.columns)
+
+
 # --- sinks ----------------------------------------------------------------------------------
 
 
@@ -173,6 +191,13 @@ def stored_sketches(df: DataFrame, columns: list[str], by: list[str], date: str,
     return R.multi_date_union(df.sparkSession.read.parquet(path), date, dates)
 
 
+def stored_distinct(df: DataFrame, value: str, by: list[str], date: str) -> DataFrame:
+    """The daily distinct sketches, read back from the table that holds them."""
+    path = f"{new_folder(df.sparkSession)}/distinct"
+    W.write_dates(D.daily_distinct(df, value, by, date), path, (date,))
+    return df.sparkSession.read.parquet(path)
+
+
 # --- streams --------------------------------------------------------------------------------
 
 

@@ -81,6 +81,16 @@ def latest_available(df: DataFrame, date: str, as_of: dt.date, days: int = 3) ->
     return window.join(newest, F.col(date) == F.col("_newest"), "left_semi")
 
 
+def rows_of_dates(df: DataFrame, date: str, wanted: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """Rows whose date is one of those in ``wanted``, found at run time, from ``first`` to ``last``.
+
+    At most one row for each day between the two is broadcast. On a partition column the scan reads
+    the folders of these dates only.
+    """
+    within = F.col(date).between(first, last)
+    return df.where(within).join(F.broadcast(wanted.where(within).select(date).distinct()), date, "left_semi")
+
+
 def multi_date_union(df: DataFrame, date: str, dates: Sequence[dt.date]) -> DataFrame:
     """Rows of the listed dates in one read; a date without data adds nothing."""
     return df.where(F.col(date).isin(list(dates)))

@@ -77,3 +77,33 @@ def test_ingest_shuffles_a_digest_for_the_unused_fields(inputs):
     text = plan(H.ingest_heartbeats(inputs.raw))
     above = text[: text.index("Exchange hashpartitioning")]
     assert "GPSAltitude" not in above and "_digest" in above
+
+
+def _read(df):
+    """Rows and files that the scans of an executed plan read, by scan."""
+    df.collect()
+    found, nodes = [], [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            nodes.append(node.plan())
+        elif node.nodeName().startswith("Scan parquet"):
+            found.append((node.metrics().apply("numOutputRows").value(), node.metrics().apply("numFiles").value()))
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+    return found
+
+
+def test_dates_found_at_run_time_prune_the_scan(spark, tmp_path):
+    base, days = str(tmp_path / "days"), str(tmp_path / "wanted")
+    dated = spark.range(300).selectExpr("id", "date_add(DATE'2024-01-01', CAST(id % 30 AS INT)) AS date")
+    dated.repartition(1).write.partitionBy("date").parquet(base)
+    dated.where("id IN (4, 9, 34, 200)").select("date").write.parquet(days)
+    first, last = dt.date(2024, 1, 1), dt.date(2024, 1, 15)
+    df = R.rows_of_dates(spark.read.parquet(base), "date", spark.read.parquet(days), first, last)
+    assert "dynamicpruning" in plan(df)
+    # Dates 5 and 10 of the window; the third, 21, lies outside.
+    assert (20, 2) in _read(df) and df.count() == 20
+    newest = R.latest_available(spark.read.parquet(base), "date", last)
+    assert "dynamicpruning" in plan(newest) and (10, 1) in _read(newest)

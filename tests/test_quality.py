@@ -71,3 +71,25 @@ def test_column_summary(spark):
     assert got["x", "stddev"] == pytest.approx(29.011491975882016)
     assert not Q.column_summary(df.limit(0), ["x"]).where("statistic = 'count' and value <> 0").collect()
     assert got["none", "count"] == 0 and got["none", "50%"] is None and len(got) == 20
+
+
+def test_outages_are_runs_of_expected_days(landed, expected):
+    def runs(dataset, window, holidays=()):
+        found = Q.partition_outages(landed, expected, AS_OF, window, holidays).where(F.col("dataset") == dataset)
+        return sorted((r.first_date.day, r.last_date.day, r.days) for r in found.collect())
+
+    assert runs("a", 7) == [(10, 10, 1), (13, 14, 2)] and runs("b", 7) == [(9, 15, 7)]
+    # Working days only: the weekend of the 6th and 7th and a holiday do not end the run.
+    assert runs("w", 14) == [(1, 12, 10)] and runs("w", 14, ["2024-01-10"]) == [(1, 12, 9)]
+    assert runs("a", 1) == []
+
+
+def test_landed_days_merge_over_words(spark):
+    dates = [dt.date(1969, 12, 30), dt.date(1970, 1, 1), dt.date(2024, 1, 5), dt.date(2024, 1, 5), dt.date(2023, 11, 1), None]
+    landed = spark.createDataFrame([("a", d) for d in dates] + [("none", None)], "dataset string, part_date date")
+    by = {r.dataset: r for r in Q.landed_days(landed).collect()}
+    assert by["a"].newest == dt.date(2024, 1, 5) and sum(bin(x).count("1") for x in by["a"].words.values()) == 4
+    assert by["none"].newest is None and by["none"].words == {}
+    none = spark.createDataFrame([], "dataset string, expected_delay int, weekdays_only boolean")
+    gaps = Q.partition_gaps(landed, none, dt.date(2024, 1, 6), 100)
+    assert gaps.where("dataset = 'a'").count() == 98 and gaps.where("dataset = 'none'").count() == 100

@@ -6,8 +6,8 @@ target: an entropy of the weights, or a limit on how often the most repeated sou
 The budget of tokens is split by the weights. A source's quota is realised as whole passes over its
 documents and a part of one more, each pass a permutation of its own: documents are dealt into blocks
 by a keyed hash, and follow each other in hash order within a block. Running sums of tokens are taken
-over the blocks of a source and over the documents of one block, and the quota ends where both
-together reach it, so no source, however large, is sorted or summed in one task.
+over the spans of blocks of a source, over the blocks of one span and over the documents of one block,
+and the quota ends where they together reach it, so no source, however large, is sorted or summed in one task.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from linkscore.llm.keys import row_key
 from linkscore.llm.store import Scratch
 
 BLOCK_DOCS = 2_000
+#: Blocks that follow each other are summed as one span first.
+SPAN_BLOCKS = 2_000
 #: Rows of the same id, text and source that are numbered in one go.
 COPIES = 4_096
 #: The exponent is found to 64 ** -ROUNDS.
@@ -150,6 +152,26 @@ def _quotas(sources: DataFrame, alpha: float, budget: int | None) -> DataFrame:
     )
 
 
+def _block_starts(scratch: Scratch, blocks: DataFrame, span_blocks: int = SPAN_BLOCKS) -> DataFrame:
+    """(source, pass, block, block_tokens, before): the tokens of the source that come before each block.
+
+    A source of n documents has n / BLOCK_DOCS blocks; a task sums the spans of a source or the blocks of a span.
+    """
+    blocks = scratch.put(blocks.withColumn("span", F.expr(f"block DIV {span_blocks}")))
+    spans = blocks.groupBy("source", "pass", "span").agg(F.sum("block_tokens").alias("span_tokens"), F.first("tokens").alias("tokens"))
+    until = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = spans.select(
+        F.col("source").alias("s"),
+        F.col("pass").alias("p"),
+        F.col("span").alias("n"),
+        (F.col("pass") * F.col("tokens") + F.sum("span_tokens").over(until("source", "pass").orderBy("span")) - F.col("span_tokens")).alias("first"),
+    )
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("pass") == F.col("p")) & (F.col("span") == F.col("n"))
+    inside = F.sum("block_tokens").over(until("source", "pass", "span").orderBy("block")) - F.col("block_tokens")
+    placed = blocks.withColumn("inside", inside).join(spans, same)
+    return placed.select("source", "pass", "block", "block_tokens", (F.col("first") + F.col("inside")).alias("before"))
+
+
 def _realised(scratch: Scratch, rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     same_source = F.col("source").eqNullSafe(F.col("plan_source"))
     plan = plan.withColumnRenamed("source", "plan_source")
@@ -162,12 +184,7 @@ def _realised(scratch: Scratch, rows: DataFrame, plan: DataFrame, seed: int) ->
     each = scratch.put(each.drop("plan_source", "blocks", "passes"))
     group = ["source", "pass", "block"]
     blocks = each.groupBy(*group).agg(F.sum("n_tokens").alias("block_tokens"), F.first("tokens").alias("tokens"))
-    in_source = (
-        Window.partitionBy("source", "pass").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    # One row per block: far fewer than documents.
-    before = F.col("pass") * F.col("tokens") + F.sum("block_tokens").over(in_source) - F.col("block_tokens")
-    starts = scratch.put(blocks.withColumn("before", before).drop("tokens").withColumnRenamed("source", "s"))
+    starts = scratch.put(_block_starts(scratch, blocks).withColumnRenamed("source", "s"))
     starts = starts.withColumnRenamed("pass", "p").withColumnRenamed("block", "b")
     at_block = F.col("source").eqNullSafe(F.col("s")) & (F.col("pass") == F.col("p")) & (F.col("block") == F.col("b"))
     placed = each.join(starts, at_block).drop("s", "p", "b").filter("before < quota")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linkscore.llm import mixing as M
+from linkscore.llm.store import Scratch
 
 
 def frame(spark, rows):
@@ -105,3 +106,16 @@ def test_the_mix_depends_on_the_rows_alone(spark, rows, monkeypatch):
     assert mixes[0] == mixes[1] == mixes[2]
     whole = [r for r in out if r["pass"] == 0 and r["doc_id"] == 7 and r["source"] == "hot" and r["n_tokens"] == 2]
     assert len(whole) >= 30
+
+
+def test_block_starts_are_running_sums_however_blocks_are_spanned(spark):
+    rows = [(s, p, b, (7 * b + 3 * p + len(s or "")) % 11 + 1) for s in ("a", "bb", None) for p in range(2) for b in range(0, 50, 1 + p)]
+    totals = {s: sum(t for x, p, _, t in rows if x == s and p == 0) for s in ("a", "bb", None)}
+    given = [(s, p, b, t, totals[s]) for s, p, b, t in rows]
+    schema = "source string, pass int, block long, block_tokens long, tokens long"
+    expected = {(s, p, b): p * totals[s] + sum(t for x, q, c, t in rows if (x, q) == (s, p) and c < b) for s, p, b, _ in rows}
+    for span in (1, 7, 50, 2_000):
+        blocks = spark.createDataFrame(given, schema).repartition(5)
+        found = M._block_starts(Scratch(spark), blocks, span).collect()
+        assert len(found) == len(rows)
+        assert {(r["source"], r["pass"], r["block"]): r["before"] for r in found} == expected

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linkscore import params as P
 from linkscore.functions.columns import category, hundredths, round2
+from linkscore.operators import sieve
 from linkscore.operators.customers import alias_model
 
 LTE_BANDS = ("lte_pcc_band", "lte_scc1_band", "lte_scc2_band", "lte_scc3_band")
@@ -99,14 +100,19 @@ def link_capacity(
     lines: DataFrame,
     caps: Sequence[tuple[str, int, int]] = P.PLAN_CAPS,
     params: P.CapacityParams = P.CapacityParams(),
+    known_only: bool = False,
 ) -> DataFrame:
     """Mean capacities and the plan-adjusted capacity score per (sn, mdn).
 
     A record's percentage depends on its line only through the plan's adjustment, and a plan table
     has few distinct adjustments. So each (sn, imsi) is aggregated once per adjustment before any
     join: the join with the lines moves one row per device instead of every heartbeat, and a
-    device with a third of all rows costs no more than any other.
+    device with a third of all rows costs no more than any other. With ``known_only`` records of
+    devices that no line knows leave before that aggregation, by a filter made of the lines (which
+    are then read twice); the result is the same.
     """
+    if known_only:
+        heartbeats = sieve.passing(heartbeats, sieve.known_keys(lines, ["sn", "imsi"]), ["sn", "imsi"])
     adjustments = sorted({_adjustment(dl, params) for _, dl, _ in caps})
     records = record_capacity(heartbeats, ["sn", "imsi"], params, "any")
     parts = {f"_sum_{p}": hundredths(F.col(p)) for p in PARTS}

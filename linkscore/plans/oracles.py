@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from linkscore import params as P
 from linkscore.plans.inputs import INPUTS, input_cte
-from linkscore.sources.heartbeat import USED_FIELDS
+from linkscore.sources.heartbeat import KNOWN_FIELDS, USED_FIELDS
 
 
 def rnd(x: str, digits: int) -> str:
@@ -512,6 +512,13 @@ ORACLES: dict[str, str] = {
           FROM raw WHERE payload IS NOT NULL""",
         "raw",
     ),
+    "payload_fields": sql(
+        f"""SELECT field, field IN ({', '.join(f"'{x}'" for x in KNOWN_FIELDS)}) AS known,
+              field IN ({', '.join(f"'{x}'" for x in USED_FIELDS)}) AS used, COUNT(*) AS rows,
+              COUNT(*) FILTER (WHERE json_type(payload, '$."' || field || '"') = 'VARCHAR') AS text_rows
+            FROM (SELECT payload, unnest(json_keys(payload)) AS field FROM raw WHERE json_valid(payload)) GROUP BY field""",
+        "raw",
+    ),
     "cast_columns": sql(
         "SELECT event_id, sn, TRY_CAST(snr AS DOUBLE) AS snr, TRY_CAST(memory AS DOUBLE) AS memory, network FROM flat", "flat"
     ),
@@ -854,3 +861,6 @@ ORACLES: dict[str, str] = {
 }
 # The same percentiles, from stored sketches.
 ORACLES["scale_percentile_stored"] = ORACLES["scale_percentile_hist"]
+# The same rows, from payloads parsed to a VARIANT, and without the devices that no line knows.
+ORACLES["json_extract_variant"] = ORACLES["json_extract"]
+ORACLES["link_capacity_known"] = ORACLES["link_capacity"]

@@ -63,6 +63,18 @@ def json_extract(i: Inputs) -> DataFrame:
     return found.withColumns({c: F.col(c).try_cast("double") for c in ("snr", "nr_snr")})
 
 
+@query
+def json_extract_variant(i: Inputs) -> DataFrame:
+    rows = i.raw.select("event_id", F.substring("rowkey", 6, 12).alias("sn"), "payload")
+    found = H.payload_texts(rows, {"snr": "SNR", "nr_snr": "5GSNR", "network": "CurrentNetwork"})
+    return found.withColumns({c: F.col(c).try_cast("double") for c in ("snr", "nr_snr")})
+
+
+@query
+def payload_fields(i: Inputs) -> DataFrame:
+    return H.payload_fields(i.raw)
+
+
 @query
 def cast_columns(i: Inputs) -> DataFrame:
     return H.cast_columns(i.flat, {"snr": "double", "memory": "double"})
@@ -241,6 +253,11 @@ def link_capacity(i: Inputs) -> DataFrame:
     return K.link_capacity(i.hb, _lines(i))
 
 
+@query
+def link_capacity_known(i: Inputs) -> DataFrame:
+    return K.link_capacity(i.hb, _lines(i), known_only=True)
+
+
 @query
 def link_capacity_strict(i: Inputs) -> DataFrame:
     return K.link_capacity_strict(i.hb)

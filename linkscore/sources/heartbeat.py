@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,8 @@ PAYLOAD_FIELDS = """
 `HwV` string, `MemoryAvail` string, `MemoryPercentFree` double, `ipv4_ip` string, `ipv6_ip` string
 """
 
+KNOWN_FIELDS = re.findall(r"`([^`]+)`", PAYLOAD_FIELDS)
+
 # The payload fields the scores use, with their column name and type after ingest.
 USED_FIELDS = {
     "MDN": ("mdn", "string"),
@@ -104,6 +107,28 @@ def parse_payload(df: DataFrame, payload: str, fields: str = PAYLOAD_FIELDS) ->
     return parsed.select(*others, "_p.*")
 
 
+def payload_texts(df: DataFrame, fields: Mapping[str, str], payload: str = "payload") -> DataFrame:
+    """Rows that have a payload, with fields of it as text, from one parse to a VARIANT.
+
+    ``fields`` are new names and the payload's. Malformed text, an absent field and a JSON null give null.
+    """
+    others = [c for c in df.columns if c != payload]
+    parsed = df.where(F.col(payload).isNotNull()).withColumn("_v", F.try_parse_json(payload))
+    return parsed.select(*others, *[F.try_variant_get("_v", f'$["{old}"]', "string").alias(new) for new, old in fields.items()])
+
+
+def payload_fields(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """The fields that payloads hold: whether the schema knows them and the scores use them, in how many
+    rows they occur and in how many as text. One parse a payload; fields are counted before the shuffle.
+    """
+    parsed = df.select(F.try_parse_json(payload).alias("_v")).where("_v IS NOT NULL AND schema_of_variant(_v) LIKE 'OBJECT%'")
+    each = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_v").outer()))
+    counts = each.groupBy(F.col("key").alias("field")).agg(
+        F.count("*").alias("rows"), F.count_if(F.schema_of_variant("value") == "STRING").alias("text_rows")
+    )
+    return counts.select("field", F.col("field").isin(KNOWN_FIELDS).alias("known"), F.col("field").isin(list(USED_FIELDS)).alias("used"), "rows", "text_rows")
+
+
 def ingest_heartbeats(
     raw: DataFrame, payload: str = "payload", rowkey: str = "rowkey", ts_ms: str = "ts", keep: Sequence[str] = ()
 ) -> DataFrame:

@@ -231,3 +231,19 @@ def test_newest_date_prunes_a_partitioned_table(spark, tmp_path):
     assert "PartitionFilters: [" in fixed._jdf.queryExecution().executedPlan().toString() and fixed.count() == 4
     scan = [x for x in str(fixed._jdf.queryExecution().executedPlan()).splitlines() if "FileScan" in x][0]
     assert "PartitionFilters: []" not in scan
+
+
+def test_payload_as_variant(spark):
+    payloads = ['{"SNR": "1.5", "own": {"a": [1]}}', '{"SNR": 2.50, "CurrentNetwork": null}', '{"SNR": true}', "{broken", "[1]", "7", "", None, "{}"]
+    df = spark.createDataFrame([(k, p, "x") for k, p in enumerate(payloads)], "id int, payload string, `_key` string")
+    found = H.payload_texts(df, {"snr": "SNR", "network": "CurrentNetwork", "own": "own"})
+    assert found.columns == ["id", "_key", "snr", "network", "own"]
+    texts = {r.id: (r.snr, r.network, r.own) for r in found.collect()}
+    assert set(texts) == set(range(9)) - {7}
+    assert texts.pop(0) == ("1.5", None, '{"a":[1]}') and texts.pop(1) == ("2.5", None, None) and texts.pop(2) == ("true", None, None)
+    assert set(texts.values()) == {(None, None, None)}
+    fields = {r.field: (r.known, r.used, r.rows, r.text_rows) for r in H.payload_fields(df).collect()}
+    assert fields == {"SNR": (True, True, 3, 1), "CurrentNetwork": (True, True, 1, 0), "own": (False, False, 1, 0)}
+    assert H.payload_fields(df.limit(0)).collect() == []
+    plan = H.payload_texts(df, {"a": "SNR", "b": "own"})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") == 1 or plan.count("parseJson") == 1

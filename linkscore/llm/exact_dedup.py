@@ -49,10 +49,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     while True:
         split = _split(scratch, rows, width)
         if previous is not None:
-            scratch.drop(previous, "state=live")
-        ended = split.filter("state <> 'live'").drop("rest", "state")
+            scratch.drop(previous, "live=true")
+        ended = split.filter("NOT live").drop("rest", "live")
         done.append(ended.withColumn("round", F.lit(len(done))))
-        rows = split.filter("state = 'live'").drop("state", "size")
+        rows = split.filter("live").drop("live", "size")
         if rows.isEmpty():
             break
         previous, width = split, min(width * GROWTH, WIDEST_DIGIT)
@@ -60,32 +60,31 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _split(scratch: Scratch, rows: DataFrame, width: int) -> DataFrame:
-    """One round: rows with the group of their digit; alone, ended or live."""
+    """One round: rows with the group of their digit, none for a row that stands alone; live ones go on.
+
+    A task writes at most two files: on a local disk Hadoop starts a process for each of them.
+    """
     rows = rows.withColumn("digit", F.substring("rest", 1, width))
     groups = scratch.put(
         rows.groupBy("group", "digit")
         .agg(F.min("row").alias("next"), F.count("*").alias("size"))
         .filter("size > 1")
     )
-    state = (
-        F.when(F.col("next").isNull(), "alone")
-        .when(F.octet_length("digit") < width, "ended")
-        .otherwise("live")
-    )
+    live = F.col("next").isNotNull() & (F.octet_length("digit") >= width)
     joined = (
         rows.join(groups.hint("merge"), ["group", "digit"], "left")
-        .withColumn("state", state)
+        .withColumn("live", live)
         .select(
             "id",
             "row",
             "sha",
             F.col("next").alias("group"),
             "size",
-            F.when(F.col("state") == "live", F.substring("rest", width + 1, 2147483647)).alias("rest"),
-            "state",
+            F.when(F.col("live"), F.substring("rest", width + 1, 2147483647)).alias("rest"),
+            "live",
         )
     )
-    return scratch.put(joined, "state")
+    return scratch.put(joined, "live")
 
 
 def _decided(scratch: Scratch, done: list[DataFrame], id_col: str) -> DataFrame:

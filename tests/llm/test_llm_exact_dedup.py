@@ -53,3 +53,14 @@ def test_digits_of_any_width_give_the_same(spark, awkward, monkeypatch):
 def test_empty_table(spark):
     df = exact_dedup.exact_groups(spark.createDataFrame([], "doc_id long, text string"))
     assert df.collect() == [] and df.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+
+
+def test_a_round_writes_two_files_a_task_at_most(spark, awkward, monkeypatch):
+    tables, put = [], exact_dedup.Scratch.put
+    monkeypatch.setattr(exact_dedup.Scratch, "put", lambda self, df, *split: tables.append(put(self, df, *split)) or tables[-1])
+    df = spark.createDataFrame(awkward, "doc_id long, text string")
+    assert result(exact_dedup.exact_groups(df)) == brute(awkward)
+    files = [x for table in tables if "rest" in table.columns for x in table.inputFiles()]
+    tasks = {(x.split("/")[-3], x.split("/")[-1].split("-")[1]) for x in files}  # table, task
+    assert files and len(files) <= 2 * len(tasks)
+    assert {x.split("/")[-2] for x in files} <= {"live=true", "live=false"}

@@ -539,9 +539,13 @@ def _composed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole documents' fragments to batches."""
+    """Fragments in the order of row and start to batches of whole documents.
+
+    Both in one step: behind each other two steps would take two Python workers a task, which both stay
+    and in time hold the tokenizers.
+    """
     batch = None
-    for rows in batches:
+    for rows in _composed(batches):
         batch = batch or Batch(rows.column("id").type, 2 * TaskContext.get().partitionId() + 1)
         for k in range(len(rows)):
             whole, doc_id = _read(rows, k), rows.column("id")[k].as_py()
@@ -571,7 +575,7 @@ def _long_documents(
         nodes = nodes.repartition("row", "node").sortWithinPartitions("row", "start")
         found = scratch.put(nodes.mapInArrow(_composed, f"{_FRAGMENT}, id {kind}"))
     # A short text that lies within one range still has a fragment for each of its parts.
-    whole = found.repartition("row").sortWithinPartitions("row", "start").mapInArrow(_composed, f"{_FRAGMENT}, id {kind}")
+    whole = found.repartition("row").sortWithinPartitions("row", "start")
     return whole.mapInArrow(_long, f"id {kind}, {_SHAPE}")
 
 

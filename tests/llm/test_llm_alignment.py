@@ -154,3 +154,16 @@ def test_empty_table_and_partitioning(spark):
     assert result(A.align(spark.createDataFrame([], SCHEMA), *PATHS)) == []
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert rows(A.align(docs.repartition(1), *PATHS)) == rows(A.align(docs.repartition(9, "text"), *PATHS))
+
+
+def test_a_task_takes_one_python_worker(spark, encoders, monkeypatch):
+    plans, put = [], A.Scratch.put
+    kept = lambda self, df, *split: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or put(self, df, *split)
+    monkeypatch.setattr(A.Scratch, "put", kept)
+    docs = [(1, "one two, three. " * 30), (2, "short one"), (3, None)]
+    df = A.align(spark.createDataFrame(docs, SCHEMA), *PATHS, long_chars=100, part_chars=50, chunk_bytes=64)
+    assert result(df) == expected(encoders, docs)
+    plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+    steps = [line for plan in plans for line in plan.splitlines() if not line.lstrip(" :+-").startswith("Project")]
+    assert any("MapInArrow" in x for x in steps)
+    assert not [x for x, y in zip(steps, steps[1:]) if "MapInArrow" in x and "MapInArrow" in y and y.index("MapInArrow") > x.index("MapInArrow")]

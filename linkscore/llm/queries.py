@@ -38,7 +38,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+    left = repeats.remove_repeats(_table(spark, sf_dir, "documents"), words=51)
     removed = F.col("n_bytes") - F.octet_length("kept")
     return left.select(
         "doc_id",
@@ -47,6 +47,7 @@ def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
         F.when(F.col("n_bytes") > 0, removed / F.col("n_bytes")).otherwise(0.0).alias("removed_share"),
+        F.col("n_shared").alias("n_shared_words"),
     )
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkscore.llm.keys import row_key
+from linkscore.llm.passages import least_in_window, shared_words
 from linkscore.llm.store import Scratch
 from linkscore.llm.words import _BASE, _BASE_INVERSE, _powers, mixed, text_blocks
 
@@ -48,17 +49,6 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return mixed(h)
 
 
-def _least_in_window(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w consecutive values, from minima to the left and right within blocks of w."""
-    blocks = np.full(-(-len(x) // w) * w, np.iinfo(np.uint64).max, np.uint64)
-    blocks[: len(x)] = x
-    blocks = blocks.reshape(-1, w)
-    to_here = np.minimum.accumulate(blocks, 1).ravel()
-    from_here = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
-    n = len(x) - w + 1
-    return np.minimum(from_here[:n], to_here[w - 1 : w - 1 + n])
-
-
 def _contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     """Begin, starts, anchor place, anchor hash and digest of the contexts of adjoining texts."""
     if len(data) < PASSAGE:
@@ -66,7 +56,7 @@ def _contexts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     grams = _gram_hashes(data)
     place = np.arange(len(grams), dtype=np.uint64)
     low = np.uint64((1 << _PLACE_BITS) - 1)
-    anchor = (_least_in_window((grams & ~low) | place, _WINDOW) & low).astype(np.int64)
+    anchor = (least_in_window((grams & ~low) | place, _WINDOW) & low).astype(np.int64)
     inside = np.zeros(len(anchor) + 1, np.int64)
     np.add.at(inside, np.clip(ends - PASSAGE + 1, 0, len(anchor)), 1)
     np.add.at(inside, np.clip(ends, 0, len(anchor)), -1)
@@ -344,9 +334,13 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", memory_contexts: int = MEMORY_CONTEXTS
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    memory_contexts: int = MEMORY_CONTEXTS,
+    words: int | None = None,
 ) -> DataFrame:
-    """One row per input row: id_col, n_bytes, spans, kept.
+    """One row per input row: id_col, n_bytes, spans, kept; with words also n_shared.
 
     spans are the maximal runs of bytes covered by some 400-byte string that also starts elsewhere in
     the table, as (begin, end); kept are the other bytes of the text, joined (UTF-8, where cuts may
@@ -354,10 +348,14 @@ def remove_repeats(
     Repeated rows, with equal ids or not, are documents of their own. Long texts are read whole, in
     overlapping chunks, and put together again in time linear in their length. An empty table gives an
     empty result; other columns are ignored.
+
+    n_shared are the words of the text in strings of so many words that another row has too, which may
+    be shorter than 400 bytes; they say nothing of what is removed.
     """
     scratch = Scratch(docs.sparkSession)
     key = row_key(id_col, text_col).alias("key")
     rows = docs.select(F.col(id_col).alias("id"), key, F.coalesce(text_col, F.lit("")).alias("text"))
+    shared = shared_words(scratch, rows, words) if words else None
     found = scratch.put(
         rows.select("key", "text").mapInArrow(_anchored, "key binary, " + ", ".join(f"`{x}` long" for x in _FIELDS))
     )
@@ -384,6 +382,8 @@ def remove_repeats(
     )
     per_text = marks.groupBy("key").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     spans = scratch.put(per_text.mapInArrow(_merged, "key binary, spans array<struct<begin:long,end:long>>"))
+    if shared:
+        spans = spans.hint("merge").join(shared, "key", "full")
     return _without(rows, spans).withColumnRenamed("id", id_col)
 
 
@@ -411,9 +411,11 @@ def _without(rows: DataFrame, spans: DataFrame) -> DataFrame:
     parts = F.zip_with(begins, ends, lambda a, b: F.hex(F.substring(data, (a + 1).cast("int"), (b - a).cast("int"))))
     left = F.unhex(F.array_join(parts, ""))
     none = F.array().cast("array<struct<begin:long,end:long>>")
+    n_shared = [F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared")] if "n_shared" in spans.columns else []
     return joined.select(
         "id",
         n_bytes.alias("n_bytes"),
         F.coalesce("spans", none).alias("spans"),
         F.when(F.col("spans").isNull(), data).otherwise(left).alias("kept"),
+        *n_shared,
     )
